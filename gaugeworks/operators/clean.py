@@ -78,12 +78,20 @@ def reconcile(raw: DataFrame, spec: MetricSpec) -> DataFrame:
 def kept_readings(raw: DataFrame, spec: MetricSpec, factors=UNIT_FACTORS) -> DataFrame:
     """Readings that pass every rule, located and (unless factors are empty) in one unit.
 
-    Rules are written as plain conjuncts rather than through ``classify`` so
-    that the metric list and the sign test reach the file scan.
+    Rules are written as plain conjuncts rather than through ``classify``: on
+    typed columns the metric list and the value range reach the file scan.
+    NaN sorts above infinity, so one upper bound excludes both.
     """
-    value = numeric_value(raw)
-    ok = F.trim(F.col("parameter_name")).isin(spec.names) if _is_text_padded(raw) else (
-        F.col("parameter_name").isin(spec.names))
+    def field(name: str) -> Column:
+        return F.trim(F.col(name)) if _is_text(raw, "value") else F.col(name)
+
+    metric, value = field("parameter_name"), numeric_value(raw)
+    ok = metric.isin(spec.names)
+    if _is_text(raw, "value"):
+        ok = ok & (value >= 0)
+    else:
+        value = F.col("value")
+        ok = ok & (value >= 0) & (value < F.lit(float("inf")))
     if "malformed" in raw.columns:
         ok = ok & ~F.col("malformed")
     if _is_text(raw, "station_id"):
@@ -93,19 +101,12 @@ def kept_readings(raw: DataFrame, spec: MetricSpec, factors=UNIT_FACTORS) -> Dat
         ok, at = ok & ~is_blank(at), parse_timestamp(F.trim(at))
     else:
         ok = ok & at.isNotNull()
-    station = F.trim(F.col("station_id")) if _is_text(raw, "station_id") else F.col("station_id")
-    return (raw.where(ok & (value >= 0))
-            .select(station.alias("station_id"), at.alias("collected_at"),
-                    F.trim(F.col("parameter_name")).alias("parameter_name"),
-                    to_canonical_unit(value, F.col("unit"), factors).alias("reading"),
-                    or_unknown(F.col("state_name")).alias("state_name"),
-                    or_unknown(F.col("city_name")).alias("city_name"),
-                    F.trim(F.col("source")).alias("source")))
-
-
-def _is_text_padded(raw: DataFrame) -> bool:
-    """Only the all-text layout can carry blanks around a metric name."""
-    return _is_text(raw, "value")
+    return raw.where(ok).select(
+        field("station_id").alias("station_id"), at.alias("collected_at"),
+        metric.alias("parameter_name"),
+        to_canonical_unit(value, F.col("unit"), factors).alias("reading"),
+        or_unknown(F.col("state_name")).alias("state_name"),
+        or_unknown(F.col("city_name")).alias("city_name"), field("source").alias("source"))
 
 
 def average_duplicates(readings: DataFrame) -> DataFrame:

@@ -12,23 +12,41 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _PER_E_FOLD = 65536
+_BROADCAST_ROWS = 10_000
 _OFFSET = 50_000_000  # above 745 * 65536, so buckets of positive values stay positive
 
 
 def value_bucket(value: Column) -> Column:
     """A non-decreasing integer function of the value, about 15 millionths wide."""
+    zero = F.lit(0).cast("bigint")
     scale = (F.floor(F.log(F.abs(value)) * _PER_E_FOLD) + _OFFSET).cast("bigint")
-    return F.when(value > 0, scale).when(value < 0, -scale).otherwise(F.lit(0).cast("bigint"))
+    signed = F.when(value > 0, scale).when(value < 0, -scale).otherwise(zero)
+    # Never null, so a join on the bucket adds no filter and both readers share one shuffle.
+    return F.coalesce(signed, zero)
 
 
 def percentiles(df: DataFrame, value: str, probabilities: list[float],
-                by: list[str] = ()) -> DataFrame:
-    """``by`` columns, ``probability`` and the linearly interpolated ``percentile``."""
-    by = list(by)
-    counts = (df.where(F.col(value).isNotNull())
-              .groupBy(*by, F.col(value).alias("_v")).agg(F.count("*").alias("_n"))
-              .withColumn("_bucket", value_bucket(F.col("_v"))))
+                by: list[str] = (), max_groups: int | None = None) -> DataFrame:
+    """``by`` columns, ``probability`` and the linearly interpolated ``percentile``.
+
+    ``max_groups`` is a bound the caller can prove, such as the number of
+    specified metrics.  It bounds the table of wanted buckets (two per group and
+    probability), which is then broadcast instead of shuffling the counts again.
+    """
+    return percentiles_of(value_counts(df, value, by), probabilities, by, max_groups)
+
 
+def value_counts(df: DataFrame, value: str, by: list[str] = ()) -> DataFrame:
+    """Distinct values ``_v`` per group with their number of rows ``_n``."""
+    return (df.where(F.col(value).isNotNull())
+            .groupBy(*by, F.col(value).alias("_v")).agg(F.count("*").alias("_n")))
+
+
+def percentiles_of(counts: DataFrame, probabilities: list[float], by: list[str] = (),
+                   max_groups: int | None = None) -> DataFrame:
+    """:func:`percentiles` of values already merged by :func:`value_counts`."""
+    by = list(by)
+    counts = counts.withColumn("_bucket", value_bucket(F.col("_v")))
     group = Window.partitionBy(*by)
     upto = group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     buckets = (counts.groupBy(*by, "_bucket").agg(F.sum("_n").alias("_size"))
@@ -44,6 +62,8 @@ def percentiles(df: DataFrame, value: str, probabilities: list[float],
               .select(*[F.col(c).alias(f"_by_{c}") for c in by], F.col("_bucket").alias("_b"),
                       "probability", "_position", "_lo", "_hi", F.col("_start").alias("_base")))
 
+    if max_groups is not None and 2 * max_groups * len(probabilities) <= _BROADCAST_ROWS:
+        wanted = F.broadcast(wanted)
     same = F.col("_bucket") == F.col("_b")
     for c in by:
         same = same & F.col(c).eqNullSafe(F.col(f"_by_{c}"))

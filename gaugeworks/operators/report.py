@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gaugeworks.model import MetricSpec
-from gaugeworks.operators.quantiles import percentiles
+from gaugeworks.operators.quantiles import percentiles, percentiles_of, value_counts
 
 
 def top_cities(ranking: DataFrame, spec: MetricSpec, top: int = 20) -> DataFrame:
@@ -66,7 +66,7 @@ def trim_upper(readings: DataFrame, spec: MetricSpec, quantile: float = 0.99) ->
     The cut-offs hold at most one row per specified metric, which bounds the broadcast.
     """
     of_spec = readings.where(F.col("parameter_name").isin(spec.names))
-    cut = percentiles(of_spec, "reading", [quantile], ["parameter_name"]).select(
+    cut = percentiles(of_spec, "reading", [quantile], ["parameter_name"], len(spec)).select(
         F.col("parameter_name").alias("_metric"), F.col("percentile").alias("_cut"))
     return (of_spec.join(F.broadcast(cut), F.col("parameter_name") == F.col("_metric"))
             .where(F.col("reading") <= F.col("_cut")).drop("_metric", "_cut"))
@@ -76,26 +76,28 @@ def density_histogram(readings: DataFrame, spec: MetricSpec, bins: int = 60,
                       quantile: float = 0.99) -> DataFrame:
     """Equal-width density histogram per metric after trimming; the last bin is closed.
 
-    Range and bin counts come from counts of distinct values, so the trimmed
-    readings are shuffled once, already merged.
+    Cut-off, range and bins all come from the counts of distinct values, so the
+    readings are shuffled once.  Joined frames hold one row per specified metric.
     """
-    values = (trim_upper(readings, spec, quantile)
-              .groupBy("parameter_name", "reading").agg(F.count("*").alias("n")))
-    shape = values.groupBy("parameter_name").agg(
-        F.min("reading").alias("lo"), F.sum("n").alias("total"),
-        ((F.max("reading") - F.min("reading")) / F.lit(float(bins))).alias("width"))
-    place = F.coalesce(F.least(F.floor(F.try_divide(F.col("reading") - F.col("lo"),
-                                                    F.col("width"))),
-                               F.lit(bins - 1)).cast("int"), F.lit(0))
-    counts = (values.join(F.broadcast(shape.select("parameter_name", "lo", "width")),
-                          "parameter_name")
-              .groupBy("parameter_name", place.alias("bin")).agg(F.sum("n").alias("n")))
+    metric = "parameter_name"
+    counts = value_counts(readings.where(F.col(metric).isin(spec.names)), "reading", [metric])
+    cut = percentiles_of(counts, [quantile], [metric], len(spec)).select(
+        metric, F.col("percentile").alias("_cut"))
+    kept = counts.join(F.broadcast(cut), metric).where(F.col("_v") <= F.col("_cut"))
+    shape = kept.groupBy(metric).agg(
+        F.min("_v").alias("lo"), F.sum("_n").alias("total"),
+        ((F.max("_v") - F.min("_v")) / F.lit(float(bins))).alias("width"))
+    place = F.least(F.floor(F.try_divide(F.col("_v") - F.col("lo"), F.col("width"))),
+                    F.lit(bins - 1).cast("bigint"))
+    placed = (kept.join(F.broadcast(shape.select(metric, "lo", "width")), metric)
+              .groupBy(metric, F.coalesce(place, F.lit(0)).cast("int").alias("bin"))
+              .agg(F.sum("_n").alias("n")))
     frame = shape.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
-    n = F.coalesce(F.col("n"), F.lit(0))
-    return (frame.join(counts, ["parameter_name", "bin"], "left")
-            .select("parameter_name", "bin",
+    n = F.coalesce(F.col("n"), F.lit(0).cast("bigint"))
+    return (frame.join(placed, [metric, "bin"], "left")
+            .select(metric, "bin",
                     (F.col("lo") + F.col("bin") * F.col("width")).alias("left_edge"),
-                    n.cast("bigint").alias("n"),
+                    n.alias("n"),
                     F.try_divide(n, F.col("total") * F.col("width")).alias("density")))
 
 

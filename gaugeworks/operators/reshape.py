@@ -7,10 +7,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gaugeworks.functions.statistics import when_metric
-from gaugeworks.functions.timeparts import time_parts
+from gaugeworks.functions.timeparts import day_of, time_parts
 from gaugeworks.model import MetricSpec
 
 STATION_HOUR = ["station_id", "collected_at"]
+LOCATION = ["state_name", "city_name", "source"]
 
 
 def pivot_mean(readings: DataFrame, spec: MetricSpec, keys: list[str] = STATION_HOUR,
@@ -25,6 +26,30 @@ def pivot_mean(readings: DataFrame, spec: MetricSpec, keys: list[str] = STATION_
         *[F.max(c).alias(c) for c in carry])
 
 
+def located_hours(kept: DataFrame, spec: MetricSpec) -> DataFrame:
+    """Kept readings straight to one row per station, hour and location label.
+
+    Averages duplicates and pivots in the same shuffle.  Metrics of one hour
+    meet before that shuffle when they were read together, so it carries
+    station-hours instead of readings.
+    """
+    return pivot_mean(kept, spec, [*STATION_HOUR, *LOCATION])
+
+
+def merge_locations(hours: DataFrame, spec: MetricSpec) -> DataFrame:
+    """One row per station-hour: the mean over its location labels, the greatest label kept."""
+    return hours.groupBy(*STATION_HOUR).agg(
+        *[F.avg(m.column).alias(m.column) for m in spec],
+        F.max("state_name").alias("state_name"), F.max("city_name").alias("city_name"))
+
+
+def daily_means(hours: DataFrame, spec: MetricSpec) -> DataFrame:
+    """One row per station and day: the mean of its hourly values."""
+    return hours.groupBy("station_id", day_of(F.col("collected_at")).alias("date")).agg(
+        *[F.avg(m.column).alias(m.column) for m in spec],
+        F.max("state_name").alias("state_name"), F.max("city_name").alias("city_name"))
+
+
 def pivot_max(readings: DataFrame, spec: MetricSpec, keys: list[str] = STATION_HOUR) -> DataFrame:
     """The same shape by maximum, with the location carried along."""
     return readings.groupBy(*keys).agg(
@@ -39,7 +64,8 @@ def attach_attributes(wide: DataFrame, attributes: DataFrame) -> DataFrame:
     Adaptive execution broadcasts it when its measured size allows and
     otherwise splits the partitions of a station that holds many hours.
     """
-    return wide.join(attributes, "station_id", "left")
+    bare = wide.drop(*[c for c in attributes.columns if c != "station_id"])
+    return bare.join(attributes, "station_id", "left")
 
 
 def wide_table(wide: DataFrame, attributes: DataFrame, spec: MetricSpec) -> DataFrame:

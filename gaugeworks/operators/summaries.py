@@ -189,7 +189,7 @@ def sample_statistics(wide: DataFrame, spec: MetricSpec, exact: bool = True) ->
         F.avg("value").alias("mean"), F.min("value").alias("min"), F.max("value").alias("max"),
         F.var_samp("value").alias("variance"), F.stddev_samp("value").alias("stddev")]
     if exact:
-        median = (percentiles(values, "value", [0.5], ["metric"])
+        median = (percentiles(values, "value", [0.5], ["metric"], len(spec))
                   .select(F.col("metric").alias("_m"), F.col("percentile").alias("median")))
         stats = (values.groupBy("metric").agg(*aggregates)
                  .join(median, F.col("metric") == F.col("_m"), "left"))

@@ -29,7 +29,7 @@ def _(t):
 @query("a16_pivot_mean", f"""
 SELECT station_id, strftime(collected_at, '%Y-%m-%d') AS date, {li("round({c}, 4) AS {c}")} FROM lcells""")
 def _(t):
-    wide = reshape.pivot_mean(t.bulk_clean, LINES)
+    wide = t.bulk_cells
     return wide.select("station_id", F.col("collected_at").cast("date").cast("string").alias("date"),
                        *LINES.columns)
 

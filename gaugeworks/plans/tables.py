@@ -4,9 +4,7 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from gaugeworks.functions.timeparts import day_of
 from gaugeworks.operators import clean, reshape, summaries
 from gaugeworks.sources import benchmark_tables as bench
 from gaugeworks.sources.readers import split_lines
@@ -39,18 +37,20 @@ class Tables:
     def clean(self) -> DataFrame:
         return clean.clean_long(self.raw, EVENTS)
 
+    @cached_property
+    def hours(self) -> DataFrame:
+        return reshape.located_hours(self.kept, EVENTS)
+
     @cached_property
     def wide(self) -> DataFrame:
         """Station-hours by mean, with attributes and calendar parts."""
-        attributes = clean.station_attributes(self.kept)
-        return reshape.wide_table(reshape.pivot_mean(self.clean, EVENTS), attributes, EVENTS)
+        return reshape.wide_table(reshape.merge_locations(self.hours, EVENTS),
+                                  clean.station_attributes(self.hours), EVENTS)
 
     @cached_property
     def daily(self) -> DataFrame:
         """Station-days by mean: the grain at which metrics of this data coincide."""
-        days = self.clean.withColumn("date", day_of(F.col("collected_at")))
-        return reshape.pivot_mean(days, EVENTS, ["station_id", "date"],
-                                  carry=["state_name", "city_name"])
+        return reshape.daily_means(reshape.merge_locations(self.hours, EVENTS), EVENTS)
 
     @cached_property
     def features(self) -> DataFrame:
@@ -72,15 +72,27 @@ class Tables:
     def bulk_kept(self) -> DataFrame:
         return clean.kept_readings(self.bulk_raw, LINES)
 
+    @cached_property
+    def _bulk_spread(self) -> DataFrame:
+        """The kept bulk readings for plans whose first shuffle is preceded by much work."""
+        return clean.kept_readings(bench.line_readings(self.spark, self.folder, spread=True), LINES)
+
     @cached_property
     def bulk_clean(self) -> DataFrame:
-        return clean.clean_long(self.bulk_raw, LINES)
+        return clean.with_time_parts(clean.average_duplicates(self._bulk_spread))
+
+    @cached_property
+    def bulk_hours(self) -> DataFrame:
+        return reshape.located_hours(self._bulk_spread, LINES)
+
+    @cached_property
+    def bulk_cells(self) -> DataFrame:
+        return reshape.merge_locations(self.bulk_hours, LINES)
 
     @cached_property
     def bulk_wide(self) -> DataFrame:
-        attributes = clean.station_attributes(self.bulk_kept)
-        return reshape.wide_table(reshape.pivot_mean(self.bulk_clean, LINES), attributes, LINES)
+        return reshape.wide_table(self.bulk_cells, clean.station_attributes(self.bulk_hours), LINES)
 
     @cached_property
     def bulk_features(self) -> DataFrame:
-        return summaries.station_features(self.bulk_wide, LINES, MIN_HOURS)
+        return summaries.station_features(self.bulk_cells, LINES, MIN_HOURS)

@@ -37,6 +37,16 @@ def _offset(key: str):
     return (F.col(key) % 1009).cast("double") / F.lit(7919.0)
 
 
+def _spread(rows: DataFrame, *keys: str) -> DataFrame:
+    """Deal rows over all cores when the scan has fewer splits than there are cores.
+
+    A sample file with one row group is read by one task, which would also do all
+    the work up to the first shuffle.  Large inputs have many splits and are left alone.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores, *keys)
+
+
 def places(spark: SparkSession, folder: str) -> DataFrame:
     """Nation as city, region as state; every eleventh city is missing."""
     nation, region = table(spark, folder, "nation"), table(spark, folder, "region")
@@ -89,7 +99,7 @@ def event_lines(spark: SparkSession, folder: str) -> DataFrame:
          .otherwise(whole).alias("line"))
 
 
-def line_readings(spark: SparkSession, folder: str) -> DataFrame:
+def line_readings(spark: SparkSession, folder: str, spread: bool = False) -> DataFrame:
     lines = (table(spark, folder, "lineitem")
              .select("l_orderkey", "l_suppkey", "l_linenumber", "l_shipdate", "l_returnflag",
                      F.col("l_quantity").alias("quantity"),
@@ -97,15 +107,18 @@ def line_readings(spark: SparkSession, folder: str) -> DataFrame:
                      F.col("l_discount").alias("discount"),
                      F.when(F.col("l_linenumber") != 3, F.col("l_tax")).alias("tax")))
     supplier = table(spark, folder, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    if spread:
+        lines = _spread(lines, "l_orderkey", "l_linenumber")
     located = (lines.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
                .join(places(spark, folder), F.col("s_nationkey") == F.col("n_nationkey"))
                .select(F.col("l_suppkey").alias("station_id"), F.col("s_name").alias("station_name"),
                        "state_name", "city_name", F.col("l_shipdate").alias("collected_at"),
                        F.col("l_returnflag").alias("source"), "l_orderkey",
                        *LINE_SPEC.names))
-    keep = ["station_id", "station_name", "state_name", "city_name", "collected_at", "source",
-            "l_orderkey"]
-    return (located.unpivot(keep, LINE_SPEC.names, "parameter_name", "measure")
+    measures = F.inline(F.array(*[F.struct(F.lit(n).alias("parameter_name"),
+                                           F.col(n).alias("measure")) for n in LINE_SPEC.names]))
+    return (located.select("station_id", "station_name", "state_name", "city_name", "collected_at",
+                           "source", "l_orderkey", measures)
             .where(F.col("measure").isNotNull())
             .select("station_id", "station_name", "state_name", "city_name", "parameter_name",
                     F.lit("µg/m³").alias("unit"), "collected_at",
