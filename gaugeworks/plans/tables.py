@@ -6,6 +6,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from gaugeworks.operators import clean, reshape, summaries
+from gaugeworks.session import tolerate_skew
 from gaugeworks.sources import benchmark_tables as bench
 from gaugeworks.sources.readers import split_lines
 
@@ -20,7 +21,7 @@ class Tables:
     """Lazy relations over one folder; each is built at most once per query."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = spark, folder
+        self.spark, self.folder = tolerate_skew(spark), folder
 
     def table(self, name: str) -> DataFrame:
         return bench.table(self.spark, self.folder, name)

@@ -7,6 +7,23 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Adaptive settings for keys that hold a large share of the rows.  The last one
+# lets a skewed join be split even when that costs one more shuffle downstream.
+SKEW_SETTINGS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+}
+
+
+def tolerate_skew(spark: SparkSession) -> SparkSession:
+    """Apply :data:`SKEW_SETTINGS` to a session somebody else built."""
+    for key, value in SKEW_SETTINGS.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def build_session(app: str = "gaugeworks", master: str | None = None,
                   shuffle_partitions: int | None = None, **conf: str) -> SparkSession:
     """A session with the settings the operators are written for.
@@ -18,14 +35,12 @@ def build_session(app: str = "gaugeworks", master: str | None = None,
     builder = (SparkSession.builder.appName(app)
                .config("spark.sql.session.timeZone", "UTC")
                .config("spark.sql.ansi.enabled", "true")
-               .config("spark.sql.adaptive.enabled", "true")
-               .config("spark.sql.adaptive.skewJoin.enabled", "true")
                .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
     if master:
         builder = builder.master(master)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    for key, value in conf.items():
+    for key, value in {**SKEW_SETTINGS, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
