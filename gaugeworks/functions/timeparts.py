@@ -4,7 +4,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
 _TIMESTAMP_SHAPE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}$"
 
 
@@ -14,7 +13,8 @@ def parse_timestamp(text: Column) -> Column:
 
 
 def format_timestamp(ts: Column) -> Column:
-    return F.date_format(ts, TIMESTAMP_FORMAT)
+    """Canonical text, to the second (date_format would pass through the session time zone)."""
+    return F.substring(ts.cast("string"), 1, 19)
 
 
 def hour_start(ts: Column) -> Column:

@@ -64,15 +64,16 @@ def spread_table(features: DataFrame, columns: list[str]) -> DataFrame:
 def prepare(features: DataFrame, columns: list[str], min_stations: int = MIN_STATIONS) -> DataFrame:
     """Complete, scaled stations with a ``features`` vector, cut off from their lineage.
 
-    K-means reads this frame dozens of times, so it is written once to the
-    shared folder instead of being recomputed from the readings.
+    The station table is written once to the shared folder before it is scaled
+    (scaling reads it twice) and once after (K-means reads it dozens of times),
+    so neither goes back to the readings.
     """
-    scaled = scale(complete_stations(features, columns), columns)
-    vectors = VectorAssembler(inputCols=[f"z_{c}" for c in columns], outputCol="features")
-    ready = cut_lineage(vectors.transform(scaled).drop(*[f"z_{c}" for c in columns]))
-    if ready.count() < min_stations:
+    stations = cut_lineage(complete_stations(features, columns))
+    if stations.count() < min_stations:
         raise ValueError(f"fewer than {min_stations} stations with complete features")
-    return ready
+    vectors = VectorAssembler(inputCols=[f"z_{c}" for c in columns], outputCol="features")
+    scaled = vectors.transform(scale(stations, columns))
+    return cut_lineage(scaled.drop(*[f"z_{c}" for c in columns]))
 
 
 def fit(prepared: DataFrame, k: int, restarts: int = RESTARTS, seed: int = SEED,
