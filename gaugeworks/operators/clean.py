@@ -9,6 +9,7 @@ from gaugeworks.functions.cleaning import (finite, is_blank, lenient_number, or_
                                            to_canonical_unit)
 from gaugeworks.functions.timeparts import parse_timestamp, time_parts
 from gaugeworks.model import LONG_COLUMNS, UNIT_FACTORS, UNKNOWN, MetricSpec
+from gaugeworks.operators.reshape import LOCATION, STATION_HOUR, located_hours, unpivot_wide
 
 # The buckets of the row audit, in order of precedence.
 BUCKETS = ("malformed", "header", "missing_timestamp", "missing_parameter", "non_core",
@@ -124,10 +125,24 @@ def with_time_parts(readings: DataFrame) -> DataFrame:
 
 
 def clean_long(raw: DataFrame, spec: MetricSpec, factors=UNIT_FACTORS) -> DataFrame:
-    """Raw readings to the clean long table, in one shuffle."""
+    """Raw readings to the clean long table, in one shuffle of readings.
+
+    The form for analyses of some metrics: a filter on the metric passes through
+    to the scan.  For the whole table see :func:`clean_table`.
+    """
     return with_time_parts(average_duplicates(kept_readings(raw, spec, factors)))
 
 
+def clean_table(kept: DataFrame, spec: MetricSpec) -> DataFrame:
+    """The same rows for all metrics at once, in one shuffle of station-hours.
+
+    The metrics of an hour are averaged side by side and unfolded after the
+    shuffle, which then carries each station, hour and location once.
+    """
+    hours = located_hours(kept, spec)
+    return with_time_parts(unpivot_wide(hours, spec, [*STATION_HOUR, *LOCATION]))
+
+
 def station_attributes(readings: DataFrame) -> DataFrame:
     """One row per station: a known label wins over ``Unknown``, then the greatest one."""
     def settled(column: str) -> Column:

@@ -26,6 +26,7 @@ RESTARTS = 10
 MIN_STATIONS = 10
 MAX_ITERATIONS = 300
 BLOCK_ROWS = 4096
+ROWS_PER_PARTITION = 50_000
 
 
 def complete_stations(features: DataFrame, columns: list[str]) -> DataFrame:
@@ -69,11 +70,13 @@ def prepare(features: DataFrame, columns: list[str], min_stations: int = MIN_STA
     so neither goes back to the readings.
     """
     stations = cut_lineage(complete_stations(features, columns))
-    if stations.count() < min_stations:
+    rows = stations.count()
+    if rows < min_stations:
         raise ValueError(f"fewer than {min_stations} stations with complete features")
     vectors = VectorAssembler(inputCols=[f"z_{c}" for c in columns], outputCol="features")
     scaled = vectors.transform(scale(stations, columns))
-    return cut_lineage(scaled.drop(*[f"z_{c}" for c in columns]))
+    few = scaled.coalesce(ceil(rows / ROWS_PER_PARTITION))
+    return cut_lineage(few.drop(*[f"z_{c}" for c in columns]))
 
 
 def fit(prepared: DataFrame, k: int, restarts: int = RESTARTS, seed: int = SEED,

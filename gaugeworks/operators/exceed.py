@@ -10,6 +10,7 @@ from gaugeworks.model import DAILY, MetricSpec
 
 # How an observation of each averaging time is called.
 OBSERVATION_UNITS = {"24-hour": "station-days", "8-hour": "8-hour blocks"}
+BLOCKS_PER_DAY = 3
 
 
 def with_limits(df: DataFrame, spec: MetricSpec) -> DataFrame:
@@ -18,24 +19,38 @@ def with_limits(df: DataFrame, spec: MetricSpec) -> DataFrame:
     return df.join(limits, F.col("parameter_name") == F.col("pollutant")).drop("parameter_name")
 
 
-def window_means(readings: DataFrame, spec: MetricSpec, min_hours: int = 1) -> DataFrame:
-    """Mean per station, metric and averaging window.
+def window_means(wide: DataFrame, spec: MetricSpec, min_hours: int = 1) -> DataFrame:
+    """Mean per station, metric and averaging window, from station-hours.
 
     ``block`` is the 8-hour block for metrics limited at eight hours and NULL
-    for metrics limited at a day, so both kinds share one scan and one shuffle.
+    for metrics limited at a day.  Both kinds come out of one aggregate per
+    station-day holding a sum and a count for every window, so one shuffle of
+    station-days serves all metrics; the windows are unfolded after it.
     """
-    daily = [m.name for m in spec if m.window == DAILY]
-    block = F.when(~F.col("parameter_name").isin(daily), block_of_day(F.col("collected_at")))
-    return (readings.where(F.col("parameter_name").isin(spec.names))
-            .groupBy("station_id", "city_name", "state_name", "parameter_name",
-                     day_of(F.col("collected_at")).alias("date"), block.alias("block"))
-            .agg(F.avg("reading").alias("mean"), F.count("reading").alias("hours"),
-                 F.sum("reading").alias("total"))
-            .where(F.col("hours") >= min_hours))
-
-
-def _city_counts(readings: DataFrame, spec: MetricSpec, min_hours: int) -> DataFrame:
-    windows = with_limits(window_means(readings, spec, min_hours), spec)
+    block = block_of_day(F.col("collected_at"))
+    windows, sums = [], []
+    for m in spec:
+        for b in ([None] if m.window == DAILY else range(BLOCKS_PER_DAY)):
+            name = f"{m.short}_{'day' if b is None else b}"
+            value = F.col(m.column) if b is None else F.when(block == b, F.col(m.column))
+            sums += [F.sum(value).alias(f"_sum_{name}"), F.count(value).alias(f"_n_{name}")]
+            windows.append(F.struct(
+                F.lit(m.name).alias("parameter_name"), F.lit(b).cast("int").alias("block"),
+                F.col(f"_n_{name}").alias("hours"), F.col(f"_sum_{name}").alias("total")))
+    keys = ["station_id", "city_name", "state_name", "date"]
+    days = (wide.withColumn("date", day_of(F.col("collected_at"))).groupBy(*keys).agg(*sums))
+    return (days.select(*keys, F.inline(F.array(*windows)))
+            .where((F.col("hours") > 0) & (F.col("hours") >= min_hours))
+            .withColumn("mean", F.col("total") / F.col("hours")))
+
+
+def city_counts(wide: DataFrame, spec: MetricSpec, min_hours: int = 1) -> DataFrame:
+    """Per city and metric: windows, mean of means, windows above the limit, and plain sums.
+
+    Every exceedance result follows from this small table; stage it when
+    several of them are wanted.
+    """
+    windows = with_limits(window_means(wide, spec, min_hours), spec)
     over = over_limit(F.col("mean"), F.col("standard_ug_m3"))
     return (windows.groupBy("city_name", "state_name", "pollutant", "metric_order",
                             "standard_ug_m3", "averaging_time", "who_2021_ug_m3",
@@ -46,31 +61,26 @@ def _city_counts(readings: DataFrame, spec: MetricSpec, min_hours: int) -> DataF
             .withColumn("pct", percentage(F.col("over"), F.col("n"))))
 
 
-def city_exceedance(readings: DataFrame, spec: MetricSpec, min_observations: int = 30,
-                    min_hours: int = 1) -> DataFrame:
+def city_exceedance(counts: DataFrame, min_observations: int = 30) -> DataFrame:
     """Observations, mean of means, exceedances and their share per city and metric."""
-    return (_city_counts(readings, spec, min_hours)
-            .where(F.col("n") >= min_observations)
+    return (counts.where(F.col("n") >= min_observations)
             .select("city_name", "state_name", "pollutant",
                     F.col("standard_ug_m3").alias("standard"), "n", "mean", "over", "pct"))
 
 
-def network_exceedance(readings: DataFrame, spec: MetricSpec, min_observations: int = 30,
-                       min_hours: int = 1) -> DataFrame:
+def network_exceedance(counts: DataFrame, min_observations: int = 30) -> DataFrame:
     """One row per metric over the whole network.
 
-    Everything follows from the per-city counts: totals before the floor, the
-    worst city after it, and the cities whose plain mean is above the limit
-    from the sums carried along.
+    Totals are taken before the floor, the worst city after it, and the cities
+    whose plain mean is above the limit from the sums carried along.
     """
     ranked = F.when(F.col("n") >= min_observations,
                     F.struct((-F.col("pct")).alias("rank"), "city_name", "state_name"))
     above = over_limit(F.try_divide(F.col("total"), F.col("hours")), F.col("standard_ug_m3"))
     unit = F.element_at(F.create_map(*[F.lit(x) for kv in OBSERVATION_UNITS.items()
                                        for x in kv]), F.col("averaging_time"))
-    return (_city_counts(readings, spec, min_hours)
-            .groupBy("pollutant", "standard_ug_m3", "averaging_time", "who_2021_ug_m3",
-                     "who_averaging_time")
+    return (counts.groupBy("pollutant", "standard_ug_m3", "averaging_time", "who_2021_ug_m3",
+                           "who_averaging_time")
             .agg(F.sum("n").alias("observations"), F.sum("over").alias("exceedances"),
                  F.count_if(above).alias("cities_with_mean_above"), F.min(ranked).alias("worst"))
             .select("pollutant", "standard_ug_m3", "averaging_time", "who_2021_ug_m3",

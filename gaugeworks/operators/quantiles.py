@@ -1,10 +1,9 @@
 """Exact percentiles of groups of any size.
 
 The built-in exact aggregate buffers every distinct value of a group in one
-task.  Here equal values are first merged into counts, the counts are located
-in narrow order-preserving value buckets, and only the buckets that hold a
-wanted rank are ranked.  The hot group is spread over its distinct values in
-the one large shuffle, and both branches read that same shuffle.
+task.  Here values are first counted in narrow order-preserving buckets, which
+combines before the shuffle; then only the buckets that hold a wanted rank are
+looked into and ranked.  No task ever holds a group.
 """
 from __future__ import annotations
 
@@ -31,25 +30,21 @@ def percentiles(df: DataFrame, value: str, probabilities: list[float],
 
     ``max_groups`` is a bound the caller can prove, such as the number of
     specified metrics.  It bounds the table of wanted buckets (two per group and
-    probability), which is then broadcast instead of shuffling the counts again.
+    probability), which is then broadcast to a second scan of the input.
+    Without a bound, equal values are merged into counts first and the counts
+    are joined by shuffle, so that a frequent value cannot skew that join.
     """
-    return percentiles_of(value_counts(df, value, by), probabilities, by, max_groups)
-
-
-def value_counts(df: DataFrame, value: str, by: list[str] = ()) -> DataFrame:
-    """Distinct values ``_v`` per group with their number of rows ``_n``."""
-    return (df.where(F.col(value).isNotNull())
-            .groupBy(*by, F.col(value).alias("_v")).agg(F.count("*").alias("_n")))
-
-
-def percentiles_of(counts: DataFrame, probabilities: list[float], by: list[str] = (),
-                   max_groups: int | None = None) -> DataFrame:
-    """:func:`percentiles` of values already merged by :func:`value_counts`."""
     by = list(by)
-    counts = counts.withColumn("_bucket", value_bucket(F.col("_v")))
+    bounded = max_groups is not None and 2 * max_groups * len(probabilities) <= _BROADCAST_ROWS
+    present = df.where(F.col(value).isNotNull()).select(*by, F.col(value).alias("_v"))
+    one = F.lit(1).cast("bigint")
+    rows = (present.withColumn("_n", one) if bounded
+            else present.groupBy(*by, "_v").agg(F.sum(one).alias("_n")))
+    rows = rows.withColumn("_bucket", value_bucket(F.col("_v")))
+
     group = Window.partitionBy(*by)
     upto = group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    buckets = (counts.groupBy(*by, "_bucket").agg(F.sum("_n").alias("_size"))
+    buckets = (rows.groupBy(*by, "_bucket").agg(F.sum("_n").alias("_size"))
                .select(*by, "_bucket", F.sum("_size").over(upto).alias("_end"),
                        F.sum("_size").over(group).alias("_total"), "_size"))
     wanted = (buckets
@@ -62,15 +57,15 @@ def percentiles_of(counts: DataFrame, probabilities: list[float], by: list[str]
               .select(*[F.col(c).alias(f"_by_{c}") for c in by], F.col("_bucket").alias("_b"),
                       "probability", "_position", "_lo", "_hi", F.col("_start").alias("_base")))
 
-    if max_groups is not None and 2 * max_groups * len(probabilities) <= _BROADCAST_ROWS:
-        wanted = F.broadcast(wanted)
     same = F.col("_bucket") == F.col("_b")
     for c in by:
         same = same & F.col(c).eqNullSafe(F.col(f"_by_{c}"))
-    inside = (Window.partitionBy(*by, "probability", "_bucket").orderBy("_v")
-              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ranked = (counts.join(wanted, same)
-              .withColumn("_end", F.col("_base") + F.sum("_n").over(inside))
+    rank = ["probability", "_position", "_lo", "_hi", "_base", "_bucket"]
+    inside = (rows.join(F.broadcast(wanted) if bounded else wanted, same)
+              .groupBy(*by, *rank, "_v").agg(F.sum("_n").alias("_n")))
+    order = (Window.partitionBy(*by, "probability", "_bucket").orderBy("_v")
+             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ranked = (inside.withColumn("_end", F.col("_base") + F.sum("_n").over(order))
               .withColumn("_start", F.col("_end") - F.col("_n")))
     picked = ranked.groupBy(*by, "probability", "_position", "_lo").agg(
         F.max(F.when(_holds("_lo"), F.col("_v"))).alias("_low"),

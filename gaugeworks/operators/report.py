@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gaugeworks.model import MetricSpec
-from gaugeworks.operators.quantiles import percentiles, percentiles_of, value_counts
+from gaugeworks.operators.quantiles import percentiles
 
 
 def top_cities(ranking: DataFrame, spec: MetricSpec, top: int = 20) -> DataFrame:
@@ -76,22 +76,19 @@ def density_histogram(readings: DataFrame, spec: MetricSpec, bins: int = 60,
                       quantile: float = 0.99) -> DataFrame:
     """Equal-width density histogram per metric after trimming; the last bin is closed.
 
-    Cut-off, range and bins all come from the counts of distinct values, so the
-    readings are shuffled once.  Joined frames hold one row per specified metric.
+    Every pass over the readings ends in an aggregate of fixed size, combined
+    before its shuffle; the frames joined to them hold one row per specified metric.
     """
-    metric = "parameter_name"
-    counts = value_counts(readings.where(F.col(metric).isin(spec.names)), "reading", [metric])
-    cut = percentiles_of(counts, [quantile], [metric], len(spec)).select(
-        metric, F.col("percentile").alias("_cut"))
-    kept = counts.join(F.broadcast(cut), metric).where(F.col("_v") <= F.col("_cut"))
-    shape = kept.groupBy(metric).agg(
-        F.min("_v").alias("lo"), F.sum("_n").alias("total"),
-        ((F.max("_v") - F.min("_v")) / F.lit(float(bins))).alias("width"))
-    place = F.least(F.floor(F.try_divide(F.col("_v") - F.col("lo"), F.col("width"))),
+    metric, v = "parameter_name", F.col("reading")
+    trimmed = trim_upper(readings, spec, quantile).select(metric, "reading")
+    shape = trimmed.groupBy(metric).agg(
+        F.min(v).alias("lo"), F.count(v).alias("total"),
+        ((F.max(v) - F.min(v)) / F.lit(float(bins))).alias("width"))
+    place = F.least(F.floor(F.try_divide(v - F.col("lo"), F.col("width"))),
                     F.lit(bins - 1).cast("bigint"))
-    placed = (kept.join(F.broadcast(shape.select(metric, "lo", "width")), metric)
+    placed = (trimmed.join(F.broadcast(shape.select(metric, "lo", "width")), metric)
               .groupBy(metric, F.coalesce(place, F.lit(0)).cast("int").alias("bin"))
-              .agg(F.sum("_n").alias("n")))
+              .agg(F.count("*").alias("n")))
     frame = shape.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
     n = F.coalesce(F.col("n"), F.lit(0).cast("bigint"))
     return (frame.join(placed, [metric, "bin"], "left")

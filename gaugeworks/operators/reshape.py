@@ -1,8 +1,6 @@
 """Long to wide and back."""
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -96,8 +94,6 @@ def rename_metrics(df: DataFrame, spec: MetricSpec) -> DataFrame:
 
 def unpivot_wide(wide: DataFrame, spec: MetricSpec, keep: list[str]) -> DataFrame:
     """One row per present cell, keyed by metric name."""
-    name = reduce(lambda acc, m: F.when(F.col("_column") == m.column, m.name).otherwise(acc),
-                  spec, F.lit(None))
-    return (wide.unpivot(keep, spec.columns, "_column", "reading")
-            .where(F.col("reading").isNotNull())
-            .select(*keep, name.alias("parameter_name"), "reading"))
+    cells = F.inline(F.array(*[F.struct(F.lit(m.name).alias("parameter_name"),
+                                        F.col(m.column).alias("reading")) for m in spec]))
+    return wide.select(*keep, cells).where(F.col("reading").isNotNull())

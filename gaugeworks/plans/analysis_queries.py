@@ -23,7 +23,7 @@ def _stamped(df):
 SELECT station_id, strftime(collected_at, '%Y-%m-%d %H:%M:%S') AS collected_at, year, month, day,
   hour, parameter_name, round(reading, 4) AS reading, state_name, city_name, source FROM lclean""")
 def _(t):
-    return _stamped(t.bulk_clean)
+    return _stamped(t.bulk_table)
 
 
 @query("a16_pivot_mean", f"""
@@ -85,7 +85,7 @@ FROM (SELECT city_name, state_name, n AS click_n, pct AS click_pct FROM city_exc
 FULL JOIN (SELECT city_name, state_name, n AS purchase_n, pct AS purchase_pct FROM city_exc WHERE pollutant = 'purchase' AND pct > 15)
 USING (city_name, state_name)""")
 def _(t):
-    high = exceed.city_exceedance(t.clean, EVENTS).where(
+    high = exceed.city_exceedance(t.city_counts).where(
         (F.col("pct") > 15) & F.col("pollutant").isin("click", "purchase"))
     return exceed.exceedance_by_city(high, EVENTS).select(
         "city_name", "state_name", "click_n", "click_pct", "purchase_n", "purchase_pct")
@@ -112,7 +112,7 @@ WITH ranked AS (SELECT city_name, state_name, {_GREATEST} AS worst_pct FROM by_c
 SELECT city_name, state_name, pollutant, n, round(mean, 4) AS mean, round(pct, 4) AS pct
 FROM city_exc JOIN ranked USING (city_name, state_name)""")
 def _(t):
-    cities = exceed.city_exceedance(t.clean, EVENTS)
+    cities = exceed.city_exceedance(t.city_counts)
     ranked = exceed.worst_cities(exceed.exceedance_by_city(cities, EVENTS), EVENTS)
     return (cities.join(ranked.select("city_name", "state_name"), ["city_name", "state_name"],
                         "left_semi")
@@ -159,7 +159,7 @@ def _(t):
 @query("u1_typed_union", "SELECT * FROM (" + _OVERVIEW.format(c="clean") + ") UNION ALL "
        "SELECT * FROM (" + _OVERVIEW.format(c="lclean") + ")")
 def _(t):
-    return summaries.corpus_overview(t.clean).unionByName(summaries.corpus_overview(t.bulk_clean))
+    return summaries.corpus_overview(t.clean).unionByName(summaries.corpus_overview(t.bulk_table))
 
 
 @query("a2_overall_means", f"""
@@ -235,7 +235,7 @@ FROM lclean GROUP BY year, month"""
 
 @query("a8_monthly_means", _MONTHLY)
 def _(t):
-    return summaries.monthly_means(t.bulk_clean, LINES)
+    return summaries.monthly_means(t.bulk_table, LINES)
 
 
 @query("o9_ordered_axes", f"""
@@ -243,7 +243,7 @@ WITH m AS ({_MONTHLY}) SELECT *, row_number() OVER (ORDER BY year, month) AS pla
 def _(t):
     from pyspark.sql import Window
     place = F.row_number().over(Window.orderBy("year", "month")).cast("bigint")
-    return summaries.monthly_means(t.bulk_clean, LINES).withColumn("place", place)
+    return summaries.monthly_means(t.bulk_table, LINES).withColumn("place", place)
 
 
 @query("a9_hourly_profile", f"""
@@ -279,7 +279,7 @@ FROM names LEFT JOIN lclean ON parameter_name = pollutant GROUP BY pollutant"""
 
 @query("a11_population_statistics", _population_sql(li("'{n}'")), variance=0)
 def _(t):
-    return summaries.population_statistics(t.bulk_clean, LINES)
+    return summaries.population_statistics(t.bulk_table, LINES)
 
 
 def _sample_sql(spec_rows: str) -> str:
@@ -392,7 +392,7 @@ def _window_sql(kind: str) -> str:
 
 
 def _windows(t):
-    return (exceed.window_means(t.clean, EVENTS).drop("total")
+    return (exceed.window_means(t.wide, EVENTS).drop("total")
             .withColumn("date", F.col("date").cast("string"))
             .withColumnRenamed("parameter_name", "pollutant"))
 
@@ -411,7 +411,7 @@ def _(t):
 SELECT city_name, state_name, pollutant, standard, n, round(mean, 4) AS mean, over,
   round(pct, 4) AS pct FROM city_exc""")
 def _(t):
-    return exceed.city_exceedance(t.clean, EVENTS)
+    return exceed.city_exceedance(t.city_counts)
 
 
 _NETWORK = """
@@ -435,17 +435,17 @@ FROM limits JOIN totals USING (pollutant) JOIN above USING (pollutant) LEFT JOIN
 
 @query("a27_network_exceedance", f"{_NETWORK} SELECT * FROM network")
 def _(t):
-    return exceed.network_exceedance(t.clean, EVENTS)
+    return exceed.network_exceedance(t.city_counts)
 
 
 @query("r8_headline", f"""{_NETWORK}
 SELECT pollutant, pct_above, cities_with_mean_above, worst_city, worst_city_pct_above FROM network""")
 def _(t):
-    return report.headline(exceed.network_exceedance(t.clean, EVENTS))
+    return report.headline(exceed.network_exceedance(t.city_counts))
 
 
 def _by_city(t):
-    return exceed.exceedance_by_city(exceed.city_exceedance(t.clean, EVENTS), EVENTS)
+    return exceed.exceedance_by_city(exceed.city_exceedance(t.city_counts), EVENTS)
 
 
 @query("a28_exceedance_by_city", f"SELECT city_name, state_name, {_BY_CITY_CELLS} FROM by_city")
@@ -493,19 +493,19 @@ FROM x ORDER BY rank LIMIT 20"""
 
 @query("o5_exceedance_highlights", _HIGHLIGHTS)
 def _(t):
-    return exceed.exceedance_highlights(exceed.city_exceedance(t.clean, EVENTS))
+    return exceed.exceedance_highlights(exceed.city_exceedance(t.city_counts))
 
 
 @query("w1_rank_numbers", f"SELECT rank, city_name, pollutant FROM ({_HIGHLIGHTS})")
 def _(t):
-    return (exceed.exceedance_highlights(exceed.city_exceedance(t.clean, EVENTS))
+    return (exceed.exceedance_highlights(exceed.city_exceedance(t.city_counts))
             .select("rank", "city_name", "pollutant"))
 
 
 @query("f22_exceeding_only", """
 SELECT city_name, state_name, pollutant, over, round(pct, 4) AS pct FROM city_exc WHERE pct > 0""")
 def _(t):
-    return (exceed.city_exceedance(t.clean, EVENTS).where(F.col("pct") > 0)
+    return (exceed.city_exceedance(t.city_counts).where(F.col("pct") > 0)
             .select("city_name", "state_name", "pollutant", "over", "pct"))
 
 
@@ -613,7 +613,7 @@ def _(t):
 SELECT year, month, strftime(make_date(year, month, 1), '%b') AS label,
   round(avg(reading), 4) AS quantity_avg FROM lclean WHERE parameter_name = 'quantity' GROUP BY year, month""")
 def _(t):
-    return report.monthly_series(summaries.monthly_means(t.bulk_clean, LINES), LINES)
+    return report.monthly_series(summaries.monthly_means(t.bulk_table, LINES), LINES)
 
 
 @query("r3_daily_cycle", """
@@ -637,7 +637,7 @@ SELECT parameter_name, CAST(b.bin AS INTEGER) AS bin, round(lo + b.bin * width,
 FROM shape CROSS JOIN (SELECT unnest(range(60)) AS bin) b
 LEFT JOIN placed USING (parameter_name, bin)""", density=6)
 def _(t):
-    return report.density_histogram(t.bulk_clean, LINES)
+    return report.density_histogram(t.bulk_table, LINES)
 
 
 @query("r5_deviation_bands", """
@@ -645,7 +645,7 @@ SELECT parameter_name AS pollutant, round(avg(reading), 4) AS mean,
   round(avg(reading) + stddev_pop(reading), 4) AS upper, round(max(reading), 4) AS max
 FROM lclean GROUP BY ALL""")
 def _(t):
-    return report.deviation_bands(summaries.population_statistics(t.bulk_clean, LINES))
+    return report.deviation_bands(summaries.population_statistics(t.bulk_table, LINES))
 
 
 @query("w2_relative_change", """
@@ -654,7 +654,7 @@ WITH m AS (SELECT year * 100 + month AS period, avg(reading) AS price_avg FROM l
 SELECT CAST(period AS INTEGER) AS period, round(price_avg, 4) AS price_avg,
   round(abs(price_avg - lag(price_avg) OVER (ORDER BY period)) / price_avg, 4) AS relative_change FROM m""")
 def _(t):
-    monthly = summaries.monthly_means(t.bulk_clean, LINES).select(
+    monthly = summaries.monthly_means(t.bulk_table, LINES).select(
         (F.col("year") * 100 + F.col("month")).alias("period"), "price_avg")
     return report.relative_change(monthly, "period", "price_avg")
 

@@ -5,7 +5,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gaugeworks.operators import clean, reshape, summaries
+from gaugeworks.operators import clean, exceed, reshape, summaries
 from gaugeworks.session import tolerate_skew
 from gaugeworks.sources import benchmark_tables as bench
 from gaugeworks.sources.readers import split_lines
@@ -13,7 +13,7 @@ from gaugeworks.sources.readers import split_lines
 EVENTS = bench.EVENT_SPEC
 LINES = bench.LINE_SPEC
 
-# Scaled-down floors; the reference data has thousands of hours per station, these tables a dozen.
+# A floor these tables can meet: a year of readings has thousands of hours per station, they a dozen.
 MIN_HOURS = 10
 
 
@@ -53,6 +53,10 @@ class Tables:
         """Station-days by mean: the grain at which metrics of this data coincide."""
         return reshape.daily_means(reshape.merge_locations(self.hours, EVENTS), EVENTS)
 
+    @cached_property
+    def city_counts(self) -> DataFrame:
+        return exceed.city_counts(self.wide, EVENTS)
+
     @cached_property
     def features(self) -> DataFrame:
         return summaries.station_features(self.daily, EVENTS, MIN_HOURS)
@@ -80,7 +84,13 @@ class Tables:
 
     @cached_property
     def bulk_clean(self) -> DataFrame:
-        return clean.with_time_parts(clean.average_duplicates(self._bulk_spread))
+        """For queries about one metric."""
+        return clean.clean_long(self.bulk_raw, LINES)
+
+    @cached_property
+    def bulk_table(self) -> DataFrame:
+        """For queries about all metrics."""
+        return clean.clean_table(self._bulk_spread, LINES)
 
     @cached_property
     def bulk_hours(self) -> DataFrame:

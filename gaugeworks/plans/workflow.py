@@ -17,7 +17,7 @@ def stage(raw: DataFrame, spec: MetricSpec, out: str) -> tuple[DataFrame, DataFr
     """
     spark = raw.sparkSession
     kept = clean.kept_readings(raw, spec)
-    writers.write_tree(clean.with_time_parts(clean.average_duplicates(kept)), f"{out}/clean")
+    writers.write_tree(clean.clean_table(kept, spec), f"{out}/clean")
     hours = reshape.located_hours(kept, spec)
     wide = reshape.wide_table(reshape.merge_locations(hours, spec),
                               clean.station_attributes(hours), spec)
@@ -26,11 +26,8 @@ def stage(raw: DataFrame, spec: MetricSpec, out: str) -> tuple[DataFrame, DataFr
 
 
 def analyses(readings: DataFrame, wide: DataFrame, spec: MetricSpec, min_stations: int = 3,
-             min_hours: int = 500, min_observations: int = 30) -> dict[str, DataFrame]:
-    """Every lazy result relation by name."""
-    cities = exceed.city_exceedance(readings, spec, min_observations)
-    by_city = exceed.exceedance_by_city(cities, spec)
-    pairs = correlate.correlation_pairs(wide, spec)
+             min_hours: int = 500) -> dict[str, DataFrame]:
+    """Every result that is computed from the staged readings, by name."""
     return {
         "overview": summaries.corpus_overview(readings),
         "city_ranking": summaries.city_ranking(readings, spec, min_stations, top=None),
@@ -41,20 +38,31 @@ def analyses(readings: DataFrame, wide: DataFrame, spec: MetricSpec, min_station
         "sample_statistics": summaries.sample_statistics(wide, spec),
         "coverage": summaries.coverage(wide, spec),
         "city_metric_summary": summaries.city_metric_summary(readings),
-        "correlation_pairs": pairs,
+        "correlation_pairs": correlate.correlation_pairs(wide, spec),
         "correlation_matrix": correlate.correlation_matrix(wide, spec),
         "station_features": summaries.station_features(wide, spec, min_hours),
         "thresholds": exceed.thresholds(readings, spec),
-        "exceedance_network": exceed.network_exceedance(readings, spec, min_observations),
+        "exceedance_counts": exceed.city_counts(wide, spec),
+        "histogram": report.density_histogram(readings, spec),
+    }
+
+
+def exceedance(counts: DataFrame, spec: MetricSpec,
+               min_observations: int = 30) -> dict[str, DataFrame]:
+    """Every exceedance result, from the staged per-city counts."""
+    cities = exceed.city_exceedance(counts, min_observations)
+    by_city = exceed.exceedance_by_city(cities, spec)
+    return {
+        "exceedance_network": exceed.network_exceedance(counts, min_observations),
         "exceedance_by_city": by_city,
         "exceedance_worst": exceed.worst_cities(by_city, spec),
         "exceedance_highlights": exceed.exceedance_highlights(cities),
-        "histogram": report.density_histogram(readings, spec),
     }
 
 
 def run(spark: SparkSession, raw: DataFrame, out: str, spec: MetricSpec = AIR_QUALITY,
-        ks=cluster.K_RANGE, restarts: int = cluster.RESTARTS, **floors: int) -> dict[str, str]:
+        ks=cluster.K_RANGE, restarts: int = cluster.RESTARTS, min_observations: int = 30,
+        **floors: int) -> dict[str, str]:
     """Audit, stage, analyse and cluster; returns the path of every result."""
     paths = {}
 
@@ -66,6 +74,9 @@ def run(spark: SparkSession, raw: DataFrame, out: str, spec: MetricSpec = AIR_QU
     readings, wide = stage(raw, spec, out)
     for name, df in analyses(readings, wide, spec, **floors).items():
         publish(name, df)
+    counts = spark.read.parquet(paths["exceedance_counts"])
+    for name, df in exceedance(counts, spec, min_observations).items():
+        publish(name, df)
     features = spark.read.parquet(paths["station_features"])
     complete = cluster.complete_stations(features, spec.averages)
     if complete.agg(F.count("*").alias("n")).first()["n"] >= cluster.MIN_STATIONS:

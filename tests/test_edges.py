@@ -247,27 +247,28 @@ def test_exceedance_counts_floor_and_ties(spark):
                  for d in range(1, 5)]
     rows += [("sZ", "2024-01-01 01:00", "a", 99, "Z"), ("sX", "2024-01-01 02:00", "a", 20, "X"),
              ("sX", "2024-01-01 03:00", "b", 50, "X"), ("sX", "2024-01-01 09:00", "b", 1, "X")]
-    df = readings(spark, rows)
+    wide = reshape.merge_locations(reshape.located_hours(readings(spark, rows), TWO), TWO)
+    counts = exceed.city_counts(wide, TWO)
     cities = {(r.city_name, r.pollutant): r for r in
-              exceed.city_exceedance(df, TWO, min_observations=2).collect()}
+              exceed.city_exceedance(counts, 2).collect()}
     assert set(cities) == {("X", "a"), ("Y", "a"), ("X", "b")}
     assert (cities["X", "a"].n, cities["X", "a"].over, cities["X", "a"].pct) == (4, 2, 50.0)
     assert cities["X", "a"]["mean"] == pytest.approx((20 + 20 + 1 + 1) / 4)
     assert (cities["X", "b"].n, cities["X", "b"].pct) == (2, 50.0)
-    net = {r.pollutant: r for r in exceed.network_exceedance(df, TWO, min_observations=2).collect()}
+    net = {r.pollutant: r for r in exceed.network_exceedance(counts, 2).collect()}
     assert (net["a"].observations, net["a"].exceedances) == (9, 5)
     assert (net["a"].worst_city, net["a"].worst_city_pct_above) == ("X", 50.0)
     assert net["a"].cities_with_mean_above == 3 and net["a"].observation_unit == "station-days"
     assert net["b"].observation_unit == "8-hour blocks"
-    wide = exceed.exceedance_by_city(exceed.city_exceedance(df, TWO, min_observations=2), TWO)
-    worst = exceed.worst_cities(wide, TWO, 1).first()
+    table = exceed.exceedance_by_city(exceed.city_exceedance(counts, 2), TWO)
+    worst = exceed.worst_cities(table, TWO, 1).first()
     assert (worst.city_name, worst.worst_pct, worst["b_n"]) == ("X", 50.0, 2)
-    offenders = dict(values(exceed.with_main_offender(wide, TWO), "city_name", "main_offender"))
+    offenders = dict(values(exceed.with_main_offender(table, TWO), "city_name", "main_offender"))
     assert offenders == {"X": "a", "Y": "a"}
-    best = exceed.exceedance_highlights(exceed.city_exceedance(df, TWO, 2), 2).orderBy("rank").collect()
+    best = exceed.exceedance_highlights(exceed.city_exceedance(counts, 2), 2).orderBy("rank").collect()
     assert [(r["rank"], r.city_name, r.pollutant, r.exceeding_pairs) for r in best] == [
         (1, "X", "a", 3), (2, "X", "b", 3)]
-    assert exceed.window_means(df, TWO, min_hours=2).count() == 1
+    assert exceed.window_means(wide, TWO, min_hours=2).count() == 1
 
 
 def test_main_offender_skips_missing_metrics(spark):
