@@ -182,8 +182,7 @@ def sample_statistics(wide: DataFrame, spec: MetricSpec, exact: bool = True) ->
     The median is exact by default; see ``quantiles`` for how it stays
     distributed.  ``exact=False`` takes a mergeable sketch in the same pass.
     """
-    cells = wide.select(F.col("station_id"), *spec.columns)
-    values = cells.unpivot(["station_id"], spec.columns, "metric", "value")
+    values = wide.select(*spec.columns).unpivot([], spec.columns, "metric", "value")
     aggregates = [
         F.count("value").alias("n"), F.count_if(F.col("value").isNull()).alias("missing"),
         F.avg("value").alias("mean"), F.min("value").alias("min"), F.max("value").alias("max"),

@@ -292,7 +292,7 @@ SELECT pollutant, count(v) AS n, count(*) - count(v) AS missing, round(avg(v), 4
 @query("a12_sample_statistics",
        _sample_sql(li("SELECT '{n}' AS pollutant, {c} AS v FROM lwide", " UNION ALL ")), variance=0)
 def _(t):
-    return summaries.sample_statistics(t.bulk_wide, LINES)
+    return summaries.sample_statistics(t.staged(t.bulk_cells.select(*LINES.columns)), LINES)
 
 
 _SUMMARY = """SELECT city_name AS city, parameter_name AS pollutant, count({v}) AS reading_count,
@@ -637,7 +637,8 @@ SELECT parameter_name, CAST(b.bin AS INTEGER) AS bin, round(lo + b.bin * width,
 FROM shape CROSS JOIN (SELECT unnest(range(60)) AS bin) b
 LEFT JOIN placed USING (parameter_name, bin)""", density=6)
 def _(t):
-    return report.density_histogram(t.bulk_table, LINES)
+    return report.density_histogram(
+        t.staged(t.bulk_table.select("parameter_name", "reading")), LINES)
 
 
 @query("r5_deviation_bands", """

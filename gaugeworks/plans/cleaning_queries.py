@@ -210,7 +210,8 @@ WITH cut AS (SELECT parameter_name, quantile_cont(reading, 0.99) AS q FROM lclea
 SELECT parameter_name, count(*) AS rows, round(max(reading), 4) AS largest, round(avg(reading), 4) AS mean
 FROM lclean JOIN cut USING (parameter_name) WHERE reading <= q GROUP BY ALL""")
 def _(t):
-    return (report.trim_upper(t.bulk_table, LINES).groupBy("parameter_name")
+    readings = t.staged(t.bulk_table.select("parameter_name", "reading"))
+    return (report.trim_upper(readings, LINES).groupBy("parameter_name")
             .agg(F.count("*").alias("rows"), F.max("reading").alias("largest"),
                  F.avg("reading").alias("mean")))
 

@@ -6,7 +6,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from gaugeworks.operators import clean, exceed, reshape, summaries
-from gaugeworks.session import tolerate_skew
+from gaugeworks.session import fresh_path, tolerate_skew
 from gaugeworks.sources import benchmark_tables as bench
 from gaugeworks.sources.readers import split_lines
 
@@ -23,6 +23,12 @@ class Tables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = tolerate_skew(spark), folder
 
+    def staged(self, df: DataFrame) -> DataFrame:
+        """Write a relation that several passes read to the shared folder, and scan it from there."""
+        path = fresh_path(self.spark, "staged")
+        df.write.parquet(path)
+        return self.spark.read.parquet(path)
+
     def table(self, name: str) -> DataFrame:
         return bench.table(self.spark, self.folder, name)
 
@@ -46,7 +52,7 @@ class Tables:
     def wide(self) -> DataFrame:
         """Station-hours by mean, with attributes and calendar parts."""
         return reshape.wide_table(reshape.merge_locations(self.hours, EVENTS),
-                                  clean.station_attributes(self.hours), EVENTS)
+                                  clean.station_attributes(self.kept), EVENTS)
 
     @cached_property
     def daily(self) -> DataFrame:
@@ -102,7 +108,7 @@ class Tables:
 
     @cached_property
     def bulk_wide(self) -> DataFrame:
-        return reshape.wide_table(self.bulk_cells, clean.station_attributes(self.bulk_hours), LINES)
+        return reshape.wide_table(self.bulk_cells, clean.station_attributes(self.bulk_kept), LINES)
 
     @cached_property
     def bulk_features(self) -> DataFrame:

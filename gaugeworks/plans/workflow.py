@@ -18,9 +18,8 @@ def stage(raw: DataFrame, spec: MetricSpec, out: str) -> tuple[DataFrame, DataFr
     spark = raw.sparkSession
     kept = clean.kept_readings(raw, spec)
     writers.write_tree(clean.clean_table(kept, spec), f"{out}/clean")
-    hours = reshape.located_hours(kept, spec)
-    wide = reshape.wide_table(reshape.merge_locations(hours, spec),
-                              clean.station_attributes(hours), spec)
+    hours = reshape.merge_locations(reshape.located_hours(kept, spec), spec)
+    wide = reshape.wide_table(hours, clean.station_attributes(kept), spec)
     writers.write_tree(wide, f"{out}/wide")
     return spark.read.parquet(f"{out}/clean"), spark.read.parquet(f"{out}/wide")
 
