@@ -118,8 +118,8 @@ def test_skewed_station_is_split(spark, tmp_path):
                 "spark.sql.shuffle.partitions": "16"}
     before = {k: spark.conf.get(k, None) for k in settings}
     events = tables.table("events")
-    hot = events.unionByName(events.crossJoin(spark.range(60)).drop("id").withColumn(
-        "user_id", F.lit(3).cast("bigint")))
+    copies = F.explode(F.array_repeat(F.lit(3).cast("bigint"), 60)).alias("user_id")
+    hot = events.unionByName(events.drop("user_id").select("*", copies))
     folder = str(tmp_path)
     hot.repartition(8).write.parquet(f"{folder}/events.parquet")
     for name in ("customer", "nation", "region"):
