@@ -45,3 +45,16 @@ def pieces(text: str, size: int) -> Iterator[str]:
         yield text[start:found.start()]
         start = found.start()
     yield text[start:] if start else text
+
+
+def hash_sample(df: DataFrame, key: str, size: int, salt: str) -> DataFrame:
+    """About ``size`` rows, the same ones on every run: those whose key hashes below size / rows.
+
+    For fitting models only.  The expected size is bounded whatever the table holds, and
+    nothing is sorted or sent to one place.
+    """
+    rows = df.count()
+    if rows <= size:
+        return df
+    share = F.pmod(F.xxhash64(F.lit(salt), F.col(key)), F.lit(1 << 30)) / float(1 << 30)
+    return df.where(share < size / rows)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gaugeworks.llm import bpe_stream, chat_format, sharding, token_counts
+from gaugeworks.llm import bpe_stream, chat_format, maxscore, pii, sharding, simhash, token_counts
 from gaugeworks.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -18,6 +18,20 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                                      public_tokenizers.path(TOKENIZER), limit=1024)
 
 
+def op2_pii_skip_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pii.detect(docs, pii.train(docs))
+
+
+def op5_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = maxscore.integers(table(spark, sf_dir, "embeddings"), scale=64)
+    return maxscore.top_k(vectors, vectors.where("vec_id % 20 = 0"), k=20)
+
+
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, radius=2)
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(table(spark, sf_dir, "documents"), [1.0] * SHARDS, [1.0] * (SHARDS + 1))
 
@@ -37,9 +51,26 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
+    "op2_pii_skip_chain": op2_pii_skip_chain,
+    "op5_maxscore": op5_maxscore,
+    "op6_simhash": op6_simhash,
     "op7_sharding": op7_sharding,
     "op8_bpe_round_trip": op8_bpe_round_trip,
     "op10_chat_format": op10_chat_format,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op5_maxscore": """
+        WITH v AS (
+            SELECT vec_id, [floor(64 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+              AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+        scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id,
+                   CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+            FROM v AS q JOIN v AS c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id)
+        SELECT query_id, vec_id, score,
+               CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+        FROM scored QUALIFY rank <= 20""",
+}
