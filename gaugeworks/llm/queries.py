@@ -5,12 +5,17 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from gaugeworks.llm import bpe_stream, chat_format, maxscore, pii, sharding, simhash, token_counts
+from gaugeworks.llm import (bpe_stream, chat_format, maxscore, mixing, pii, severity, sharding, simhash,
+                            token_counts)
 from gaugeworks.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
 SHARDS = 40
+# Shares go with tokens to these powers: large sources and languages are flattened.
+MIX_POWERS = {"source": 0.7, "lang": 0.8, "topic": 0.9}
+MIX_SHARE = 0.7
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +28,17 @@ def op2_pii_skip_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.detect(docs, pii.train(docs))
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = mixing.sample(table(spark, sf_dir, "documents"), mixing.text_form(), MIX_POWERS, MIX_SHARE)
+    return kept.select("doc_id", "source", "lang", "topic", "n_tokens",
+                       F.round("probability", 6).alias("probability"))
+
+
+def op4_severity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return severity.score(docs, severity.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op5_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = maxscore.integers(table(spark, sf_dir, "embeddings"), scale=64)
     return maxscore.top_k(vectors, vectors.where("vec_id % 20 = 0"), k=20)
@@ -52,6 +68,8 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_pii_skip_chain": op2_pii_skip_chain,
+    "op3_mixing": op3_mixing,
+    "op4_severity": op4_severity,
     "op5_maxscore": op5_maxscore,
     "op6_simhash": op6_simhash,
     "op7_sharding": op7_sharding,
@@ -60,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op3_mixing": mixing.sampling_sql(MIX_POWERS, MIX_SHARE),
     "op5_maxscore": """
         WITH v AS (
             SELECT vec_id, [floor(64 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v
