@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeworks.llm import (bpe_stream, chat_format, maxscore, mixing, pii, severity, sharding, simhash,
+from gaugeworks.llm import (bpe_stream, chat_format, maxscore, mixing, paragraph_sketch, pii, severity, sharding, simhash,
                             token_counts)
 from gaugeworks.llm.common import table
 
@@ -56,6 +56,10 @@ def op8_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_stream.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op9_paragraph_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return paragraph_sketch.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     tricky = spark.createDataFrame(
@@ -74,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_simhash": op6_simhash,
     "op7_sharding": op7_sharding,
     "op8_bpe_round_trip": op8_bpe_round_trip,
+    "op9_paragraph_sketch": op9_paragraph_sketch,
     "op10_chat_format": op10_chat_format,
 }
 
