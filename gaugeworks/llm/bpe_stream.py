@@ -192,14 +192,25 @@ def transducer(path: str) -> Transducer:
 
 
 def encode(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key`` and ``ids`` (binary, little-endian unsigned 32-bit), one row per text."""
+    """``key``, ``n_tokens``, ``ids`` (binary, little-endian unsigned 32-bit) and ``exact``.
+
+    ``exact`` says that the ids decode to the text again.
+    """
+    names = [key, "n_tokens", "ids", "exact"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        machine = transducer(tokenizer)
         for batch in batches:
-            ids = [b"".join(transducer(tokenizer).packed(v.as_py())) for v in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], [key, "ids"])
+            texts = batch.column(1).to_pylist()
+            ids = [b"".join(machine.packed(t)) for t in texts]
+            exact = ["".join(machine.decode(memoryview(i).cast("I"))) == t for i, t in zip(ids, texts)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([len(i) // 4 for i in ids], pa.int64()),
+                 pa.array(ids, pa.binary()), pa.array(exact, pa.bool_())], names)
 
-    return docs.select(F.col(key), text_or_empty(text).alias("text")).mapInArrow(
-        run, T.StructType([typed(docs, key), T.StructField("ids", T.BinaryType())]))
+    kinds = [T.LongType(), T.BinaryType(), T.BooleanType()]
+    return docs.select(F.col(key), text_or_empty(text).alias("text")).mapInArrow(run, T.StructType(
+        [typed(docs, key), *(T.StructField(n, k) for n, k in zip(names[1:], kinds))]))
 
 
 def decode(encoded: DataFrame, tokenizer: str, key: str = "doc_id", ids: str = "ids") -> DataFrame:

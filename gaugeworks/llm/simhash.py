@@ -17,6 +17,7 @@ unless it has no other.  An empty table gives an empty result.
 """
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,21 +35,28 @@ CROWD = 128
 HASHES_AT_ONCE = 1 << 16
 
 
-def fingerprint(text: str, width: int) -> int:
-    """SimHash of one text as an unsigned 64-bit number."""
-    words = text.encode().lower().split()
-    if not words:
-        return 0
+def _wide(words: list[bytes], width: int, bits: int) -> bytes:
+    """SimHash of any multiple of 64 bits; further words of bits are mixed from the same hashes."""
     count = max(1, len(words) - width + 1)
-    ones = np.zeros(BITS, np.int64)
+    ones = np.zeros(bits, np.int64)
     digest = xxhash.xxh64_intdigest
     for at in range(0, count, HASHES_AT_ONCE):
         part = words[at:min(at + HASHES_AT_ONCE, count) + width - 1]
-        shingles = (zip(*(part[i:] for i in range(width))) if len(words) >= width else [tuple(words)])
-        hashes = np.array([digest(b" ".join(s), 42) for s in shingles], "<u8")
-        ones += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1,
-                              bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * ones > count, bitorder="little").view("<u8")[0])
+        shingles = zip(*(part[i:] for i in range(width))) if len(words) >= width else [tuple(words)]
+        hashes = np.array([digest(b" ".join(s), 42) for s in shingles], np.uint64)
+        for lane in range(bits // BITS):
+            ones[lane * BITS:(lane + 1) * BITS] += np.unpackbits(
+                hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1,
+                bitorder="little").sum(axis=0, dtype=np.int64)
+            hashes = (hashes ^ (hashes >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+            hashes ^= hashes >> np.uint64(29)
+    return np.packbits(2 * ones > count, bitorder="little").tobytes()
+
+
+def fingerprint(text: str, width: int) -> int:
+    """SimHash of one text as an unsigned 64-bit number."""
+    words = text.encode().lower().split()
+    return int.from_bytes(_wide(words, width, BITS), "little") if words else 0
 
 
 def fingerprints(docs: DataFrame, width: int, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -125,3 +133,84 @@ def near_duplicates(docs: DataFrame, width: int = 3, radius: int = 2, key: str =
     named = staged(rooted.join(least, "root").select("fp", "component_id"), "simhash-components")
     return marked.join(named, "fp").select(
         key, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+# Near duplicates at a similarity of five-word shingles.  One word changed in a hundred moves
+# few two-word shingles, so a signature of these finds the pairs; one of five-word shingles,
+# whose share of differing bits is arccos(cosine) / pi, judges them.
+FINDING_WIDTH, FINDING_BITS, FINDING_SEGMENT = 2, 192, 24
+JUDGING_BITS = 512
+
+
+def bits_apart(similarity: float, bits: int = JUDGING_BITS) -> int:
+    """Differing bits of a pair at this Jaccard similarity: the expected number and one deviation."""
+    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    return round(bits * share + math.sqrt(bits * share * (1 - share)))
+
+
+def signatures(docs: DataFrame, width: int = 5, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``key``, ``find`` and ``judge``, the two wide signatures; both empty for a text without words."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            find, judge = [], []
+            for value in batch.column(1):
+                words = value.as_py().encode().lower().split()
+                find.append(_wide(words, FINDING_WIDTH, FINDING_BITS) if words else b"")
+                judge.append(_wide(words, width, JUDGING_BITS) if words else b"")
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(find, pa.binary()), pa.array(judge, pa.binary())],
+                [key, "find", "judge"])
+
+    return docs.select(F.col(key), text_or_empty(text).alias("text")).mapInArrow(run, T.StructType(
+        [typed(docs, key), T.StructField("find", T.BinaryType()), T.StructField("judge", T.BinaryType())]))
+
+
+def _number(column: str, start: int, width: int) -> Column:
+    """Bytes of a binary column as a number."""
+    return F.conv(F.hex(F.substring(column, start + 1, width)), 16, 10).cast("long")
+
+
+def _long(column: str, lane: int) -> Column:
+    """Eight bytes of a binary column as a signed long."""
+    high, low = _number(column, 8 * lane, 4), _number(column, 8 * lane + 4, 4)
+    return F.shiftleft(high, 32).bitwiseOR(low)
+
+
+def drop_similar(docs: DataFrame, width: int = 5, similarity: float = 0.8, key: str = "doc_id",
+                 text: str = "text") -> DataFrame:
+    """The rows of ``docs`` without those similar to one with a smaller key, directly or in a chain.
+
+    Texts with equal signatures are one entry.  The finding signature is cut into segments of
+    :data:`FINDING_SEGMENT` bits, each indexed once per deleted bit.  Entries under one key are
+    not paired with each other: each is compared with the smallest and with the one before it,
+    and as similar texts meet under many keys, their links form chains.  Rows that repeat a key
+    stay or go together; rows without a key stay.
+    """
+    marked = staged(signatures(docs.where(F.col(key).isNotNull()), width, key, text), "similar-signatures")
+    nodes = staged(marked.groupBy("find", "judge").agg(F.min(key).alias("node"))
+                   .where(F.length("find") > 0)
+                   .select("node", *(_number("find", i * FINDING_SEGMENT // 8, FINDING_SEGMENT // 8).alias(f"s{i}")
+                                     for i in range(FINDING_BITS // FINDING_SEGMENT)),
+                           *(_long("judge", i).alias(f"j{i}") for i in range(JUDGING_BITS // BITS))),
+                   "similar-nodes")
+    ways = [(segment, bit) for segment in range(FINDING_BITS // FINDING_SEGMENT) for bit in range(FINDING_SEGMENT)]
+    keys = F.array(*[
+        F.col(f"s{segment}").bitwiseAND(((1 << FINDING_SEGMENT) - 1) & ~(1 << bit)).bitwiseOR(
+            F.lit((segment * FINDING_SEGMENT + bit) << FINDING_SEGMENT)) for segment, bit in ways])
+    index = nodes.select("node", F.explode(keys).alias("found"))
+    group = Window.partitionBy("found").orderBy("node")
+    met = (index.select("node", F.min("node").over(group).alias("first"), F.lag("node").over(group).alias("before"))
+           .where(F.col("before").isNotNull())
+           .select("node", F.explode(F.array("first", "before")).alias("other")).distinct())
+    judged = [f"j{i}" for i in range(JUDGING_BITS // BITS)]
+    left = nodes.select("node", F.array(*judged).alias("left"))
+    right = nodes.select(F.col("node").alias("other"), F.array(*judged).alias("right"))
+    apart = F.aggregate(F.zip_with("left", "right", lambda a, b: F.bit_count(a.bitwiseXOR(b))),
+                        F.lit(0), lambda a, b: a + b)
+    linked = met.join(left, "node").join(right, "other").where(apart <= bits_apart(similarity))
+    roots = components(linked.select("node", "other"), "node", "other")
+    empty = marked.where(F.length("find") == 0).agg(F.min(key).alias("node")).where("node IS NOT NULL")
+    kept = (nodes.select("node").join(roots.where("node <> root"), "node", "left_anti").union(empty))
+    gone = staged(marked.select(key).distinct().join(kept.withColumnRenamed("node", key), key, "left_anti"),
+                  "similar-gone")
+    return docs.join(gone, key, "left_anti")
