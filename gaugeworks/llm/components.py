@@ -2,7 +2,8 @@
 
 Each round sends every node's neighbours to its smallest one.  All work is grouped
 minima (combined map-side) and joins that adaptive execution can split, so a node
-with very many links never meets in one task.  Lineage is cut with ``checkpoint()``.
+with very many links never meets in one task; the minima are written first, because a
+join on top of an aggregate could not be split.  Lineage is cut with ``checkpoint()``.
 """
 from __future__ import annotations
 
@@ -15,13 +16,13 @@ from gaugeworks.session import cut_lineage
 def _large(edges: DataFrame) -> DataFrame:
     """Larger neighbours of u go to the smallest of u and its neighbours."""
     both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
+    least = cut_lineage(both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m")))
     return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small(edges: DataFrame) -> DataFrame:
     """Smaller neighbours of u, and u itself, go to the smallest of them; edges are (larger, smaller)."""
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
+    least = cut_lineage(edges.groupBy("u").agg(F.min("v").alias("m")))
     moved = edges.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.union(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
 
@@ -35,7 +36,7 @@ def components(links: DataFrame, left: str, right: str) -> DataFrame:
     edges = cut_lineage(pairs.where("u <> v").distinct())
     state = None
     while True:
-        edges = cut_lineage(_small(_large(edges)))
+        edges = cut_lineage(_small(cut_lineage(_large(edges))))
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == state:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).union(
