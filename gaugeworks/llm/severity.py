@@ -6,10 +6,10 @@ grades keep their order.  Features are words and their first four, five and six
 sum of P(grade > k); a document is rejected when P(grade > 0) reaches :data:`REJECT`.
 
 Labels only say toxic or not.  Grades are derived: 0 for not toxic; toxic documents are cut
-in three by how many of their words, per hundred, carry a feature that marks toxicity.
+in three by how many of their words carry a feature that marks toxicity.
 
 Fitting uses at most about :data:`SAMPLE` labelled documents, chosen by hash of the key, and
-the :data:`VOCABULARY` features that differ most between the classes; both are collected as
+the :data:`VOCABULARY` features whose document frequency differs most between the classes; both are collected as
 counts only.  Scoring reads whole texts of all documents.
 
 Null texts are empty and score as such; a null label is no label, repeated labels of a
@@ -36,6 +36,8 @@ SAMPLE = 8000
 VOCABULARY = 1024
 LEAST_DOCUMENTS = 4
 LEAST_LOG_ODDS = 1.5
+# Likelihood ratio that chance reaches once in about a million features.
+LEAST_RATIO = 24.0
 GRADES = 4
 REJECT = 0.5
 PIECE_CHARS = 1 << 18
@@ -59,7 +61,7 @@ def features(word: str) -> Iterable[str]:
 
 @dataclass
 class Model:
-    """Weights by feature, rising thresholds, and the features that mark toxicity."""
+    """Weights by feature, rising thresholds, and the beginnings of words that can have a feature."""
 
     weights: dict[str, float]
     thresholds: list[float]
@@ -69,25 +71,27 @@ class Model:
     def of(cls, weights: dict[str, float], thresholds: list[float]) -> Model:
         return cls(weights, thresholds, frozenset(f.rstrip("*")[:_STEMS[0]] for f in weights))
 
-    def counts(self, text: str) -> tuple[Counter[str], int, int]:
-        """Occurrences of known features, words with one, and all words."""
-        found: Counter[str] = Counter()
-        starts, first, hits, total = self.starts, _STEMS[0], 0, 0
+    def known(self, text: str) -> Iterator[list[str]]:
+        """For every word with known features, these features."""
+        starts, first = self.starts, _STEMS[0]
         for part in words(text):
-            total += len(part)
             for word in [w for w in part if w[:first] in starts]:
-                known = [f for f in features(word) if f in self.weights]
-                found.update(known)
-                hits += bool(known)
-        return found, hits, total
+                if found := [f for f in features(word) if f in self.weights]:
+                    yield found
+
+    def counts(self, text: str) -> Counter[str]:
+        return Counter(f for found in self.known(text) for f in found)
+
+    def hits(self, text: str) -> int:
+        return sum(1 for _ in self.known(text))
 
     def above(self, text: str) -> list[float]:
         """P(grade > k) for k = 0, 1, ..."""
-        score = sum(self.weights[f] * math.log1p(n) for f, n in sorted(self.counts(text)[0].items()))
+        score = sum(self.weights[f] * math.log1p(n) for f, n in sorted(self.counts(text).items()))
         return [1 / (1 + math.exp(min(t - score, 700))) for t in self.thresholds]
 
 
-def _contrast(sample: DataFrame) -> list[str]:
+def _contrast(sample: DataFrame) -> list[tuple[str, float]]:
     """Features whose document frequency differs most between toxic and other documents."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: tuple[Counter[str], Counter[str]] = (Counter(), Counter())
@@ -109,10 +113,17 @@ def _contrast(sample: DataFrame) -> list[str]:
                .where(F.col("clean") + F.col("toxic") >= LEAST_DOCUMENTS))
     odds = (F.log((F.col("toxic") + 0.5) / (sizes[1] + 1.0))
             - F.log((F.col("clean") + 0.5) / (sizes[0] + 1.0)))
-    spread = F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("clean") + 0.5))
-    best = (counted.withColumn("odds", odds).where(F.abs("odds") >= LEAST_LOG_ODDS)
-            .withColumn("z", F.abs(F.col("odds") / spread))
-            .orderBy(F.desc("z"), "feature").limit(VOCABULARY))
+    share = (F.col("toxic") + F.col("clean")) / (sizes[0] + sizes[1])
+
+    def part(seen, size, expected):
+        """One cell's part of the likelihood ratio; an empty cell adds nothing."""
+        return F.when(seen > 0, seen * F.log(seen / (size * expected))).otherwise(0.0)
+
+    ratio = 2 * sum((part(seen, size, share) + part(size - seen, size, 1 - share)
+                     for seen, size in ((F.col("toxic"), sizes[1]), (F.col("clean"), sizes[0]))), F.lit(0.0))
+    best = (counted.where(share < 1).withColumn("odds", odds).withColumn("ratio", ratio)
+            .where((F.abs("odds") >= LEAST_LOG_ODDS) & (F.col("ratio") >= LEAST_RATIO))
+            .orderBy(F.desc("ratio"), "feature").limit(VOCABULARY))
     return [(r["feature"], r["odds"]) for r in best.collect()]
 
 
@@ -129,30 +140,29 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
         return Model.of({}, [40.0] * (GRADES - 1))
     index = {f: i for i, (f, _) in enumerate(vocabulary)}
     probe = Model.of({f: odds for f, odds in vocabulary}, [])
-    marks = {f for f, odds in vocabulary if odds > 0}
+    marked = Model.of({f: odds for f, odds in vocabulary if odds > 0}, [])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for value in batch.column(0):
-                found, hits, total = probe.counts(value.as_py())
-                if not marks & found.keys():
-                    hits = 0
+                text = value.as_py()
+                found = probe.counts(text)
                 rows.append(([v for f, n in sorted(found.items()) for v in (index[f], n)],
-                             round(100 * hits / total, 6) if total else 0.0))
+                             marked.hits(text)))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[0] for r in rows], pa.list_(pa.int64())),
-                 pa.array([r[1] for r in rows], pa.float64()), batch.column(1)], ["found", "rate", "toxic"])
+                 pa.array([r[1] for r in rows], pa.int64()), batch.column(1)], ["found", "hits", "toxic"])
 
-    rows = (both.select("text", "toxic").mapInArrow(run, "found array<long>, rate double, toxic int")
-            .groupBy("found", "rate", "toxic").count().collect())
-    rows = sorted((r["toxic"], r["rate"], r["found"], r["count"]) for r in rows)
+    rows = (both.select("text", "toxic").mapInArrow(run, "found array<long>, hits long, toxic int")
+            .groupBy("found", "hits", "toxic").count().collect())
+    rows = sorted((r["toxic"], r["hits"], r["found"], r["count"]) for r in rows)
     weight = np.array([r[3] for r in rows], float)
     toxic = np.array([r[0] for r in rows])
-    rate = np.array([r[1] for r in rows])
-    cuts = np.quantile(np.repeat(rate[toxic == 1], weight[toxic == 1].astype(int)),
+    hits = np.array([r[1] for r in rows])
+    cuts = np.quantile(np.repeat(hits[toxic == 1], weight[toxic == 1].astype(int)),
                        np.arange(1, GRADES - 1) / (GRADES - 1))
-    grade = np.where(toxic == 1, 1 + np.searchsorted(cuts, rate, side="right"), 0)
+    grade = np.where(toxic == 1, 1 + np.searchsorted(cuts, hits, side="right"), 0)
     at = np.repeat(np.arange(len(rows)), [len(r[2]) // 2 for r in rows])
     flat = np.array([v for r in rows for v in r[2]], np.int64).reshape(-1, 2)
     w, t = fit(at, flat[:, 0], np.log1p(flat[:, 1]), grade, weight, len(vocabulary), GRADES)
@@ -160,8 +170,8 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
 
 
 def fit(row: np.ndarray, column: np.ndarray, value: np.ndarray, grade: np.ndarray,
-        weight: np.ndarray, columns: int, grades: int, steps: int = 600, rate: float = 0.05,
-        ridge: float = 1e-4) -> tuple[np.ndarray, np.ndarray]:
+        weight: np.ndarray, columns: int, grades: int, steps: int = 800, rate: float = 0.05,
+        ridge: float = 1e-5) -> tuple[np.ndarray, np.ndarray]:
     """Weights and thresholds of greatest penalised likelihood, from sparse (row, column, value)."""
     weight = weight / weight.sum()
     w = np.zeros(columns)
