@@ -118,10 +118,9 @@ def sample(docs: DataFrame, topic: Column, powers: Mapping[str, float], share: f
 def mix(docs: DataFrame, topic: Column, powers: Mapping[str, float], share: float,
         seed: str = "mix", key: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents kept, with the columns they came with."""
-    rows = docs.select("*", *(F.col(c).alias(f"_given_{c}") for c in ("source", "lang")))
-    kept = sample(rows, topic, powers, share, seed, key=key, text=text)
-    return kept.select(*(F.col(f"_given_{c}").alias(c) if c in ("source", "lang") else F.col(c)
-                         for c in docs.columns))
+    used = list(dict.fromkeys((key, text, "source", "lang")))
+    rows = docs.select(F.struct("*").alias("_given"), *used)
+    return sample(rows, topic, powers, share, seed, key=key, text=text).select("_given.*")
 
 
 def sampling_sql(powers: Mapping[str, float], share: float, seed: str = "mix", rounds: int = ROUNDS) -> str:
