@@ -29,11 +29,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gaugeworks.llm.common import pieces, text_or_empty, typed
+from gaugeworks.llm.common import pieces, slices, text_or_empty, typed
 
 PIECE_CHARS = 1 << 18
 WINDOW_BYTES = 256
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 REMEMBERED_CHARS = 64
 DECODE_TOKENS = 1 << 14
 
@@ -57,14 +57,16 @@ def sufficient_lookahead(merges: list[tuple[int, int, int]], width: dict[int, in
     """Bytes after a token that can still change it; merges as (left, right, result) by rank.
 
     ``need[t]``: bytes right of t that decide whether t forms.  t = (x, y) fails from the
-    right only if y does, or if an earlier merge (y, z) takes y, which needs all of z and
-    whatever decides z.  One pass in rank order sees every earlier merge.
+    right only if y does not form or an earlier merge (y, z) takes it; ``taken[y]`` counts z
+    and the bytes that decide in the same way whether that merge happens.  One pass in rank
+    order sees every earlier merge.
     """
     need: dict[int, int] = {}
     taken: dict[int, int] = {}
     for left, right, made in merges:
-        need[made] = max(need.get(made, 0), need.get(right, 0), taken.get(right, 0))
-        taken[left] = max(taken.get(left, 0), width[right] + need.get(right, 0))
+        decides = max(need.get(right, 0), taken.get(right, 0))
+        need[made] = max(need.get(made, 0), decides)
+        taken[left] = max(taken.get(left, 0), width[right] + decides)
     ends = {t: max(need.get(t, 0), taken.get(t, 0)) for t in width}
     return max(ends.values(), default=0)
 
@@ -200,7 +202,7 @@ def encode(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "te
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = transducer(tokenizer)
-        for batch in batches:
+        for batch in slices(batches, 1):
             texts = batch.column(1).to_pylist()
             ids = [b"".join(machine.packed(t)) for t in texts]
             exact = ["".join(machine.decode(memoryview(i).cast("I"))) == t for i, t in zip(ids, texts)]
@@ -216,7 +218,7 @@ def encode(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "te
 def decode(encoded: DataFrame, tokenizer: str, key: str = "doc_id", ids: str = "ids") -> DataFrame:
     """``key`` and ``text`` of ids as :func:`encode` packs them; null ids give an empty text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 1):
             texts = ["".join(transducer(tokenizer).decode(memoryview(v.as_py() or b"").cast("I")))
                      for v in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], [key, "text"])
@@ -228,7 +230,7 @@ def decode(encoded: DataFrame, tokenizer: str, key: str = "doc_id", ids: str = "
 def round_trip(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key``, ``n_tokens``, ``ids_sha256``, ``decoded_sha256``: each text encoded and decoded again."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 1):
             rows = [transducer(tokenizer).round_trip(v.as_py()) for v in batch.column(1)]
             n, ids, decoded = zip(*rows) if rows else ((), (), ())
             yield pa.RecordBatch.from_arrays(

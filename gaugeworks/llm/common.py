@@ -4,12 +4,16 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gaugeworks.session import fresh_path
 
+SLICE_BYTES = 1 << 21
+
 # Between a non-space and a plain space or line feed every byte-level pattern of
 # this family starts a new word, whatever stands on either side.
 _CUT = re.compile(r"(?<=\S)(?=[ \n])")
@@ -35,6 +39,26 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def slices(batches: Iterator[pa.RecordBatch], column: int,
+           size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The rows of Arrow batches in parts of about ``size`` bytes of one text column.
+
+    Spark's batches have a fixed number of rows; a worker that turns one part at a time
+    into Python objects stays small whatever the length of the texts.
+    """
+    for batch in batches:
+        widths = pc.fill_null(pc.binary_length(batch.column(column)), 0)
+        ends = pc.cumulative_sum(widths.cast(pa.int64())).to_numpy(zero_copy_only=False)
+        start = 0
+        while start < batch.num_rows:
+            before = ends[start - 1] if start else 0
+            stop = max(start + 1, int(ends.searchsorted(before + size, side="right")))
+            yield batch.slice(start, stop - start)
+            start = stop
+        if not batch.num_rows:
+            yield batch
+
+
 def pieces(text: str, size: int) -> Iterator[str]:
     """A text in parts of about ``size`` characters, cut only where a word starts for certain."""
     start = 0

@@ -52,13 +52,12 @@ def flattened(cells: DataFrame, powers: Mapping[str, float]) -> DataFrame:
 
     A power of 1 keeps the margin, 0 makes its values equal.
     """
-    whole = cells.agg(F.sum("n_tokens").alias("whole"))
+    whole = cells.agg(F.sum("n_tokens").alias("whole")).scalar()
     for margin, power in powers.items():
         values = cells.groupBy(margin).agg(F.sum("n_tokens").alias("held"))
-        shares = values.agg(F.sum(F.pow("held", F.lit(power))).alias("all"))
-        # Both right sides are aggregates without keys, so they have exactly one row.
-        target = values.join(F.broadcast(shares)).join(F.broadcast(whole)).select(
-            margin, (F.pow("held", F.lit(power)) / F.col("all") * F.col("whole")).alias(f"target_{margin}"))
+        shares = values.agg(F.sum(F.pow("held", F.lit(power))).alias("all")).scalar()
+        target = values.select(
+            margin, (F.pow("held", F.lit(power)) / shares * whole).alias(f"target_{margin}"))
         cells = cells.join(target, margin)
     return cells
 

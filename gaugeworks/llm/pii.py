@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gaugeworks.llm.common import hash_sample, text_or_empty, typed
+from gaugeworks.llm.common import hash_sample, slices, text_or_empty, typed
 
 KINDS = ("email", "ip", "card", "phone")
 NONE = len(KINDS)
@@ -247,7 +247,7 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text", sample: int
     width = SLOTS + 1 + 2 * LABELS
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 0):
             nodes = Nodes()
             for value in batch.column(0):
                 add_document(nodes, value.as_py(), base_spans(value.as_py()))
@@ -310,7 +310,7 @@ def detect(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text
     names = [key, *(f"n_{k}" for k in KINDS), "base_sha256", "spans", "n_added"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 1):
             found = find_spans(batch.column(1).to_pylist(), model)
             counts = [pa.array([sum(s[0] == k for s in base) for base, _ in found], pa.int64())
                       for k in range(NONE)]
@@ -333,7 +333,7 @@ def redact(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     place = docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, place):
             texts = batch.column(place).to_pylist()
             found = find_spans([t or "" for t in texts], model)
             clean = [t if t is None else _replace(t, base + more) for t, (base, more) in zip(texts, found)]

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gaugeworks.llm.common import hash_sample, pieces, text_or_empty, typed
+from gaugeworks.llm.common import hash_sample, pieces, slices, text_or_empty, typed
 
 SAMPLE = 8000
 VOCABULARY = 1024
@@ -95,7 +95,7 @@ def _contrast(sample: DataFrame) -> list[tuple[str, float]]:
     """Features whose document frequency differs most between toxic and other documents."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: tuple[Counter[str], Counter[str]] = (Counter(), Counter())
-        for batch in batches:
+        for batch in slices(batches, 0):
             for text, toxic in zip(batch.column(0), batch.column(1)):
                 seen[toxic.as_py()].update(
                     {f for part in words(text.as_py()) for w in set(part) for f in features(w)})
@@ -143,7 +143,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     marked = Model.of({f: odds for f, odds in vocabulary if odds > 0}, [])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 0):
             rows = []
             for value in batch.column(0):
                 text = value.as_py()
@@ -210,7 +210,7 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
     names = [key, "p_toxic", "expected_severity", "grade"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 1):
             p, expected, grade = _scored(batch.column(1).to_pylist(), model)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(p, pa.float64()), pa.array(expected, pa.float64()),
@@ -227,7 +227,7 @@ def keep_clean(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     place = docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, place):
             p, _, _ = _scored((t or "" for t in batch.column(place).to_pylist()), model)
             yield batch.filter(pa.array([x < REJECT for x in p], pa.bool_()))
 

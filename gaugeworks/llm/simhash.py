@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gaugeworks.llm.common import staged, text_or_empty, typed
+from gaugeworks.llm.common import slices, staged, text_or_empty, typed
 from gaugeworks.llm.components import components
 
 BITS = 64
@@ -62,7 +62,7 @@ def fingerprint(text: str, width: int) -> int:
 def fingerprints(docs: DataFrame, width: int, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key`` and ``fp``, the fingerprint's 64 bits as a signed long."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 1):
             bits = np.array([fingerprint(v.as_py(), width) for v in batch.column(1)], np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bits.view(np.int64))], [key, "fp"])
 
@@ -151,7 +151,7 @@ def bits_apart(similarity: float, bits: int = JUDGING_BITS) -> int:
 def signatures(docs: DataFrame, width: int = 5, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key``, ``find`` and ``judge``, the two wide signatures; both empty for a text without words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 1):
             find, judge = [], []
             for value in batch.column(1):
                 words = value.as_py().encode().lower().split()

@@ -22,11 +22,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gaugeworks.llm.common import pieces, text_or_empty, typed
+from gaugeworks.llm.common import pieces, slices, text_or_empty, typed
 
 PIECE_CHARS = 1 << 19
 BATCH_BYTES = 1 << 18
-REMEMBERED = 600_000
+REMEMBERED = 300_000
 
 # White space, then a word; odd white space after it is not a certain boundary.
 _UNIT = re.compile(r"\s*\S+(?:[^\S \n]\s*\S*)*|\s+")
@@ -108,7 +108,7 @@ def token_counts(docs: DataFrame, tokenizer: str, limit: int = 1024, key: str =
     ``tokenizer`` is the path of a byte-level tokenizer file that exists on every executor.
     """
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 1):
             texts = (value.as_py() for value in batch.column(1))
             totals = counter(tokenizer).counts(texts)
             yield pa.RecordBatch.from_arrays(
