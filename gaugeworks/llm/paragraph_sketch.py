@@ -105,6 +105,8 @@ def likeness(left: Column, right: Column, cells: int) -> Column:
     """Jaccard of two sets of digests through their sketches; null where these are too small."""
     both = F.size(left) + F.size(right)
     apart = peel(subtract(sketch(left, cells), sketch(right, cells)), cells, both)
+    # At least as many digests differ as the sizes do; more than cells cannot be recovered.
+    apart = F.when(F.abs(F.size(left) - F.size(right)) <= cells, apart)
     return _let(apart, lambda r: F.when(r.isNotNull() & (both == 0), 1.0).otherwise(
         (both - r) / (both + r)))
 
@@ -156,9 +158,11 @@ def fingerprints(docs: DataFrame, cells: int = CELLS, key: str = "doc_id",
     sized = rows.select("k", F.char_length("text").cast("long").alias("n_chars"))
     ring = staged(following(sized), "sketch-ring")
     placed = rows.join(ring, "k")
-    first = F.row_number().over(Window.partitionBy("k").orderBy(F.xxhash64("text")))
-    placed = placed.withColumn("first", first)
-    heads = placed.where("first = 1").select(
+    # Told by the row before, not by a row number: limiting those changes the plan below the
+    # shuffle, and the texts would be shuffled a second time.
+    earlier = F.lag(F.lit(True)).over(Window.partitionBy("k").orderBy(F.xxhash64("text")))
+    placed = placed.withColumn("earlier", earlier)
+    heads = placed.where("earlier IS NULL").select(
         F.col("before").alias("k"),
         F.left("text", F.floor(F.col("before_chars") / 2).cast("int")).alias("head"),
         digests(F.col("text")).alias("next_digests"))
@@ -172,10 +176,8 @@ def fingerprints(docs: DataFrame, cells: int = CELLS, key: str = "doc_id",
         key, "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "own",
         digests(F.col("edited")).alias("changed"), "next_digests"), "sketch-digests")
     open_rows = open_rows.withColumns({
-        "fingerprint": printed(sketch(F.col("own"), cells)),
-        "edited_fingerprint": printed(sketch(F.col("changed"), cells)),
         "near_edited": F.lit(None).cast("double"), "near_next": F.lit(None).cast("double")})
-    solved = []
+    solved, base = [], cells
     while True:
         tried = staged(open_rows.withColumns({
             "near_edited": F.coalesce("near_edited", likeness(F.col("own"), F.col("changed"), cells)),
@@ -190,5 +192,6 @@ def fingerprints(docs: DataFrame, cells: int = CELLS, key: str = "doc_id",
     result = solved[0]
     for more in solved[1:]:
         result = result.union(more)
-    return result.select(key, "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
-                         "near_edited", "near_next")
+    return result.select(
+        key, "n_chars", "edited_sha256", printed(sketch(F.col("own"), base)).alias("fingerprint"),
+        printed(sketch(F.col("changed"), base)).alias("edited_fingerprint"), "near_edited", "near_next")
