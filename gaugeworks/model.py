@@ -10,6 +10,15 @@ from pyspark.sql import types as T
 DAILY = "24-hour"
 EIGHT_HOUR = "8-hour"
 UNKNOWN = "Unknown"
+HOURS_PER_DAY = 24
+
+
+def window_hours(window: str) -> int:
+    """Length of an averaging time written as ``<n>-hour``; it must divide a day."""
+    count, dash, unit = window.partition("-")
+    if unit != "hour" or not count.isdecimal() or not int(count) or HOURS_PER_DAY % int(count):
+        raise ValueError(f"averaging time must be '<n>-hour' with n dividing 24: {window!r}")
+    return int(count)
 
 
 @dataclass(frozen=True)
@@ -24,6 +33,13 @@ class Metric:
     guideline_window: str
     ceiling: float
 
+    def __post_init__(self):
+        window_hours(self.window)
+
+    @property
+    def hours(self) -> int:
+        return window_hours(self.window)
+
     @property
     def column(self) -> str:
         return f"{self.short}_ug_m3"
@@ -113,10 +129,11 @@ RAW_SCHEMA = T.StructType([
     T.StructField("source", T.StringType()),
 ])
 
-# Delimited form of the raw readings: positional, everything text.
+# The delimited form of the raw readings, positional, everything text.
 CSV_COLUMNS = ["station_id", "state_name", "city_name", "parameter_name",
                "unit", "collected_at", "value", "source"]
 CSV_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in CSV_COLUMNS])
 
+# The pinned long layout.
 LONG_COLUMNS = ["station_id", "collected_at", "year", "month", "day", "hour",
                 "parameter_name", "reading", "state_name", "city_name", "source"]

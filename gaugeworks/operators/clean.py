@@ -12,8 +12,10 @@ from gaugeworks.model import LONG_COLUMNS, UNIT_FACTORS, UNKNOWN, MetricSpec
 from gaugeworks.operators.reshape import LOCATION, STATION_HOUR, located_hours, unpivot_wide
 
 # The buckets of the row audit, in order of precedence.
+# ``bad_timestamp`` is this library's own: text that is no timestamp would join unrelated
+# readings under one missing time, so it is rejected, after all other rules.
 BUCKETS = ("malformed", "header", "missing_timestamp", "missing_parameter", "non_core",
-           "non_numeric", "negative", "kept")
+           "non_numeric", "negative", "bad_timestamp", "kept")
 
 # What identifies a reading; calendar parts follow from the timestamp and stay out of the key.
 READING_KEY = ["station_id", "collected_at", "parameter_name", "state_name", "city_name", "source"]
@@ -23,6 +25,17 @@ def _is_text(df: DataFrame, column: str) -> bool:
     return isinstance(df.schema[column].dataType, T.StringType)
 
 
+def _field(df: DataFrame, column: str) -> Column:
+    """A column without surrounding blanks, if it is text."""
+    return F.trim(F.col(column)) if _is_text(df, column) else F.col(column)
+
+
+def _time(df: DataFrame) -> Column:
+    """The timestamp; NULL for text that is none."""
+    at = _field(df, "collected_at")
+    return parse_timestamp(at) if _is_text(df, "collected_at") else at
+
+
 def _missing(df: DataFrame, column: str) -> Column:
     return is_blank(F.col(column)) if _is_text(df, column) else F.col(column).isNull()
 
@@ -35,17 +48,18 @@ def numeric_value(df: DataFrame, column: str = "value") -> Column:
 def classify(raw: DataFrame, spec: MetricSpec) -> DataFrame:
     """Add ``bucket``: the first rule each row fails, or ``kept``."""
     value = numeric_value(raw)
-    parameter = F.trim(F.col("parameter_name"))
+    parameter = _field(raw, "parameter_name")
     rules = []
     if "malformed" in raw.columns:
         rules.append(("malformed", F.col("malformed")))
     if _is_text(raw, "station_id"):
-        rules.append(("header", F.trim(F.col("station_id")) == "station_id"))
+        rules.append(("header", _field(raw, "station_id") == "station_id"))
     rules += [("missing_timestamp", _missing(raw, "collected_at")),
               ("missing_parameter", _missing(raw, "parameter_name")),
               ("non_core", ~parameter.isin(spec.names)),
               ("non_numeric", value.isNull()),
-              ("negative", value < 0)]
+              ("negative", value < 0),
+              ("bad_timestamp", _time(raw).isNull())]
     bucket = F.lit("kept")
     for label, failed in reversed(rules):
         bucket = F.when(failed, label).otherwise(bucket)
@@ -64,29 +78,31 @@ def audit(raw: DataFrame, spec: MetricSpec) -> DataFrame:
 
 
 def reconcile(raw: DataFrame, spec: MetricSpec) -> DataFrame:
-    """One row: do the buckets add up to the input?"""
+    """One row: do the buckets add up to the input, and does cleaning keep what the audit kept?"""
     bucket = F.col("bucket")
     counted = classify(raw, spec).agg(
         F.count("*").alias("input_rows"),
         *[F.count_if(bucket == b).alias(b) for b in BUCKETS])
     dropped = sum((F.col(b) for b in BUCKETS[:-1]), F.lit(0))
+    kept = kept_readings(raw, spec).agg(F.count("*").alias("n")).scalar()
     return counted.select(
         "input_rows", dropped.cast("bigint").alias("dropped_rows"),
         F.col("kept").alias("kept_rows"),
-        (F.col("input_rows") - dropped == F.col("kept")).alias("reconciles"))
+        ((F.col("input_rows") - dropped == F.col("kept")) & (F.col("kept") == kept)).alias("reconciles"))
 
 
-def kept_readings(raw: DataFrame, spec: MetricSpec, factors=UNIT_FACTORS) -> DataFrame:
+def kept_readings(raw: DataFrame, spec: MetricSpec, factors=UNIT_FACTORS,
+                  padded: bool = True) -> DataFrame:
     """Readings that pass every rule, located and (unless factors are empty) in one unit.
 
-    Rules are written as plain conjuncts rather than through ``classify``: on
-    typed columns the metric list and the value range reach the file scan.
+    The rules of ``classify``, written as plain conjuncts: on typed columns the
+    value range reaches the file scan.  Each column is trimmed if it is text,
+    here as there.  A source whose metric names are known to have no blanks around
+    them can say ``padded=False``: then the metric list reaches the file scan, too.
     NaN sorts above infinity, so one upper bound excludes both.
     """
-    def field(name: str) -> Column:
-        return F.trim(F.col(name)) if _is_text(raw, "value") else F.col(name)
-
-    metric, value = field("parameter_name"), numeric_value(raw)
+    metric = _field(raw, "parameter_name") if padded else F.col("parameter_name")
+    value = numeric_value(raw)
     ok = metric.isin(spec.names)
     if _is_text(raw, "value"):
         ok = ok & (value >= 0)
@@ -96,18 +112,14 @@ def kept_readings(raw: DataFrame, spec: MetricSpec, factors=UNIT_FACTORS) -> Dat
     if "malformed" in raw.columns:
         ok = ok & ~F.col("malformed")
     if _is_text(raw, "station_id"):
-        ok = ok & F.coalesce(F.trim(F.col("station_id")) != "station_id", F.lit(True))
-    at = F.col("collected_at")
-    if _is_text(raw, "collected_at"):
-        ok, at = ok & ~is_blank(at), parse_timestamp(F.trim(at))
-    else:
-        ok = ok & at.isNotNull()
-    return raw.where(ok).select(
-        field("station_id").alias("station_id"), at.alias("collected_at"),
+        ok = ok & F.coalesce(_field(raw, "station_id") != "station_id", F.lit(True))
+    at = _time(raw)
+    return raw.where(ok & at.isNotNull()).select(
+        _field(raw, "station_id").alias("station_id"), at.alias("collected_at"),
         metric.alias("parameter_name"),
         to_canonical_unit(value, F.col("unit"), factors).alias("reading"),
         or_unknown(F.col("state_name")).alias("state_name"),
-        or_unknown(F.col("city_name")).alias("city_name"), field("source").alias("source"))
+        or_unknown(F.col("city_name")).alias("city_name"), _field(raw, "source").alias("source"))
 
 
 def average_duplicates(readings: DataFrame) -> DataFrame:
@@ -124,13 +136,15 @@ def with_time_parts(readings: DataFrame) -> DataFrame:
     return readings.select("*", *time_parts(F.col("collected_at"))).select(*LONG_COLUMNS)
 
 
-def clean_long(raw: DataFrame, spec: MetricSpec, factors=UNIT_FACTORS) -> DataFrame:
+def clean_long(raw: DataFrame, spec: MetricSpec, factors=UNIT_FACTORS,
+               padded: bool = True) -> DataFrame:
     """Raw readings to the clean long table, in one shuffle of readings.
 
-    The form for analyses of some metrics: a filter on the metric passes through
-    to the scan.  For the whole table see :func:`clean_table`.
+    The form for analyses of some metrics: a filter on the metric passes below the
+    shuffle, and with ``padded=False`` to the scan.  For the whole table see
+    :func:`clean_table`.
     """
-    return with_time_parts(average_duplicates(kept_readings(raw, spec, factors)))
+    return with_time_parts(average_duplicates(kept_readings(raw, spec, factors, padded)))
 
 
 def clean_table(kept: DataFrame, spec: MetricSpec) -> DataFrame:
@@ -139,7 +153,11 @@ def clean_table(kept: DataFrame, spec: MetricSpec) -> DataFrame:
     The metrics of an hour are averaged side by side and unfolded after the
     shuffle, which then carries each station, hour and location once.
     """
-    hours = located_hours(kept, spec)
+    return long_table(located_hours(kept, spec), spec)
+
+
+def long_table(hours: DataFrame, spec: MetricSpec) -> DataFrame:
+    """Located station-hours unfolded into the pinned long layout."""
     return with_time_parts(unpivot_wide(hours, spec, [*STATION_HOUR, *LOCATION]))
 
 

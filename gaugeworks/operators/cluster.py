@@ -26,7 +26,6 @@ RESTARTS = 10
 MIN_STATIONS = 10
 MAX_ITERATIONS = 300
 BLOCK_ROWS = 4096
-ROWS_PER_PARTITION = 50_000
 
 
 def complete_stations(features: DataFrame, columns: list[str]) -> DataFrame:
@@ -62,12 +61,14 @@ def spread_table(features: DataFrame, columns: list[str]) -> DataFrame:
     return row.select(F.inline(cells))
 
 
-def prepare(features: DataFrame, columns: list[str], min_stations: int = MIN_STATIONS) -> DataFrame:
+def prepare(features: DataFrame, columns: list[str], min_stations: int = MIN_STATIONS,
+            partitions: int | None = None) -> DataFrame:
     """Complete, scaled stations with a ``features`` vector, cut off from their lineage.
 
     The station table is written once to the shared folder before it is scaled
     (scaling reads it twice) and once after (K-means reads it dozens of times),
-    so neither goes back to the readings.
+    so neither goes back to the readings.  ``partitions`` sets how many parts
+    K-means reads; otherwise the parts of the station table stay.
     """
     stations = cut_lineage(complete_stations(features, columns))
     rows = stations.count()
@@ -75,8 +76,9 @@ def prepare(features: DataFrame, columns: list[str], min_stations: int = MIN_STA
         raise ValueError(f"fewer than {min_stations} stations with complete features")
     vectors = VectorAssembler(inputCols=[f"z_{c}" for c in columns], outputCol="features")
     scaled = vectors.transform(scale(stations, columns))
-    few = scaled.coalesce(ceil(rows / ROWS_PER_PARTITION))
-    return cut_lineage(few.drop(*[f"z_{c}" for c in columns]))
+    if partitions:
+        scaled = scaled.coalesce(partitions)
+    return cut_lineage(scaled.drop(*[f"z_{c}" for c in columns]))
 
 
 def fit(prepared: DataFrame, k: int, restarts: int = RESTARTS, seed: int = SEED,
@@ -87,7 +89,7 @@ def fit(prepared: DataFrame, k: int, restarts: int = RESTARTS, seed: int = SEED,
 
 def fit_each(prepared: DataFrame, ks, restarts: int = RESTARTS, seed: int = SEED,
              parallelism: int = 8) -> dict[int, KMeansModel]:
-    """The best model for every k; fits run side by side as separate jobs."""
+    """The best model for every k; fits run side by side as separate jobs over one persisted frame."""
     @inheritable_thread_target(prepared.sparkSession)
     def one(job: tuple[int, int]):
         k, restart = job
@@ -96,10 +98,14 @@ def fit_each(prepared: DataFrame, ks, restarts: int = RESTARTS, seed: int = SEED
 
     jobs = [(k, restart) for k in ks for restart in range(restarts)]
     best: dict[int, tuple] = {}
-    with ThreadPoolExecutor(parallelism) as pool:
-        for k, cost, restart, model in pool.map(one, jobs):
-            if k not in best or (cost, restart) < best[k][:2]:
-                best[k] = (cost, restart, model)
+    prepared.persist()
+    try:
+        with ThreadPoolExecutor(parallelism) as pool:
+            for k, cost, restart, model in pool.map(one, jobs):
+                if k not in best or (cost, restart) < best[k][:2]:
+                    best[k] = (cost, restart, model)
+    finally:
+        prepared.unpersist()
     return {k: model for k, (_, _, model) in best.items()}
 
 
@@ -179,7 +185,11 @@ def _point_silhouette(name: str, k: int):
 
 def scan_k(prepared: DataFrame, ks=K_RANGE, restarts: int = RESTARTS, seed: int = SEED,
            measure: str = "euclidean") -> tuple[DataFrame, dict[int, KMeansModel]]:
-    """(k, inertia, silhouette) for every k, and the models behind it."""
+    """(k, inertia, silhouette, measure) for every k, and the models behind it.
+
+    ``measure`` decides what the silhouette costs: ``euclidean`` compares all pairs of
+    stations, ``squaredEuclidean`` is linear in their number.
+    """
     models = fit_each(prepared, ks, restarts, seed)
     labelled = prepared
     for k, model in models.items():
@@ -190,7 +200,8 @@ def scan_k(prepared: DataFrame, ks=K_RANGE, restarts: int = RESTARTS, seed: int
         "labelling string, k int, inertia double")
     table = (inertia.join(scores, "labelling")
              .select("k", F.round("inertia", 2).alias("inertia"),
-                     F.round("silhouette", 4).alias("silhouette")).orderBy("k"))
+                     F.round("silhouette", 4).alias("silhouette"),
+                     F.lit(measure).alias("measure")).orderBy("k"))
     return table, models
 
 
@@ -207,8 +218,15 @@ def choose_k(k_table: DataFrame, forced: int | None = None) -> DataFrame:
 
 
 def assign(prepared: DataFrame, model: KMeansModel, columns: list[str]) -> DataFrame:
-    """Each station with its cluster, in cluster order, highest primary mean first."""
-    return (model.setPredictionCol("cluster").transform(prepared)
+    """Each station with its cluster, in cluster order, highest primary mean first.
+
+    Clusters are numbered by their centres in ascending order, first feature first,
+    whatever numbers the fit gave them.
+    """
+    order = sorted(range(model.getK()), key=lambda c: tuple(model.clusterCenters()[c]))
+    number = F.array(*[F.lit(order.index(c)) for c in range(model.getK())])
+    return (model.setPredictionCol("_fitted").transform(prepared)
+            .withColumn("cluster", F.get(number, F.col("_fitted")))
             .select("station_id", "state_name", "city_name", "n_hours", "cluster", *columns)
             .orderBy(F.asc("cluster"), F.desc(columns[0]), F.asc("station_id")))
 

@@ -6,11 +6,12 @@ from pyspark.sql import functions as F
 
 from gaugeworks.functions.statistics import over_limit, percentage
 from gaugeworks.functions.timeparts import block_of_day, day_of
-from gaugeworks.model import DAILY, MetricSpec
+from gaugeworks.model import HOURS_PER_DAY, MetricSpec
 
-# How an observation of each averaging time is called.
-OBSERVATION_UNITS = {"24-hour": "station-days", "8-hour": "8-hour blocks"}
-BLOCKS_PER_DAY = 3
+
+def observation_unit(hours: int) -> str:
+    """How an observation of an averaging time is called."""
+    return "station-days" if hours == HOURS_PER_DAY else f"{hours}-hour blocks"
 
 
 def with_limits(df: DataFrame, spec: MetricSpec) -> DataFrame:
@@ -19,38 +20,50 @@ def with_limits(df: DataFrame, spec: MetricSpec) -> DataFrame:
     return df.join(limits, F.col("parameter_name") == F.col("pollutant")).drop("parameter_name")
 
 
-def window_means(wide: DataFrame, spec: MetricSpec, min_hours: int = 1) -> DataFrame:
+def window_means(hours: DataFrame, spec: MetricSpec, min_hours: int = 1,
+                 attributes: DataFrame | None = None) -> DataFrame:
     """Mean per station, metric and averaging window, from station-hours.
 
-    ``block`` is the 8-hour block for metrics limited at eight hours and NULL
-    for metrics limited at a day.  Both kinds come out of one aggregate per
-    station-day holding a sum and a count for every window, so one shuffle of
-    station-days serves all metrics; the windows are unfolded after it.
+    ``block`` is the index of the window within its day, and NULL for metrics
+    limited at a day.  All kinds come out of one aggregate per station-day
+    holding a sum and a count for every window, so one shuffle of station-days
+    serves all metrics; the windows are unfolded after it.  ``attributes`` has
+    one row per station and is joined to the station-days; without it, the
+    hours carry their city and state.
     """
-    block = block_of_day(F.col("collected_at"))
     windows, sums = [], []
     for m in spec:
-        for b in ([None] if m.window == DAILY else range(BLOCKS_PER_DAY)):
+        block = block_of_day(F.col("collected_at"), m.hours)
+        for b in ([None] if m.hours == HOURS_PER_DAY else range(HOURS_PER_DAY // m.hours)):
             name = f"{m.short}_{'day' if b is None else b}"
             value = F.col(m.column) if b is None else F.when(block == b, F.col(m.column))
             sums += [F.sum(value).alias(f"_sum_{name}"), F.count(value).alias(f"_n_{name}")]
             windows.append(F.struct(
                 F.lit(m.name).alias("parameter_name"), F.lit(b).cast("int").alias("block"),
                 F.col(f"_n_{name}").alias("hours"), F.col(f"_sum_{name}").alias("total")))
-    keys = ["station_id", "city_name", "state_name", "date"]
-    days = (wide.withColumn("date", day_of(F.col("collected_at"))).groupBy(*keys).agg(*sums))
+    place = ["city_name", "state_name"]
+    keys = ["station_id", *place, "date"]
+    dated = hours.withColumn("date", day_of(F.col("collected_at")))
+    if attributes is None:
+        days = dated.groupBy(*keys).agg(*sums)
+    else:
+        days = (dated.groupBy("station_id", "date").agg(*sums)
+                .join(attributes.select("station_id", *place), "station_id", "left"))
     return (days.select(*keys, F.inline(F.array(*windows)))
             .where((F.col("hours") > 0) & (F.col("hours") >= min_hours))
             .withColumn("mean", F.col("total") / F.col("hours")))
 
 
-def city_counts(wide: DataFrame, spec: MetricSpec, min_hours: int = 1) -> DataFrame:
+def city_counts(hours: DataFrame, spec: MetricSpec, min_hours: int = 1,
+                attributes: DataFrame | None = None) -> DataFrame:
     """Per city and metric: windows, mean of means, windows above the limit, and plain sums.
 
-    Every exceedance result follows from this small table; stage it when
-    several of them are wanted.
+    Windows with fewer than ``min_hours`` hours are no observations, but their
+    hours stay in the plain sums.  Every exceedance result follows from this
+    small table; stage it when several of them are wanted.
     """
-    windows = with_limits(window_means(wide, spec, min_hours), spec)
+    windows = with_limits(window_means(hours, spec, attributes=attributes), spec)
+    windows = windows.withColumn("mean", F.when(F.col("hours") >= min_hours, F.col("mean")))
     over = over_limit(F.col("mean"), F.col("standard_ug_m3"))
     return (windows.groupBy("city_name", "state_name", "pollutant", "metric_order",
                             "standard_ug_m3", "averaging_time", "who_2021_ug_m3",
@@ -68,8 +81,9 @@ def city_exceedance(counts: DataFrame, min_observations: int = 30) -> DataFrame:
                     F.col("standard_ug_m3").alias("standard"), "n", "mean", "over", "pct"))
 
 
-def network_exceedance(counts: DataFrame, min_observations: int = 30) -> DataFrame:
-    """One row per metric over the whole network.
+def network_exceedance(counts: DataFrame, spec: MetricSpec,
+                       min_observations: int = 30) -> DataFrame:
+    """One row per specified metric over the whole network, zeros for one that never occurs.
 
     Totals are taken before the floor, the worst city after it, and the cities
     whose plain mean is above the limit from the sums carried along.
@@ -77,12 +91,14 @@ def network_exceedance(counts: DataFrame, min_observations: int = 30) -> DataFra
     ranked = F.when(F.col("n") >= min_observations,
                     F.struct((-F.col("pct")).alias("rank"), "city_name", "state_name"))
     above = over_limit(F.try_divide(F.col("total"), F.col("hours")), F.col("standard_ug_m3"))
-    unit = F.element_at(F.create_map(*[F.lit(x) for kv in OBSERVATION_UNITS.items()
-                                       for x in kv]), F.col("averaging_time"))
-    return (counts.groupBy("pollutant", "standard_ug_m3", "averaging_time", "who_2021_ug_m3",
-                           "who_averaging_time")
-            .agg(F.sum("n").alias("observations"), F.sum("over").alias("exceedances"),
-                 F.count_if(above).alias("cities_with_mean_above"), F.min(ranked).alias("worst"))
+    units = {m.window: observation_unit(m.hours) for m in spec}
+    unit = F.element_at(F.create_map(*[F.lit(x) for kv in units.items() for x in kv]),
+                        F.col("averaging_time"))
+    seen = counts.groupBy("pollutant").agg(
+        F.sum("n").alias("observations"), F.sum("over").alias("exceedances"),
+        F.count_if(above).alias("cities_with_mean_above"), F.min(ranked).alias("worst"))
+    return (spec.frame(counts.sparkSession).join(seen, "pollutant", "left")
+            .na.fill(0, ["observations", "exceedances", "cities_with_mean_above"])
             .select("pollutant", "standard_ug_m3", "averaging_time", "who_2021_ug_m3",
                     "who_averaging_time", "observations", unit.alias("observation_unit"),
                     "exceedances",

@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _PER_E_FOLD = 65536
-_BROADCAST_ROWS = 10_000
 _OFFSET = 50_000_000  # above 745 * 65536, so buckets of positive values stay positive
 
 
@@ -30,12 +29,12 @@ def percentiles(df: DataFrame, value: str, probabilities: list[float],
 
     ``max_groups`` is a bound the caller can prove, such as the number of
     specified metrics.  It bounds the table of wanted buckets (two per group and
-    probability), which is then broadcast to a second scan of the input.
-    Without a bound, equal values are merged into counts first and the counts
+    probability), and giving it asks for that table to be broadcast to a second
+    scan of the input.  Without it, equal values are merged into counts first and the counts
     are joined by shuffle, so that a frequent value cannot skew that join.
     """
     by = list(by)
-    bounded = max_groups is not None and 2 * max_groups * len(probabilities) <= _BROADCAST_ROWS
+    bounded = max_groups is not None
     present = df.where(F.col(value).isNotNull()).select(*by, F.col(value).alias("_v"))
     one = F.lit(1).cast("bigint")
     rows = (present.withColumn("_n", one) if bounded

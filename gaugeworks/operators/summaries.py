@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from gaugeworks.functions.statistics import percentage, when_metric
 from gaugeworks.functions.timeparts import format_timestamp
-from gaugeworks.model import DAILY, UNKNOWN, MetricSpec
+from gaugeworks.model import UNKNOWN, MetricSpec
 from gaugeworks.operators.quantiles import percentiles
 
 
@@ -277,7 +277,3 @@ def extreme_stations(features: DataFrame, spec: MetricSpec, top: int = 10) -> Da
     dirty = features.orderBy(F.desc(key), "station_id").limit(top)
     return (clean.withColumn("end", F.lit("cleanest"))
             .unionByName(dirty.withColumn("end", F.lit("dirtiest"))))
-
-
-def daily_metrics(spec: MetricSpec) -> MetricSpec:
-    return MetricSpec(tuple(m for m in spec if m.window == DAILY))

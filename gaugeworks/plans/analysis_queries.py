@@ -7,7 +7,7 @@ from gaugeworks.functions.timeparts import format_timestamp
 from gaugeworks.operators import checks, clean, correlate, exceed, profile, report, reshape, summaries
 from gaugeworks.plans.oracle import ev, li
 from gaugeworks.plans.registry import query
-from gaugeworks.plans.tables import EVENTS, LINES, MIN_HOURS
+from gaugeworks.plans.tables import EVENTS_AND_SILENT, EVENTS, LINES, MIN_HOURS
 
 _WIDE_SQL = ("SELECT station_id, strftime(collected_at, '%Y-%m-%d %H:%M:%S') AS collected_at, "
              "year, month, day, hour, {cells}, state_name, city_name, source FROM {rel}")
@@ -319,7 +319,7 @@ SELECT coalesce(nullif(trim(city_name), ''), 'Unknown') AS city, trim(parameter_
   round(avg(number * CASE WHEN unit LIKE 'mg/m%' THEN 1000.0 ELSE 1.0 END), 2) AS mean,
   round(min(number * CASE WHEN unit LIKE 'mg/m%' THEN 1000.0 ELSE 1.0 END), 4) AS min,
   round(max(number * CASE WHEN unit LIKE 'mg/m%' THEN 1000.0 ELSE 1.0 END), 4) AS max
-FROM t WHERE NOT malformed AND station_id <> 'station_id' AND trim(collected_at) <> ''
+FROM t WHERE NOT malformed AND station_id <> 'station_id' AND TRY_CAST(trim(collected_at) AS TIMESTAMP) IS NOT NULL
   AND trim(parameter_name) IN ('click', 'view', 'purchase', 'error') AND number >= 0 GROUP BY ALL""",
        mean=2)
 def _(t):
@@ -392,7 +392,8 @@ def _window_sql(kind: str) -> str:
 
 
 def _windows(t):
-    return (exceed.window_means(t.wide, EVENTS).drop("total")
+    hours = reshape.merge_locations(t.hours, EVENTS)
+    return (exceed.window_means(hours, EVENTS, attributes=t.attributes).drop("total")
             .withColumn("date", F.col("date").cast("string"))
             .withColumnRenamed("parameter_name", "pollutant"))
 
@@ -433,15 +434,16 @@ FROM limits JOIN totals USING (pollutant) JOIN above USING (pollutant) LEFT JOIN
 """
 
 
-@query("a27_network_exceedance", f"{_NETWORK} SELECT * FROM network")
+@query("a27_network_exceedance", f"""{_NETWORK} SELECT * FROM network
+UNION ALL SELECT 'silent', 5.0, '1-hour', 4.0, '24-hour', 0, '1-hour blocks', 0, NULL, 0, NULL, NULL""")
 def _(t):
-    return exceed.network_exceedance(t.city_counts)
+    return exceed.network_exceedance(t.city_counts, EVENTS_AND_SILENT)
 
 
 @query("r8_headline", f"""{_NETWORK}
 SELECT pollutant, pct_above, cities_with_mean_above, worst_city, worst_city_pct_above FROM network""")
 def _(t):
-    return report.headline(exceed.network_exceedance(t.city_counts))
+    return report.headline(exceed.network_exceedance(t.city_counts, EVENTS))
 
 
 def _by_city(t):

@@ -223,12 +223,13 @@ _BUCKETS = f"""
        WHEN trim(collected_at) = '' THEN 'missing_timestamp'
        WHEN trim(parameter_name) = '' THEN 'missing_parameter'
        WHEN trim(parameter_name) NOT IN ({ev("'{n}'")}) THEN 'non_core'
-       WHEN number IS NULL THEN 'non_numeric' WHEN number < 0 THEN 'negative' ELSE 'kept' END"""
+       WHEN number IS NULL THEN 'non_numeric' WHEN number < 0 THEN 'negative'
+       WHEN TRY_CAST(trim(collected_at) AS TIMESTAMP) IS NULL THEN 'bad_timestamp' ELSE 'kept' END"""
 
 
 @query("q1_row_audit", f"""
 WITH b AS (SELECT {_BUCKETS} AS bucket, city_name FROM t),
-names AS (SELECT unnest(['malformed', 'header', 'missing_timestamp', 'missing_parameter', 'non_core',
+names AS (SELECT unnest(['malformed', 'header', 'missing_timestamp', 'bad_timestamp', 'missing_parameter', 'non_core',
   'non_numeric', 'negative', 'kept']) AS bucket)
 SELECT bucket, count(b.bucket) AS rows FROM names LEFT JOIN b USING (bucket) GROUP BY bucket
 UNION ALL SELECT 'unknown_city', count(*) FROM b WHERE bucket = 'kept' AND trim(city_name) = ''""")

@@ -1,27 +1,29 @@
 """Queries over station clustering.
 
-K-means has no SQL twin; the parts around it (scaling, silhouette of a given
-labelling) do.
+K-means itself has no SQL form, so it runs over stations planted in three groups far
+apart, which the best fit must find: the SQL takes the groups as planted.
 """
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
 from gaugeworks.operators import checks, cluster
-from gaugeworks.plans.oracle import ev
+from gaugeworks.plans.oracle import ev, li
 from gaugeworks.plans.registry import query
-from gaugeworks.plans.tables import EVENTS, MIN_HOURS
+from gaugeworks.plans.tables import EVENTS, LINES, MIN_HOURS, PLANTED_APART
+from gaugeworks.session import cut_lineage
 
 FEATURES = EVENTS.averages
+PLANTED = LINES.averages
 
 
 def _prepared(t):
-    return cluster.prepare(t.features, FEATURES)
+    return cluster.prepare(t.planted, PLANTED)
 
 
 def _clusters(t, k: int = 3):
     prepared = _prepared(t)
-    return cluster.assign(prepared, cluster.fit(prepared, k), FEATURES)
+    return cluster.assign(prepared, cluster.fit(prepared, k), PLANTED)
 
 
 _FEATURE_SQL = f"""
@@ -44,20 +46,45 @@ def _(t):
     return cluster.spread_table(t.features, FEATURES)
 
 
-@query("m3_best_of_restarts")
+_PLANTED_SQL = f"""
+WITH g AS (SELECT station_id, CAST(station_id % 3 AS INTEGER) AS cluster, count(*) AS n_hours,
+    max(a.state_name) AS state_name, max(a.city_name) AS city_name,
+    {li("avg({c}) + (station_id % 3) * CAST(" + str(PLANTED_APART) + " AS DOUBLE) AS {s}_avg")}
+  FROM lcells JOIN lattrs a USING (station_id) WHERE quantity_ug_m3 IS NOT NULL GROUP BY station_id
+  HAVING count(*) >= {MIN_HOURS} AND {li("count({c}) > 0", " AND ")}),
+z AS (SELECT station_id, cluster, {li("({s}_avg - (SELECT avg({s}_avg) FROM g)) / (SELECT stddev_pop({s}_avg) FROM g) AS {s}")}
+  FROM g),
+c AS (SELECT cluster, {li("avg({s}) AS {s}_c")} FROM z GROUP BY cluster),
+inertia AS (SELECT round(sum({li("({s} - {s}_c) ** 2", " + ")}), 4) AS inertia FROM z JOIN c USING (cluster)),
+pairs AS (SELECT a.station_id, a.cluster AS own, b.cluster AS other, count(*) AS n,
+    sum(sqrt({li("(a.{s} - b.{s}) ** 2", " + ")})) AS total FROM z a CROSS JOIN z b GROUP BY ALL),
+scores AS (SELECT station_id, max(CASE WHEN own = other THEN total / nullif(n - 1, 0) END) AS inside,
+    min(CASE WHEN own <> other THEN total / n END) AS outside FROM pairs GROUP BY station_id),
+profile AS (SELECT cluster, count(*) AS stations, count(DISTINCT city_name) AS cities,
+    {li("round(avg({s}_avg), 2) AS {s}_avg")} FROM g GROUP BY cluster)"""
+
+
+@query("m3_best_of_restarts", f"{_PLANTED_SQL} SELECT profile.*, inertia FROM profile CROSS JOIN inertia")
 def _(t):
     prepared = _prepared(t)
     model = cluster.fit(prepared, 3)
-    return cluster.cluster_profile(cluster.assign(prepared, model, FEATURES), FEATURES).withColumn(
-        "inertia", F.lit(round(float(model.summary.trainingCost), 2)))
+    return cluster.cluster_profile(cluster.assign(prepared, model, PLANTED), PLANTED).withColumn(
+        "inertia", F.lit(round(float(model.summary.trainingCost), 4)))
 
 
-@query("m4_k_table")
+@query("m4_k_table", f"""{_PLANTED_SQL}
+SELECT CAST(3 AS INTEGER) AS k, round(inertia, 2) AS inertia,
+  (SELECT round(avg(coalesce((outside - inside) / greatest(inside, outside), 0)), 4) FROM scores) AS silhouette,
+  'euclidean' AS measure, true AS more_clusters_cost_less FROM inertia""")
 def _(t):
-    return cluster.scan_k(_prepared(t))[0]
+    table = cut_lineage(cluster.scan_k(_prepared(t))[0])
+    falls = table.agg(F.sort_array(F.collect_list(F.struct("k", "inertia"))).alias("t")).select(
+        F.forall(F.sequence(F.lit(1), F.size("t") - 1),
+                 lambda i: F.get("t", i)["inertia"] <= F.get("t", i - 1)["inertia"])).scalar()
+    return table.where("k = 3").withColumn("more_clusters_cost_less", falls)
 
 
-@query("m5_choice_of_k")
+@query("m5_choice_of_k", "SELECT CAST(3 AS INTEGER) AS chosen_k, CAST(3 AS INTEGER) AS elbow_k FROM lattrs LIMIT 1")
 def _(t):
     return cluster.choose_k(cluster.scan_k(_prepared(t))[0])
 
@@ -76,37 +103,41 @@ def _(t):
     return cluster.silhouette(points, {"label": labels}, "embedding", "vec_id")
 
 
-@query("m7_assignments")
+@query("m7_assignments", f"""{_PLANTED_SQL} SELECT station_id, state_name, city_name, n_hours, cluster,
+  {li("round({s}_avg, 4) AS {s}_avg")} FROM g""")
 def _(t):
     return _clusters(t)
 
 
-@query("a30_cluster_profile")
+@query("a30_cluster_profile", f"{_PLANTED_SQL} SELECT * FROM profile")
 def _(t):
-    return cluster.cluster_profile(_clusters(t), FEATURES)
+    return cluster.cluster_profile(_clusters(t), PLANTED)
 
 
-@query("a31_cluster_centres")
+@query("a31_cluster_centres", f"""{_PLANTED_SQL} SELECT cluster, round(avg(quantity_avg), 4) AS quantity_avg,
+  round(avg(price_avg), 4) AS price_avg FROM g GROUP BY cluster""")
 def _(t):
-    return cluster.cluster_centres(_clusters(t), "click_avg", "purchase_avg")
+    return cluster.cluster_centres(_clusters(t), "quantity_avg", "price_avg")
 
 
-@query("o6_mixed_order")
+@query("o6_mixed_order", f"""{_PLANTED_SQL} SELECT cluster, round(quantity_avg, 4) AS quantity_avg, station_id FROM g
+ORDER BY cluster, quantity_avg DESC, station_id""")
 def _(t):
-    return _clusters(t).select("cluster", "click_avg", "station_id").orderBy(
-        F.asc("cluster"), F.desc("click_avg"), F.asc("station_id"))
+    return _clusters(t).select("cluster", "quantity_avg", "station_id").orderBy(
+        F.asc("cluster"), F.desc("quantity_avg"), F.asc("station_id"))
 
 
-@query("q19_cluster_coverage", f"""{_FEATURE_SQL}
+@query("q19_cluster_coverage", f"""{_PLANTED_SQL}
 SELECT count(*) AS assigned, count(*) AS stations, CAST(3 AS BIGINT) AS clusters,
-  count(*) AS eligible, true AS covered FROM f""")
+  count(*) AS eligible, true AS covered FROM g""")
 def _(t):
-    return checks.cluster_coverage(_clusters(t), t.features)
+    return checks.cluster_coverage(_clusters(t), t.planted)
 
 
-@query("r7_cluster_scatter")
+@query("r7_cluster_scatter", f"""{_PLANTED_SQL} SELECT station_id, cluster, stations, round(g.quantity_avg, 4) AS quantity_avg,
+  round(g.price_avg, 4) AS price_avg FROM g JOIN profile USING (cluster)""")
 def _(t):
     points = _clusters(t)
     sizes = points.groupBy("cluster").agg(F.count("*").alias("stations"))
-    return points.join(sizes, "cluster").select("station_id", "cluster", "stations", "click_avg",
-                                                "purchase_avg")
+    return points.join(sizes, "cluster").select("station_id", "cluster", "stations", "quantity_avg",
+                                                "price_avg")

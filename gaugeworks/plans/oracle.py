@@ -101,7 +101,7 @@ lines AS (
               ELSE user_id || ',' || state_name || ',' || coalesce(city_name, '') || ',' || pname
                 || ',' || CASE WHEN event_type = 'purchase' THEN 'mg/m³'
                                WHEN event_id % 83 = 0 THEN '' ELSE 'µg/m³' END
-                || ',' || CASE WHEN event_id % 107 = 2 THEN ''
+                || ',' || CASE WHEN event_id % 107 = 2 THEN '' WHEN event_id % 113 = 4 THEN '31.02.2024 at noon'
                                ELSE strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') END
                 || ',' || CASE WHEN event_id % 89 = 0 THEN 'abc' WHEN event_id % 97 = 0 THEN '-1.0'
                                WHEN event_id % 53 = 5 THEN ' 12.5 ' WHEN event_id % 59 = 7 THEN '1e-05'
@@ -109,7 +109,8 @@ lines AS (
                                WHEN event_id % 71 = 13 THEN 'NaN'
                                ELSE CAST(CAST(value AS DECIMAL(18, 2)) AS VARCHAR) END
                 || ',' || c_mktsegment END AS line
-  FROM (SELECT *, CASE WHEN event_id % 109 = 3 THEN ' ' ELSE event_type END AS pname FROM located)),
+  FROM (SELECT *, CASE WHEN event_id % 109 = 3 THEN ' ' WHEN event_id % 73 = 6 THEN ' ' || event_type || ' '
+                         ELSE event_type END AS pname FROM located)),
 fields AS (SELECT string_split(line, ',') AS f FROM lines),
 t AS (
   SELECT len(f) < 8 AS malformed, f[1] AS station_id, f[2] AS state_name, f[3] AS city_name,

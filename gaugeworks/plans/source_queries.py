@@ -1,6 +1,9 @@
 """Queries over scans and sinks: what is written to a fresh folder must read back whole."""
 from __future__ import annotations
 
+import uuid
+
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,6 +18,10 @@ from gaugeworks.session import fresh_path
 from gaugeworks.sources import incremental, readers, writers
 
 
+def _fresh_name(label: str) -> str:
+    return f"gaugeworks_{label}_{uuid.uuid4().hex}"
+
+
 def _bulk_tree(t: Tables) -> str:
     at = F.col("collected_at")
     rows = t.bulk_raw.select("*", F.year(at).alias("year"), F.month(at).alias("month"))
@@ -128,7 +135,7 @@ def _(t):
 def _(t):
     summary = summaries.city_metric_summary(t.kept)
     path = writers.write_headerless_csv(summary, fresh_path(t.spark, "tsv"), summary.columns, "\t")
-    return readers.bind_external(t.spark, "gaugeworks_city_metric", path, summary.schema, "\t")
+    return readers.bind_external(t.spark, _fresh_name("city_metric"), path, summary.schema, "\t")
 
 
 @query("s10_bounded_parts", """
@@ -142,13 +149,19 @@ def _(t):
 
 
 @query("s11_pinned_order", """
-SELECT count(*) AS lines, count(*) AS lines_with_eleven_fields FROM clean""")
+SELECT count(*) AS lines, count(*) AS lines_in_pinned_order FROM clean""")
 def _(t):
     path = writers.write_headerless_csv(t.clean, fresh_path(t.spark, "pinned"), LONG_COLUMNS)
-    fields = F.size(F.split("line", ",", -1))
+    field = lambda name: F.get(F.split("line", ",", -1), F.lit(LONG_COLUMNS.index(name)))
+    # Calendar parts repeat the timestamp and metrics are known, so a shifted column shows.
+    at = field("collected_at")
+    in_order = (F.size(F.split("line", ",", -1)) == len(LONG_COLUMNS)) & field("parameter_name").isin(EVENTS.names)
+    for name, start, length in (("year", 1, 4), ("month", 6, 2), ("day", 9, 2), ("hour", 12, 2)):
+        in_order = in_order & (field(name).try_cast("int") == F.substring(at, start, length).try_cast("int"))
+    in_order = in_order & field("station_id").rlike("^[0-9]+$") & field("reading").try_cast("double").isNotNull()
     return readers.read_lines(t.spark, path).agg(
         F.count("*").alias("lines"),
-        F.count_if(fields == len(LONG_COLUMNS)).alias("lines_with_eleven_fields"))
+        F.count_if(in_order).alias("lines_in_pinned_order"))
 
 
 @query("s12_overwrite_table", f"""
@@ -157,8 +170,10 @@ FROM clean GROUP BY year, month""")
 def _(t):
     path = fresh_path(t.spark, "table")
     monthly = summaries.monthly_means(t.clean, EVENTS)
-    writers.write_table(monthly.limit(0), "gaugeworks_monthly", path)
-    return writers.write_table(monthly, "gaugeworks_monthly", path)
+    name = _fresh_name("monthly")
+    earlier = summaries.monthly_means(t.clean.where(F.col("hour") < 12), EVENTS)
+    writers.write_table(earlier.withColumn("year", F.col("year") - 100), name, path)
+    return writers.write_table(monthly, name, path)
 
 
 @query("s13_overwrite_directory", f"""
@@ -174,14 +189,17 @@ def _(t):
 
 @query("s14_single_ordered_file", f"""
 WITH s AS ({_SUMMARY_SQL}) SELECT count(*) AS groups, CAST(sum(reading_count) AS BIGINT) AS readings,
-  CAST(1 AS BIGINT) AS files FROM s""")
+  CAST(1 AS BIGINT) AS files, true AS ordered FROM s""")
 def _(t):
     summary = summaries.city_metric_summary(t.kept)
     path = writers.write_ordered_file(summary, fresh_path(t.spark, "ordered"),
                                       F.col("city"), F.col("pollutant"))
-    return readers.read_csv_parts(t.spark, path, summary.schema).agg(
-        F.count("*").alias("groups"), F.sum("reading_count").alias("readings"),
-        F.count_distinct(F.col("_metadata.file_path")).alias("files"))
+    rows = readers.read_csv_parts(t.spark, path, summary.schema).select(
+        "*", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("line"))
+    before = F.lag(F.struct("city", "pollutant")).over(Window.partitionBy("file").orderBy("line"))
+    return (rows.withColumn("rises", F.coalesce(before < F.struct("city", "pollutant"), F.lit(True)))
+            .agg(F.count("*").alias("groups"), F.sum("reading_count").alias("readings"),
+                 F.count_distinct("file").alias("files"), F.bool_and("rises").alias("ordered")))
 
 
 @query("s17_incremental_load", """

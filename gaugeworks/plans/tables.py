@@ -4,7 +4,9 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from gaugeworks.model import DAILY, Metric, MetricSpec
 from gaugeworks.operators import clean, exceed, reshape, summaries
 from gaugeworks.session import fresh_path, tolerate_skew
 from gaugeworks.sources import benchmark_tables as bench
@@ -12,10 +14,15 @@ from gaugeworks.sources.readers import split_lines
 
 EVENTS = bench.EVENT_SPEC
 LINES = bench.LINE_SPEC
+# The same metrics and one that no reading has.
+EVENTS_AND_SILENT = MetricSpec((*EVENTS, Metric("silent", "silent", 5, "1-hour", 4, DAILY, 10)))
 
 # A floor these tables can meet: a year of readings has thousands of hours per station, they a dozen.
 MIN_HOURS = 10
 
+# Distance between planted groups of stations, far above the spread of any feature.
+PLANTED_APART = 20_000.0
+
 
 class Tables:
     """Lazy relations over one folder; each is built at most once per query."""
@@ -38,11 +45,11 @@ class Tables:
 
     @cached_property
     def kept(self) -> DataFrame:
-        return clean.kept_readings(self.raw, EVENTS)
+        return clean.kept_readings(self.raw, EVENTS, padded=False)
 
     @cached_property
     def clean(self) -> DataFrame:
-        return clean.clean_long(self.raw, EVENTS)
+        return clean.clean_long(self.raw, EVENTS, padded=False)
 
     @cached_property
     def hours(self) -> DataFrame:
@@ -51,8 +58,7 @@ class Tables:
     @cached_property
     def wide(self) -> DataFrame:
         """Station-hours by mean, with attributes and calendar parts."""
-        return reshape.wide_table(reshape.merge_locations(self.hours, EVENTS),
-                                  clean.station_attributes(self.kept), EVENTS)
+        return reshape.wide_table(reshape.merge_locations(self.hours, EVENTS), self.attributes, EVENTS)
 
     @cached_property
     def daily(self) -> DataFrame:
@@ -61,7 +67,13 @@ class Tables:
 
     @cached_property
     def city_counts(self) -> DataFrame:
-        return exceed.city_counts(self.wide, EVENTS)
+        return exceed.city_counts(reshape.merge_locations(self.hours, EVENTS), EVENTS,
+                                  attributes=self.attributes)
+
+    @cached_property
+    def attributes(self) -> DataFrame:
+        """One row per station, from the located hours rather than a second scan."""
+        return clean.station_attributes(self.hours)
 
     @cached_property
     def features(self) -> DataFrame:
@@ -81,17 +93,19 @@ class Tables:
 
     @cached_property
     def bulk_kept(self) -> DataFrame:
-        return clean.kept_readings(self.bulk_raw, LINES)
+        return clean.kept_readings(self.bulk_raw, LINES, padded=False)
 
     @cached_property
     def _bulk_spread(self) -> DataFrame:
         """The kept bulk readings for plans whose first shuffle is preceded by much work."""
-        return clean.kept_readings(bench.line_readings(self.spark, self.folder, spread=True), LINES)
+        partitions = int(self.spark.conf.get(bench.SAMPLE_PARTITIONS, "0"))
+        return clean.kept_readings(bench.line_readings(self.spark, self.folder, partitions), LINES,
+                                   padded=False)
 
     @cached_property
     def bulk_clean(self) -> DataFrame:
         """For queries about one metric."""
-        return clean.clean_long(self.bulk_raw, LINES)
+        return clean.clean_long(self.bulk_raw, LINES, padded=False)
 
     @cached_property
     def bulk_table(self) -> DataFrame:
@@ -110,6 +124,12 @@ class Tables:
     def bulk_wide(self) -> DataFrame:
         return reshape.wide_table(self.bulk_cells, clean.station_attributes(self.bulk_kept), LINES)
 
+    @cached_property
+    def planted(self) -> DataFrame:
+        """Bulk station features moved into three groups far apart, by the station's number."""
+        shift = (F.col("station_id") % 3) * F.lit(PLANTED_APART)
+        return self.bulk_features.withColumns({c: F.col(c) + shift for c in LINES.averages})
+
     @cached_property
     def bulk_features(self) -> DataFrame:
         return summaries.station_features(self.bulk_cells, LINES, MIN_HOURS)

@@ -1,8 +1,11 @@
 """Session settings and the shared folder used for lineage cuts and staged files."""
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,13 +49,26 @@ def build_session(app: str = "gaugeworks", master: str | None = None,
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach, as the cluster names it."""
+    """The folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
+
+    Staged copies are read lazily and so outlive the call that wrote them; the folder is
+    scratch space whose owner clears it after the application.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    master = spark.conf.get("spark.master", "")
+    if not master.startswith("local") or master.startswith("local-cluster"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    return tempfile.mkdtemp(prefix="gaugeworks-")
+    return _own_folder(spark.sparkContext.applicationId)
+
+
+@cache
+def _own_folder(application: str) -> str:
+    """For a purely local session without the setting: one folder, removed when Python ends."""
+    folder = tempfile.mkdtemp(prefix=f"gaugeworks-{application}-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:

@@ -37,14 +37,9 @@ def _offset(key: str):
     return (F.col(key) % 1009).cast("double") / F.lit(7919.0)
 
 
-def _spread(rows: DataFrame, *keys: str) -> DataFrame:
-    """Deal rows over all cores when the scan has fewer splits than there are cores.
-
-    A sample file with one row group is read by one task, which would also do all
-    the work up to the first shuffle.  Large inputs have many splits and are left alone.
-    """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores, *keys)
+# Session setting: deal line items over so many partitions.  For sample files with one row
+# group, which one task would read; unset, scans stay as they are.
+SAMPLE_PARTITIONS = "gaugeworks.sample.partitions"
 
 
 def places(spark: SparkSession, folder: str) -> DataFrame:
@@ -88,8 +83,9 @@ def event_lines(spark: SparkSession, folder: str) -> DataFrame:
              .otherwise(F.col("value").cast("decimal(18,2)").cast("string")))
     unit = (F.when(F.col("event_type") == "purchase", "mg/m³")
             .when(key % 83 == 0, "").otherwise("µg/m³"))
-    at = F.when(key % 107 == 2, "").otherwise(format_timestamp(hour_start(F.col("ts"))))
-    parameter = F.when(key % 109 == 3, " ").otherwise(F.col("event_type"))
+    at = F.when(key % 107 == 2, "").when(key % 113 == 4, "31.02.2024 at noon").otherwise(format_timestamp(hour_start(F.col("ts"))))
+    parameter = (F.when(key % 109 == 3, " ").when(key % 73 == 6, F.concat(F.lit(" "), "event_type", F.lit(" ")))
+                 .otherwise(F.col("event_type")))
     whole = F.concat_ws(",", F.col("user_id").cast("string"), "state_name",
                         F.coalesce("city_name", F.lit("")), parameter, unit, at, value,
                         "c_mktsegment")
@@ -99,7 +95,7 @@ def event_lines(spark: SparkSession, folder: str) -> DataFrame:
          .otherwise(whole).alias("line"))
 
 
-def line_readings(spark: SparkSession, folder: str, spread: bool = False) -> DataFrame:
+def line_readings(spark: SparkSession, folder: str, partitions: int | None = None) -> DataFrame:
     lines = (table(spark, folder, "lineitem")
              .select("l_orderkey", "l_suppkey", "l_linenumber", "l_shipdate", "l_returnflag",
                      F.col("l_quantity").alias("quantity"),
@@ -107,8 +103,8 @@ def line_readings(spark: SparkSession, folder: str, spread: bool = False) -> Dat
                      F.col("l_discount").alias("discount"),
                      F.when(F.col("l_linenumber") != 3, F.col("l_tax")).alias("tax")))
     supplier = table(spark, folder, "supplier").select("s_suppkey", "s_name", "s_nationkey")
-    if spread:
-        lines = _spread(lines, "l_orderkey", "l_linenumber")
+    if partitions:
+        lines = lines.repartition(partitions, "l_orderkey", "l_linenumber")
     located = (lines.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
                .join(places(spark, folder), F.col("s_nationkey") == F.col("n_nationkey"))
                .select(F.col("l_suppkey").alias("station_id"), F.col("s_name").alias("station_name"),

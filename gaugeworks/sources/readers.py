@@ -73,12 +73,17 @@ def bind_external(spark: SparkSession, name: str, path: str, schema: T.StructTyp
                   sep: str = ",") -> DataFrame:
     """Bind a directory of header-less delimited files as an external table.
 
-    Dropping or rebinding the table never touches the files.
+    Dropping or rebinding the table never touches the files.  ``name`` is one
+    identifier; a table that already has it is replaced only if it is external.
     """
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.catalog.createTable(name, path=path, source="csv", schema=schema, sep=sep,
+    quoted = "`" + name.replace("`", "``") + "`"
+    if spark.catalog.tableExists(quoted):
+        if spark.catalog.getTable(quoted).tableType != "EXTERNAL":
+            raise ValueError(f"{name} is a table with data of its own")
+        spark.sql(f"DROP TABLE {quoted}")
+    spark.catalog.createTable(quoted, path=path, source="csv", schema=schema, sep=sep,
                               timestampNTZFormat="yyyy-MM-dd HH:mm:ss")
-    return spark.table(name)
+    return spark.table(quoted)
 
 
 def file_inventory(df: DataFrame) -> DataFrame:

@@ -109,7 +109,8 @@ def test_audit_precedence(spark):
     raw = split_lines(spark.createDataFrame([(x,) for x in lines], "line string"))
     counts = dict(values(clean.audit(raw, AIR_QUALITY), "bucket", "rows"))
     assert counts == {"malformed": 1, "header": 1, "missing_timestamp": 2, "missing_parameter": 1,
-                      "non_core": 1, "non_numeric": 1, "negative": 1, "kept": 3, "unknown_city": 1}
+                      "non_core": 1, "non_numeric": 1, "negative": 1, "bad_timestamp": 0, "kept": 3,
+                      "unknown_city": 1}
     row = clean.reconcile(raw, AIR_QUALITY).first()
     assert (row.input_rows, row.dropped_rows, row.kept_rows, row.reconciles) == (11, 8, 3, True)
     assert clean.kept_readings(raw, AIR_QUALITY).count() == 3
@@ -255,7 +256,7 @@ def test_exceedance_counts_floor_and_ties(spark):
     assert (cities["X", "a"].n, cities["X", "a"].over, cities["X", "a"].pct) == (4, 2, 50.0)
     assert cities["X", "a"]["mean"] == pytest.approx((20 + 20 + 1 + 1) / 4)
     assert (cities["X", "b"].n, cities["X", "b"].pct) == (2, 50.0)
-    net = {r.pollutant: r for r in exceed.network_exceedance(counts, 2).collect()}
+    net = {r.pollutant: r for r in exceed.network_exceedance(counts, TWO, 2).collect()}
     assert (net["a"].observations, net["a"].exceedances) == (9, 5)
     assert (net["a"].worst_city, net["a"].worst_city_pct_above) == ("X", 50.0)
     assert net["a"].cities_with_mean_above == 3 and net["a"].observation_unit == "station-days"
@@ -271,6 +272,47 @@ def test_exceedance_counts_floor_and_ties(spark):
     assert exceed.window_means(wide, TWO, min_hours=2).count() == 1
 
 
+def test_windows_of_one_hour_and_metrics_without_readings(spark):
+    hourly = MetricSpec((Metric("a", "a", 10, "1-hour", 5, "24-hour", 99),
+                         Metric("quiet", "quiet", 10, "24-hour", 5, "24-hour", 99)))
+    rows = [("s", f"2024-01-01 {h:02d}:00", "a", 20 if h == 3 else 1, "X") for h in range(8)]
+    hours = reshape.merge_locations(reshape.located_hours(readings(spark, rows), hourly), hourly)
+    net = {r.pollutant: r for r in exceed.network_exceedance(
+        exceed.city_counts(hours, hourly), hourly, 1).collect()}
+    assert (net["a"].observations, net["a"].exceedances, net["a"].observation_unit) == (8, 1, "1-hour blocks")
+    assert (net["quiet"].observations, net["quiet"].exceedances, net["quiet"].pct_above,
+            net["quiet"].worst_city) == (0, 0, None, None)
+    with pytest.raises(ValueError):
+        Metric("a", "a", 10, "weekly", 5, "24-hour", 99)
+
+
+def test_hours_floor_leaves_city_means_alone(spark):
+    rows = [("s", "2024-01-01 01:00", "a", 90, "X"), ("s", "2024-01-02 01:00", "a", 1, "X"),
+            ("s", "2024-01-02 02:00", "a", 1, "X")]
+    hours = reshape.merge_locations(reshape.located_hours(readings(spark, rows), TWO), TWO)
+    counts = exceed.city_counts(hours, TWO, min_hours=2)
+    row = counts.first()
+    assert (row.n, row.over, row.total, row.hours) == (1, 0, 92.0, 3)
+
+
+def test_audit_and_cleaning_keep_the_same_rows(spark):
+    typed = spark.createDataFrame(
+        [(" PM2.5 ", 5.0), ("PM2.5", -1.0), ("x", 5.0), ("PM2.5", float("nan")), (None, 5.0)],
+        "parameter_name string, value double").selectExpr(
+            "1 AS station_id", "'S' AS state_name", "'C' AS city_name", "parameter_name", "'ug' AS unit",
+            "TIMESTAMP_NTZ'2024-01-01 00:00:00' AS collected_at", "value", "'src' AS source")
+    text = spark.createDataFrame(
+        [(" PM2.5 ", "10", "bad"), ("PM2.5", "30", "worse"), ("PM2.5", "50", "2024-01-01 01:00:00"), ("PM2.5", "7", " ")],
+        "parameter_name string, value string, collected_at string").selectExpr(
+            "'1' AS station_id", "'S' AS state_name", "'C' AS city_name", "parameter_name", "'ug' AS unit",
+            "collected_at", "value", "'src' AS source")
+    for raw in (typed, text):
+        buckets = {r.bucket: r["rows"] for r in clean.audit(raw, AIR_QUALITY).collect()}
+        assert buckets["kept"] == clean.kept_readings(raw, AIR_QUALITY).count() == 1
+        assert clean.reconcile(raw, AIR_QUALITY).first().reconciles
+    assert buckets["bad_timestamp"] == 2 and buckets["missing_timestamp"] == 1
+
+
 def test_main_offender_skips_missing_metrics(spark):
     frame = spark.createDataFrame([("c", None, 10.0, 10.0)],
                                   "city string, a_pct double, b_pct double, c_pct double")

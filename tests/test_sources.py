@@ -75,6 +75,21 @@ def test_incremental_load_keeps_what_is_there(spark, raw):
     assert [r.source for r in loaded.where("month = 1").select("source").distinct().collect()] == ["first"]
 
 
+def test_incremental_load_opens_missing_partitions_only(spark, raw):
+    source, target = fresh_path(spark, "source"), fresh_path(spark, "published")
+    rows = raw.select("*", F.year("collected_at").alias("year"), F.month("collected_at").alias("month"))
+    rows.write.partitionBy("year", "month").parquet(source)
+    tree = spark.read.parquet(source)
+    incremental.publish_missing(tree.where("month = 1"), target)
+    missing = incremental.missing_rows(tree, target)
+    assert {r.month for r in missing.select("month").distinct().collect()} == {2, 3, 4}
+    plan = missing._jdf.queryExecution().executedPlan().toString()
+    filters = plan[plan.index("PartitionFilters: ["):].split("]")[0]
+    assert "month" in filters and "Join" not in plan
+    missing.write.format("noop").mode("overwrite").save()
+    assert incremental.present_partitions(spark, fresh_path(spark, "nothing")) == []
+
+
 def test_stream_reads_each_file_once(spark, raw):
     source, target, mark = (fresh_path(spark, x) for x in ("in", "out", "mark"))
     columns = RAW_SCHEMA.fieldNames()
@@ -100,6 +115,9 @@ def test_workflow_end_to_end(spark, raw):
     features = read["station_features"].collect()
     assert len(features) == 12 and min(f.co_avg for f in features) > 1000
     assert read["cluster_assignments"].count() == 12
+    assert read["cluster_status"].first().status == "clustered"
+    assert read["reconciliation"].first().reconciles
+    assert {r.measure for r in read["cluster_k_table"].collect()} == {"squaredEuclidean"}
     assert read["cluster_choice"].first()["chosen_k"] == 2
     assert read["correlation_pairs"].count() == 15
     network = {r.pollutant: r for r in read["exceedance_network"].collect()}
