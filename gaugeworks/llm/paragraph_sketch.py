@@ -91,12 +91,16 @@ def peel(difference: Column, cells: int, most: Column) -> Column:
                 state["cells"], lambda c, i: F.when(F.array_contains(at, i), _cell(
                     c["n"] - one["n"], c["x"].bitwiseXOR(one["x"]), c["c"].bitwiseXOR(one["c"])))
                 .otherwise(c))).alias("cells"),
-            (state["taken"] + 1).alias("taken"))
+            (state["taken"] + 1).alias("taken"), F.lit(True).alias("open"))
 
-    start = F.struct(difference.alias("cells"), F.lit(0).alias("taken"))
+    def step(state: Column) -> Column:
+        """Take one digest out; without a pure cell nothing more is looked at."""
+        stuck = F.struct(state["cells"].alias("cells"), state["taken"].alias("taken"), F.lit(False).alias("open"))
+        return F.aggregate(F.slice(F.filter(state["cells"], pure), 1, 1), stuck, take)
+
+    start = F.struct(difference.alias("cells"), F.lit(0).alias("taken"), F.lit(True).alias("open"))
     steps = F.sequence(F.lit(1), F.greatest(F.lit(1), most))
-    done = F.aggregate(steps, start, lambda state, _: F.aggregate(
-        F.slice(F.filter(state["cells"], pure), 1, 1), state, take))
+    done = F.aggregate(steps, start, lambda state, _: F.when(state["open"], step(state)).otherwise(state))
     return _let(done, lambda s: F.when(
         ~F.exists(s["cells"], lambda c: (c["n"] != 0) | (c["x"] != 0) | (c["c"] != 0)), s["taken"]))
 
