@@ -10,7 +10,8 @@ equal tokens are joined one occurrence to the next, so edges grow with tokens, n
 A label other than "none" is used from :data:`CERTAIN` on.
 
 Weights are fitted by pseudo-likelihood to the base labels of a bounded sample of documents
-(:data:`SAMPLE` rows, chosen by hash of the key).  A token without a base label that repeats
+(:data:`SAMPLE` rows, chosen by hash of the key; of their tokens, equal ones merged, at most
+:data:`TRAINING_ROWS`, chosen by hash).  A token without a base label that repeats
 one with a label is not counted as "none" there, but left out: it is what the field is for.
 
 Null texts are empty and have no spans; null keys are kept; repeated rows get the same spans;
@@ -37,6 +38,7 @@ KINDS = ("email", "ip", "card", "phone")
 NONE = len(KINDS)
 LABELS = NONE + 1
 SAMPLE = 4000
+TRAINING_ROWS = 100_000
 CERTAIN = 0.95
 LONGEST = 64
 ROUNDS = 12
@@ -268,7 +270,7 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text", sample: int
 
     found = (hash_sample(docs.select(F.col(key), text_or_empty(text).alias("text")), key, sample, "pii")
              .select("text").mapInArrow(rows, "row array<long>")
-             .groupBy("row").count().toPandas())
+             .groupBy("row").count().orderBy(F.xxhash64("row")).limit(TRAINING_ROWS).toPandas())
     if not len(found):
         return Model.empty()
     data = np.array([list(r) for r in found["row"]], np.int64).reshape(-1, width)
