@@ -82,7 +82,27 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_chat_format": op10_chat_format,
 }
 
+_CONTROL = r"\\|<<SYS>>|<</SYS>>|\[INST\]|\[/INST\]|</s>|<\|role\|>|<\|text\|>|<\|end\|>"
+
 ORACLES: dict[str, str] = {
+    "op10_chat_format": f"""
+        WITH said AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+            UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+        sized AS (
+            SELECT *, length(text) + len(regexp_extract_all(text, '{_CONTROL}'))
+                + CASE role WHEN 'system' THEN 15 WHEN 'user' THEN 13 WHEN 'assistant' THEN 4
+                  ELSE 23 + length(role) + len(regexp_extract_all(role, '{_CONTROL}')) END AS chars
+            FROM said),
+        whole AS (
+            SELECT conv_id, count(*) AS n_turns, CAST(sum(chars) AS BIGINT) AS formatted_chars,
+                   string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS turns,
+                   coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text)
+                            FILTER (WHERE role = 'assistant'), '') AS loss
+            FROM sized GROUP BY conv_id)
+        SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars,
+               sha256(loss) AS loss_sha256, formatted_chars FROM whole""",
     "op3_mixing": mixing.sampling_sql(MIX_POWERS, MIX_SHARE),
     "op5_maxscore": """
         WITH v AS (
