@@ -1,7 +1,7 @@
 """What is in a raw readings table, before any rule is decided."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gaugeworks.functions.cleaning import lenient_number
@@ -41,12 +41,21 @@ def metric_presence(raw: DataFrame, spec: MetricSpec) -> DataFrame:
                          .withColumn("status", F.lit("not analysed"))))
 
 
-def unit_report(raw: DataFrame) -> DataFrame:
-    """Units per metric and whether they are mixed; duplicates are merged before collecting."""
+def unit_report(raw: DataFrame, listed: int = 100) -> DataFrame:
+    """Units per metric and whether they are mixed.
+
+    Units are free text: all are counted, the first ``listed`` in alphabetical
+    order are named.
+    """
     units = raw.where(F.col("unit").isNotNull()).select("parameter_name", "unit").distinct()
-    return units.groupBy("parameter_name").agg(
-        F.concat_ws(", ", F.array_sort(F.collect_list("unit"))).alias("units"),
-        F.count("*").alias("distinct_units")).withColumn("mixed", F.col("distinct_units") > 1)
+    counts = units.groupBy("parameter_name").agg(F.count("*").alias("distinct_units"))
+    place = F.row_number().over(Window.partitionBy("parameter_name").orderBy("unit"))
+    named = (units.withColumn("_place", place).where(F.col("_place") <= listed)
+             .groupBy("parameter_name")
+             .agg(F.concat_ws(", ", F.array_sort(F.collect_list("unit"))).alias("units")))
+    return (named.join(counts, F.equal_null(named.parameter_name, counts.parameter_name))
+            .select(named.parameter_name, "units", "distinct_units",
+                    (F.col("distinct_units") > 1).alias("mixed")))
 
 
 def value_sanity(raw: DataFrame, sentinels=SENTINELS) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from gaugeworks.functions.timeparts import format_timestamp
 from gaugeworks.operators import checks, clean, correlate, exceed, profile, report, reshape, summaries
 from gaugeworks.plans.oracle import ev, li
-from gaugeworks.plans.registry import query
+from gaugeworks.plans.registry import BY_SIZE, by_size_sql, query
 from gaugeworks.plans.tables import EVENTS_AND_SILENT, EVENTS, LINES, MIN_HOURS
 
 _WIDE_SQL = ("SELECT station_id, strftime(collected_at, '%Y-%m-%d %H:%M:%S') AS collected_at, "
@@ -273,11 +273,11 @@ def _population_sql(names: str) -> str:
     return f"""WITH names AS (SELECT unnest([{names}]) AS pollutant)
 SELECT pollutant, count(reading) AS n, round(avg(reading), 4) AS mean_value,
   round(min(reading), 4) AS min_value, round(max(reading), 4) AS max_value,
-  round(stddev_pop(reading), 4) AS stddev, round(var_pop(reading), 0) AS variance
+  round(stddev_pop(reading), 4) AS stddev, {by_size_sql('var_pop(reading)')} AS variance
 FROM names LEFT JOIN lclean ON parameter_name = pollutant GROUP BY pollutant"""
 
 
-@query("a11_population_statistics", _population_sql(li("'{n}'")), variance=0)
+@query("a11_population_statistics", _population_sql(li("'{n}'")), variance=BY_SIZE)
 def _(t):
     return summaries.population_statistics(t.bulk_table, LINES)
 
@@ -286,11 +286,11 @@ def _sample_sql(spec_rows: str) -> str:
     return f"""WITH v AS ({spec_rows})
 SELECT pollutant, count(v) AS n, count(*) - count(v) AS missing, round(avg(v), 4) AS mean,
   round(median(v), 4) AS median, round(min(v), 4) AS min, round(max(v), 4) AS max,
-  round(var_samp(v), 0) AS variance, round(stddev_samp(v), 4) AS stddev FROM v GROUP BY pollutant"""
+  {by_size_sql('var_samp(v)')} AS variance, round(stddev_samp(v), 4) AS stddev FROM v GROUP BY pollutant"""
 
 
 @query("a12_sample_statistics",
-       _sample_sql(li("SELECT '{n}' AS pollutant, {c} AS v FROM lwide", " UNION ALL ")), variance=0)
+       _sample_sql(li("SELECT '{n}' AS pollutant, {c} AS v FROM lwide", " UNION ALL ")), variance=BY_SIZE)
 def _(t):
     return summaries.sample_statistics(t.staged(t.bulk_cells.select(*LINES.columns)), LINES)
 

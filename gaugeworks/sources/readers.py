@@ -95,15 +95,19 @@ def file_inventory(df: DataFrame) -> DataFrame:
 
 def header_report(spark: SparkSession, path: str, expected: list[str] = CSV_COLUMNS,
                   pattern: str = "*.csv") -> DataFrame:
-    """For each delimited file, whether it carries the expected header exactly once.
+    """For each delimited file, whether its first line is the expected header and no other is.
 
-    Files may be split across tasks, so header lines are counted per file (a
-    map-side aggregate) instead of looking for a first line.
+    Files may be split across tasks.  Lines have rising numbers within the part of a
+    file one task reads, so the part's offset and that number tell which is first; all
+    of it is a map-side aggregate.
     """
     header = ",".join(expected)
     lines = (spark.read.option("pathGlobFilter", pattern).text(path)
              .select(F.col("_metadata.file_path").alias("file_path"),
+                     F.struct(F.col("_metadata.file_block_start"),
+                              F.monotonically_increasing_id()).alias("place"),
                      (F.col("value") == header).alias("is_header")))
     return (lines.groupBy("file_path")
-            .agg(F.count_if("is_header").alias("header_lines"), F.count("*").alias("lines"))
-            .withColumn("conforms", F.col("header_lines") == 1))
+            .agg(F.count_if("is_header").alias("header_lines"), F.count("*").alias("lines"),
+                 F.min_by("is_header", "place").alias("on_first_line"))
+            .withColumn("conforms", (F.col("header_lines") == 1) & F.col("on_first_line")))

@@ -51,6 +51,9 @@ def test_quoted_commas_and_wrong_field_counts(spark, tmp_path):
     assert marked.where("malformed").count() == 1
     report = readers.header_report(spark, str(path)).collect()
     assert all(r.conforms for r in report) and len(report) == 2
+    (path / "c.csv").write_text("s4,S,C,CO,u,t,1,x\n" + header + "\n")
+    late = {r.file_path.rsplit("/", 1)[-1]: r for r in readers.header_report(spark, str(path)).collect()}
+    assert not late["c.csv"].conforms and late["c.csv"].header_lines == 1 and late["a.csv"].conforms
 
 
 def test_month_filter_prunes_directories_and_columns(spark, raw):
