@@ -158,7 +158,9 @@ def fingerprints(docs: DataFrame, cells: int = CELLS, key: str = "doc_id",
     ``edited_fingerprint``, ``near_edited``, ``near_next``.
     """
     body = text_or_empty(text)
-    rows = docs.select(F.col(key), F.coalesce(F.col(key).cast("long"), F.lit(_NO_KEY)).alias("k"), body.alias("text"))
+    # Both sides of the join below read exactly these columns, so they share one shuffle of texts.
+    rows = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(_NO_KEY)).alias("k"), body.alias("text"))
+    own_key = F.nullif(F.col("k"), F.lit(_NO_KEY)).cast(docs.schema[key].dataType).alias(key)
     sized = rows.select("k", F.char_length("text").cast("long").alias("n_chars"))
     ring = staged(following(sized), "sketch-ring")
     placed = rows.join(ring, "k")
@@ -173,8 +175,8 @@ def fingerprints(docs: DataFrame, cells: int = CELLS, key: str = "doc_id",
     n = F.char_length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.left("text", n - half), F.left("head", half))
-    both = placed.join(heads, "k").select(
-        key, n.cast("long").alias("n_chars"), digests(F.col("text")).alias("own"),
+    both = rows.join(heads, "k").select(
+        own_key, n.cast("long").alias("n_chars"), digests(F.col("text")).alias("own"),
         edited.alias("edited"), "next_digests")
     open_rows = staged(both.select(
         key, "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "own",
