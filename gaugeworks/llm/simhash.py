@@ -17,8 +17,9 @@ unless it has no other.  An empty table gives an empty result.
 """
 from __future__ import annotations
 
+import hashlib
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gaugeworks.llm.common import slices, staged, text_or_empty, typed
+from gaugeworks.llm.common import hash_sample, slices, staged, text_or_empty, typed
 from gaugeworks.llm.components import components
 
 BITS = 64
@@ -135,82 +136,148 @@ def near_duplicates(docs: DataFrame, width: int = 3, radius: int = 2, key: str =
         key, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-# Near duplicates at a similarity of five-word shingles.  One word changed in a hundred moves
-# few two-word shingles, so a signature of these finds the pairs; one of five-word shingles,
-# whose share of differing bits is arccos(cosine) / pi, judges them.
-FINDING_WIDTH, FINDING_BITS, FINDING_SEGMENT = 2, 192, 24
-JUDGING_BITS = 512
+# Near duplicates at a similarity of five-word shingles, exactly.  Two sets of a similarity s
+# share at least s of the larger one, so in any common order of all shingles each has one of
+# the shared ones among its first (1 - s) of its size, and one more: only these are indexed.
+# The order puts shingles that many texts have last.  It is taken from a sample and decides
+# about the work, never about the pairs.
+ORDER_SAMPLE, ORDER_SEEN, ORDER_MOST = 8000, 3, 1 << 17
+SLACK = 1e-9
 
 
-def bits_apart(similarity: float, bits: int = JUDGING_BITS) -> int:
-    """Differing bits of a pair at this Jaccard similarity: the expected number and one deviation."""
-    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    return round(bits * share + math.sqrt(bits * share * (1 - share)))
-
-
-def signatures(docs: DataFrame, width: int = 5, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key``, ``find`` and ``judge``, the two wide signatures; both empty for a text without words."""
+def shingles(text: str, width: int) -> np.ndarray:
+    """Distinct hashes of the shingles of a text, rising; a shorter text is one shingle."""
+    words = text.encode().lower().split()
+    if len(words) < width:
+        words, width = [b" ".join(words)] if words else [], 1
+    found = [np.zeros(0, np.int64)]
+    for at in range(0, len(words) - width + 1, HASHES_AT_ONCE):
+        part = words[at:at + HASHES_AT_ONCE + width - 1]
+        found.append(np.array([xxhash.xxh64_intdigest(b" ".join(s), 42) for s in
+                               zip(*(part[i:] for i in range(width)))], np.uint64).view(np.int64))
+    return np.unique(np.concatenate(found))
+
+
+def shingle_sets(docs: DataFrame, width: int, key: str, text: str) -> DataFrame:
+    """``node``, the key, and ``shingles``, the set of every text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 1):
-            find, judge = [], []
-            for value in batch.column(1):
-                words = value.as_py().encode().lower().split()
-                find.append(_wide(words, FINDING_WIDTH, FINDING_BITS) if words else b"")
-                judge.append(_wide(words, width, JUDGING_BITS) if words else b"")
+            found = [shingles(v.as_py(), width) for v in batch.column(1)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(find, pa.binary()), pa.array(judge, pa.binary())],
-                [key, "find", "judge"])
+                [batch.column(0), pa.array(found, pa.list_(pa.int64()))], ["node", "shingles"])
 
     return docs.select(F.col(key), text_or_empty(text).alias("text")).mapInArrow(run, T.StructType(
-        [typed(docs, key), T.StructField("find", T.BinaryType()), T.StructField("judge", T.BinaryType())]))
+        [typed(docs, key, "node"), T.StructField("shingles", T.ArrayType(T.LongType()))]))
+
+
+def frequent(docs: DataFrame, width: int, key: str, text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that several texts of a bounded sample have, rising, and their numbers of texts."""
+    seen = (shingle_sets(hash_sample(docs, key, ORDER_SAMPLE, "similar"), width, key, text)
+            .select(F.explode("shingles").alias("s")).groupBy("s").count().where(F.col("count") >= ORDER_SEEN)
+            .orderBy(F.desc("count"), "s").limit(ORDER_MOST).toPandas().sort_values("s"))
+    return seen["s"].to_numpy(np.int64), seen["count"].to_numpy(np.int64)
 
 
-def _number(column: str, start: int, width: int) -> Column:
-    """Bytes of a binary column as a number."""
-    return F.conv(F.hex(F.substring(column, start + 1, width)), 16, 10).cast("long")
+def prefixes(docs: DataFrame, width: int, similarity: float, order: tuple[np.ndarray, np.ndarray],
+             key: str, text: str) -> DataFrame:
+    """``node``, ``n`` shingles, ``digest`` of the set, and ``prefix``, its first shingles by the order."""
+    known, times = order
 
+    def first(found: np.ndarray) -> np.ndarray:
+        take = len(found) - math.ceil(similarity * len(found) - SLACK) + 1 if len(found) else 0
+        rank = np.zeros(len(found), np.int64)
+        if len(known):
+            at = np.minimum(np.searchsorted(known, found), len(known) - 1)
+            rank = np.where(known[at] == found, times[at], 0)
+        return found[np.lexsort((found, rank))[:take]]
 
-def _long(column: str, lane: int) -> Column:
-    """Eight bytes of a binary column as a signed long."""
-    high, low = _number(column, 8 * lane, 4), _number(column, 8 * lane + 4, 4)
-    return F.shiftleft(high, 32).bitwiseOR(low)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 1):
+            size, digest, prefix = [], [], []
+            for value in batch.column(1):
+                found = shingles(value.as_py(), width)
+                size.append(len(found))
+                digest.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest())
+                prefix.append(first(found))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(size, pa.int32()), pa.array(digest, pa.binary()),
+                 pa.array(prefix, pa.list_(pa.int64()))], ["node", "n", "digest", "prefix"])
+
+    return docs.select(F.col(key), text_or_empty(text).alias("text")).mapInArrow(run, T.StructType(
+        [typed(docs, key, "node"), T.StructField("n", T.IntegerType()), T.StructField("digest", T.BinaryType()),
+         T.StructField("prefix", T.ArrayType(T.LongType()))]))
+
+
+def _judged(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The pairs whose sets are similar, by exact Jaccard."""
+    left = sets.withColumnRenamed("shingles", "left")
+    right = sets.select(F.col("node").alias("other"), F.col("shingles").alias("right"))
+    shared = F.size(F.array_intersect("left", "right"))
+    return (pairs.join(left, "node").join(right, "other")
+            .where(shared / (F.size("left") + F.size("right") - shared) >= similarity).select("node", "other"))
+
+
+def _across(shared: DataFrame, roots: DataFrame, alike: Callable[..., Column]) -> DataFrame:
+    """Pairs under one key whose components differ, once each, the larger node first."""
+    rooted = shared.join(roots, "node", "left").select(
+        "found", F.coalesce("root", "node").alias("root"), F.struct("node", "n").alias("one"))
+    groups = rooted.groupBy("found", "root").agg(F.collect_list("one").alias("ones"))
+    several = F.count("*").over(Window.partitionBy("found"))
+    groups = staged(groups.withColumn("roots", several).where("roots > 1").drop("roots"), "similar-groups")
+    other = groups.select("found", F.col("root").alias("root2"), F.col("ones").alias("twos"))
+    pairs = (groups.join(other, "found").where("root < root2").select(F.explode("ones").alias("one"), "twos")
+             .select("one", F.explode("twos").alias("two")).where(alike("one.n", "two.n"))
+             .select(F.greatest("one", "two").alias("one"), F.least("one", "two").alias("two")))
+    return (pairs.groupBy("one", "two").agg(F.count("*").alias("times"))
+            .where(alike("one.n", "two.n", "times")).where("one.node <> two.node")
+            .select(F.col("one.node").alias("node"), F.col("two.node").alias("other")).distinct())
 
 
 def drop_similar(docs: DataFrame, width: int = 5, similarity: float = 0.8, key: str = "doc_id",
                  text: str = "text") -> DataFrame:
     """The rows of ``docs`` without those similar to one with a smaller key, directly or in a chain.
 
-    Texts with equal signatures are one entry.  The finding signature is cut into segments of
-    :data:`FINDING_SEGMENT` bits, each indexed once per deleted bit.  Entries under one key are
-    not paired with each other: each is compared with the smallest and with the one before it,
-    and as similar texts meet under many keys, their links form chains.  Rows that repeat a key
-    stay or go together; rows without a key stay.
+    Similar are texts whose sets of shingles have a Jaccard index of at least ``similarity``;
+    all such pairs count and no others.  Texts with equal sets are one entry.  Entries that
+    share an indexed shingle are compared with the smallest of them first; then every pair
+    that these links have not yet brought into one component is compared, too.  Rows that
+    repeat a key stay or go together; rows without a key stay.
     """
-    marked = staged(signatures(docs.where(F.col(key).isNotNull()), width, key, text), "similar-signatures")
-    nodes = staged(marked.groupBy("find", "judge").agg(F.min(key).alias("node"))
-                   .where(F.length("find") > 0)
-                   .select("node", *(_number("find", i * FINDING_SEGMENT // 8, FINDING_SEGMENT // 8).alias(f"s{i}")
-                                     for i in range(FINDING_BITS // FINDING_SEGMENT)),
-                           *(_long("judge", i).alias(f"j{i}") for i in range(JUDGING_BITS // BITS))),
-                   "similar-nodes")
-    ways = [(segment, bit) for segment in range(FINDING_BITS // FINDING_SEGMENT) for bit in range(FINDING_SEGMENT)]
-    keys = F.array(*[
-        F.col(f"s{segment}").bitwiseAND(((1 << FINDING_SEGMENT) - 1) & ~(1 << bit)).bitwiseOR(
-            F.lit((segment * FINDING_SEGMENT + bit) << FINDING_SEGMENT)) for segment, bit in ways])
-    index = nodes.select("node", F.explode(keys).alias("found"))
-    group = Window.partitionBy("found").orderBy("node")
-    met = (index.select("node", F.min("node").over(group).alias("first"), F.lag("node").over(group).alias("before"))
-           .where(F.col("before").isNotNull())
-           .select("node", F.explode(F.array("first", "before")).alias("other")).distinct())
-    judged = [f"j{i}" for i in range(JUDGING_BITS // BITS)]
-    left = nodes.select("node", F.array(*judged).alias("left"))
-    right = nodes.select(F.col("node").alias("other"), F.array(*judged).alias("right"))
-    apart = F.aggregate(F.zip_with("left", "right", lambda a, b: F.bit_count(a.bitwiseXOR(b))),
-                        F.lit(0), lambda a, b: a + b)
-    linked = met.join(left, "node").join(right, "other").where(apart <= bits_apart(similarity))
-    roots = components(linked.select("node", "other"), "node", "other")
-    empty = marked.where(F.length("find") == 0).agg(F.min(key).alias("node")).where("node IS NOT NULL")
-    kept = (nodes.select("node").join(roots.where("node <> root"), "node", "left_anti").union(empty))
-    gone = staged(marked.select(key).distinct().join(kept.withColumnRenamed("node", key), key, "left_anti"),
-                  "similar-gone")
+    keyed = docs.where(F.col(key).isNotNull())
+    marked = staged(prefixes(keyed, width, similarity, frequent(keyed, width, key, text), key, text),
+                    "similar-prefixes")
+    nodes = staged(marked.groupBy("digest").agg(F.min("node").alias("node")), "similar-nodes")
+    index = marked.join(nodes, ["digest", "node"]).select("node", "n", F.explode("prefix").alias("found"))
+    group = Window.partitionBy("found")
+    shared = staged(index.withColumns({"first": F.min(F.struct("node", "n")).over(group),
+                                       "many": F.count("*").over(group)}).where("many > 1").drop("many"),
+                    "similar-keys")
+
+    def alike(a: str, b: str, times: str | None = None) -> Column:
+        """Whether the sizes, and the number of indexed shingles two sets share, allow the similarity.
+
+        What they share beyond these comes after one of the two prefixes.
+        """
+        if times is None:
+            return F.least(a, b) >= similarity * F.greatest(a, b) - SLACK
+        after = F.ceil(similarity * F.greatest(a, b) - SLACK) - 1
+        return F.col(times) + after >= similarity / (1 + similarity) * (F.col(a) + F.col(b)) - SLACK
+
+    def linked(pairs: DataFrame, label: str) -> DataFrame:
+        ids = staged(pairs.select(F.explode(F.array("node", "other")).alias(key)).distinct(), f"{label}-nodes")
+        sets = staged(shingle_sets(keyed.join(ids, key, "left_semi"), width, key, text), f"{label}-sets")
+        return staged(_judged(pairs, sets, similarity), f"{label}-linked")
+
+    # The smallest of a key is not counted under other keys here; what that leaves out comes below.
+    met = staged(shared.where(F.col("node") != F.col("first.node")).where(alike("n", "first.n"))
+                 .groupBy("node", "n", "first").agg(F.count("*").alias("times"))
+                 .where(alike("n", "first.n", "times"))
+                 .select("node", F.col("first.node").alias("other")).distinct(), "similar-met")
+    direct = linked(met, "similar-met")
+    more = _across(shared.select("found", "node", "n"), components(direct, "node", "other"), alike)
+    more = staged(more.join(met, ["node", "other"], "left_anti"), "similar-across")
+    roots = components(direct.union(linked(more, "similar-across")), "node", "other")
+    kept = nodes.select("node").join(roots.where("node <> root"), "node", "left_anti")
+    gone = staged(marked.select(F.col("node").alias(key)).distinct()
+                  .join(kept.withColumnRenamed("node", key), key, "left_anti"), "similar-gone")
     return docs.join(gone, key, "left_anti")

@@ -123,6 +123,32 @@ def test_near_copies_go_and_others_stay(spark):
     assert kept == set(clean)
 
 
+def drawn(rng, n):
+    return ["".join(rng.choice("abcdefghijklmnop") for _ in range(8)) for _ in range(n)]
+
+
+def similarity(a, b):
+    a, b = shingles(a), shingles(b)
+    return len(a & b) / len(a | b)
+
+
+def test_copies_with_moved_passages_are_all_found(spark):
+    rng = random.Random(21)
+    rows, want = [], set()
+    for i in range(120):
+        words = drawn(rng, rng.randint(150, 600))
+        size = round(len(words) * rng.uniform(0.17, 0.22))
+        at = rng.randrange(len(words) - size)
+        copy = (words + drawn(rng, size), words[:at] + drawn(rng, size) + words[at:],
+                words[:at] + words[at + size * 4 // 5:])[i % 3]
+        texts = " ".join(words), " ".join(copy)
+        assert 0.78 < similarity(*texts) < 0.86
+        rows += [(i, texts[0]), (1000 + i, texts[1])]
+        want |= {i} | ({1000 + i} if similarity(*texts) < 0.8 else set())
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id for r in simhash.drop_similar(docs).collect()} == want
+
+
 def test_drop_similar_edge_rows(odd, none):
     kept = simhash.drop_similar(odd)
     assert kept.columns == odd.columns
