@@ -149,6 +149,37 @@ def test_copies_with_moved_passages_are_all_found(spark):
     assert {r.doc_id for r in simhash.drop_similar(docs).collect()} == want
 
 
+def test_pairs_between_unlike_texts_under_one_key_are_found(spark):
+    rng = random.Random(22)
+    passage = drawn(rng, 500)
+    rows = [(i, " ".join(passage + drawn(rng, 60))) for i in range(20)]
+    for i in range(20):  # each copy has all the other texts' ids between its own and its original's
+        words = rows[i][1].split()
+        words[rng.randrange(500, 560)] = "changed"
+        rows.append((100 + i, " ".join(words)))
+    far = [(200 + i, " ".join(passage[:300] + drawn(rng, 200))) for i in range(40)]
+    docs = spark.createDataFrame(rows + far, "doc_id long, text string")
+    want = Sets([k for k, _ in rows + far])
+    for a, s in rows + far:
+        for b, t in rows + far:
+            if a < b and similarity(s, t) >= 0.8:
+                want.join(a, b)
+    kept = {r.doc_id for r in simhash.drop_similar(docs).collect()}
+    assert kept == {k for k in want.up if want.find(k) == k}
+
+
+@pytest.mark.parametrize("own", [90, 120])
+def test_every_pair_of_a_shared_key_is_compared(spark, own):
+    """All share a passage too short to be similar by; copies are far from the smallest and the one before."""
+    rng = random.Random(own)
+    passage = drawn(rng, 300)
+    texts = [passage + drawn(rng, own) for _ in range(30)]
+    rows = [(i, " ".join(words)) for i, words in enumerate(texts)]
+    rows += [(100 + i, " ".join(words[1:] + ["end"])) for i, words in enumerate(texts)]
+    kept = {r.doc_id for r in simhash.drop_similar(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert kept == set(range(30))
+
+
 def test_drop_similar_edge_rows(odd, none):
     kept = simhash.drop_similar(odd)
     assert kept.columns == odd.columns
