@@ -180,6 +180,16 @@ def test_every_pair_of_a_shared_key_is_compared(spark, own):
     assert kept == set(range(30))
 
 
+def test_texts_that_repeat_one_passage_stay(spark):
+    rng = random.Random(23)
+    passage = drawn(rng, 60)
+    rows = [(i, " ".join(drawn(rng, 300) + passage * 20)) for i in range(12)]
+    assert max(similarity(a, b) for i, a in rows for j, b in rows if i < j) < 0.2
+    rows.append((50, rows[0][1] + " end"))
+    kept = {r.doc_id for r in simhash.drop_similar(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert kept == set(range(12))
+
+
 def test_drop_similar_edge_rows(odd, none):
     kept = simhash.drop_similar(odd)
     assert kept.columns == odd.columns
