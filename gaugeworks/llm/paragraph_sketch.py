@@ -127,8 +127,9 @@ def following(docs: DataFrame) -> DataFrame:
 
     Only keys move.  They are cut into ranges; inside a range the neighbour is the row beside,
     and at its edge the nearest key of the next range, from a table of one row per range.
+    ``before_chars`` is the length of the longest text of the key before.
     """
-    ranges = staged(docs.groupBy("k").agg(F.min("n_chars").alias("n_chars"))
+    ranges = staged(docs.groupBy("k").agg(F.max("n_chars").alias("n_chars"))
                     .repartitionByRange(F.desc("k")).withColumn("range", F.spark_partition_id()), "sketch-keys")
     edges = ranges.groupBy("range").agg(F.max_by(F.struct("k", "n_chars"), "k").alias("high"),
                                         F.min_by(F.struct("k", "n_chars"), "k").alias("low"))

@@ -254,3 +254,22 @@ def test_sketch_edge_rows(odd, none, spark):
     assert paragraph_sketch.fingerprints(none).count() == 0
     alone = paragraph_sketch.fingerprints(spark.createDataFrame([(5, "one\ntwo")], "doc_id long, text string")).first()
     assert (alone.near_next, alone.n_chars) == (1.0, 7)
+
+
+def test_rows_of_unequal_length_under_one_key_are_edited_in_full(spark):
+    rng = random.Random(9)
+    text = lambda n: "".join(rng.choice("abcdefgh \n") for _ in range(n))
+    rows = [(7, text(3000)), (5, text(40)), (5, ""), (5, text(1200)), (5, text(2001)), (3, text(900)), (3, None),
+            (None, text(1500)), (None, ""), (None, text(10))]
+    after = {7: [t for k, t in rows if k == 5], 5: [t for k, t in rows if k == 3],
+             3: [t for k, t in rows if k is None], None: [rows[0][1]]}
+    frame = spark.createDataFrame(rows, "doc_id long, text string").withColumn("h", F.xxhash64(F.coalesce("text", F.lit(""))))
+    least = {r.text or "": r.h for r in frame.collect()}
+    want = []
+    for k, t in rows:
+        t = t or ""
+        head, half = min((x or "" for x in after[k]), key=lambda x: least[x]), len(t) // 2
+        changed = t[:len(t) - half] + head[:half]
+        want.append((str(k), len(t), hashlib.sha256(changed.encode()).hexdigest(), round(jaccard(blocks(t), blocks(changed)), 6)))
+    got = paragraph_sketch.fingerprints(frame.drop("h")).collect()
+    assert sorted(want) == sorted((str(r.doc_id), r.n_chars, r.edited_sha256, round(r.near_edited, 6)) for r in got)
