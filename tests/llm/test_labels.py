@@ -103,6 +103,27 @@ def test_skip_edges_carry_a_label_to_a_distant_token():
     assert pii.find_spans(["or 0512345678 again"], model)[0] == ([], [])
 
 
+@pytest.mark.parametrize("known", [0, 14, 29])
+def test_all_of_thirty_repeats_get_the_label(known):
+    words = [f"{'call +49512345678' if i == known else 'or 0512345678'} {'word ' * 20}" for i in range(30)]
+    text = "".join(words)
+    model = pii.Model.empty()
+    model.skip[3, 3] = 8.0
+    base, added = pii.find_spans(["nothing here", text], model)[1]
+    assert len(base) == 1 and [text[a:b] for _, a, b in added] == ["0512345678"] * 29
+
+
+def test_messages_reach_the_end_of_a_long_chain():
+    rng = np.random.default_rng(6)
+    n, skip = 400, 8.0 * np.eye(pii.LABELS)
+    model = pii.Model(np.zeros((pii.BUCKETS, pii.LABELS)), np.zeros((pii.LABELS, pii.LABELS)), skip)
+    nodes = pii.Nodes([(0, 0)] * n, [list(rng.integers(0, pii.BUCKETS, pii.SLOTS)) for _ in range(n)],
+                      [2] + [-1] * (n - 1), [], [(i, i + 1) for i in range(n - 1)])
+    step = np.exp(skip) / np.exp(skip).sum(axis=1, keepdims=True)
+    want = np.stack([np.linalg.matrix_power(step, i)[2] for i in range(n)])
+    assert np.abs(pii.marginals(model, nodes) - want).max() < 1e-2
+
+
 def test_pii_edge_rows(odd, none):
     model = pii.train(odd)
     rows = pii.detect(odd, model).collect()
