@@ -7,8 +7,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeworks.llm import (bpe_stream, chat_format, maxscore, mixing, paragraph_sketch, pii, severity, sharding, simhash,
-                            token_counts)
+from gaugeworks.llm import (bpe_stream, chat_format, maxscore, mixing, paragraph_sketch, part_codes, pii, quality,
+                            severity, sharding, simhash, spelling, token_counts)
 from gaugeworks.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -69,6 +69,19 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digests(chat_format.conversations(log))
 
 
+def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
+def op12_part_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return part_codes.codes(table(spark, sf_dir, "embeddings"))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(spelling.vocabulary(spelling.occurrences(table(spark, sf_dir, "documents"))))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_pii_skip_chain": op2_pii_skip_chain,
@@ -80,6 +93,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe_round_trip": op8_bpe_round_trip,
     "op9_paragraph_sketch": op9_paragraph_sketch,
     "op10_chat_format": op10_chat_format,
+    "op11_quality": op11_quality,
+    "op12_part_codes": op12_part_codes,
+    "op13_spelling": op13_spelling,
 }
 
 _CONTROL = r"\\|<<SYS>>|<</SYS>>|\[INST\]|\[/INST\]|</s>|<\|role\|>|<\|text\|>|<\|end\|>"
@@ -103,6 +119,8 @@ ORACLES: dict[str, str] = {
             FROM sized GROUP BY conv_id)
         SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars,
                sha256(loss) AS loss_sha256, formatted_chars FROM whole""",
+    # The sample vectors have 64 components, so a part has eight.
+    "op12_part_codes": part_codes.codes_sql(width=8),
     "op3_mixing": mixing.sampling_sql(MIX_POWERS, MIX_SHARE),
     "op5_maxscore": """
         WITH v AS (
