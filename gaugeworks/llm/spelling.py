@@ -33,10 +33,8 @@ from pyspark.sql import functions as F
 from gaugeworks.llm.common import staged
 
 LETTERS = [*string.ascii_lowercase, *string.ascii_uppercase, *map(chr, range(0xC0, 0x100))]
-_COLUMN = np.zeros(0x100, np.int64)
-_COLUMN[[ord(c) for c in LETTERS]] = range(len(LETTERS))
 
-CLASSES = 3
+CLASSES = 4
 BLOCK_CHARS = 1 << 16
 # Rows of one block that are multiplied at a time, and pairs verified at a time.
 STRIPE = 512
@@ -73,17 +71,26 @@ def vocabulary(words: DataFrame, least: int = 2) -> DataFrame:
     return words.groupBy("word").agg(F.count("*").alias("n")).where(F.col("n") >= least)
 
 
-def letter_counts(words: list[str]) -> np.ndarray:
-    """Words x letters."""
-    codes = np.frombuffer("".join(words).encode("latin-1"), np.uint8)
-    owner = np.repeat(np.arange(len(words)), [len(w) for w in words])
-    flat = np.bincount(owner * len(LETTERS) + _COLUMN[codes], minlength=len(words) * len(LETTERS))
-    return flat.reshape(len(words), len(LETTERS)).astype(float)
+def spelled(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Words (one byte a letter) as rows of codes filled up with zeros, and their lengths."""
+    ends = np.frombuffer(words.buffers()[1], np.int32)[words.offset:words.offset + len(words) + 1].astype(np.int64)
+    size = np.diff(ends)
+    rows = np.zeros((len(words), size.max(initial=0)), np.uint8)
+    place = np.arange(ends[-1] - ends[0]) - np.repeat(ends[:-1] - ends[0], size)
+    codes = np.frombuffer(words.buffers()[2], np.uint8)[ends[0]:ends[-1]]
+    rows[np.repeat(np.arange(len(words)), size), place] = codes
+    return rows, size
 
 
-def _spelled(words: list[str], width: int) -> np.ndarray:
-    """Words as rows of codes, filled up with zeros."""
-    return np.array([w.encode("latin-1") for w in words], f"S{width}").view(np.uint8).reshape(len(words), width)
+def letter_counts(rows: np.ndarray) -> np.ndarray:
+    """Words x letters, for the letters that occur; exact whatever the length."""
+    kind = np.float32 if rows.shape[1] < 2000 else np.float64
+    column = np.zeros(256, np.int64)
+    used = np.flatnonzero(np.bincount(rows.ravel(), minlength=256)[1:]) + 1
+    column[used] = np.arange(1, len(used) + 1)
+    at = np.arange(len(rows))[:, None] * (len(used) + 1) + column[rows]
+    counts = np.bincount(at.ravel(), minlength=len(rows) * (len(used) + 1)).reshape(len(rows), len(used) + 1)
+    return counts[:, 1:].astype(kind)
 
 
 def one_edit(a: np.ndarray, b: np.ndarray, length: int, longer: np.ndarray) -> np.ndarray:
@@ -92,52 +99,66 @@ def one_edit(a: np.ndarray, b: np.ndarray, length: int, longer: np.ndarray) -> n
     Rows of ``b`` have as many letters, or one more where ``longer`` says so.
     """
     same = a[:, :length] == b[:, :length]
-    later = a[:, :length] == b[:, 1:length + 1]
-    start = np.logical_and.accumulate(same, axis=1).sum(1)
-    end = np.logical_and.accumulate(later[:, ::-1], axis=1).sum(1)
-    return np.where(longer, start + end >= length, same.sum(1) == length - 1)
-
-
-def near_pairs(home: list[str], guests: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Index pairs one edit apart; home words have one length, guests that length or one more."""
-    length = len(home[0])
-    a, b = letter_counts(home), letter_counts(guests)
-    spelled_a, spelled_b = _spelled(home, length + 1), _spelled(guests, length + 1)
-    longer = np.array([len(g) > length for g in guests])
-    size_a, size_b = (a * a).sum(1), (b * b).sum(1)
+    out = same.sum(1) == length - 1
+    if longer.any():
+        start = np.logical_and.accumulate(same[longer], axis=1).sum(1)
+        later = a[longer, :length] == b[longer, 1:length + 1]
+        end = np.logical_and.accumulate(later[:, ::-1], axis=1).sum(1)
+        out[longer] = start + end >= length
+    return out
+
+
+def near_pairs(rows: np.ndarray, size: np.ndarray, home: np.ndarray,
+               guest: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Index pairs one edit apart; home words have one length, guests that length or one more.
+
+    One product gives the squared distances: (-2a, |a|^2, 1) times (b, 1, |b|^2).
+    """
+    length = int(size[home[0]])
+    counts = letter_counts(rows)
+    square = (counts * counts).sum(1, keepdims=True)
+    one = np.ones_like(square)
+    a = np.hstack([-2 * counts[home], square[home], one[home]])
+    b = np.ascontiguousarray(np.hstack([counts[guest], one[guest], square[guest]]).T)
+    longer = size > length
     for start in range(0, len(home), STRIPE):
-        stripe = slice(start, start + STRIPE)
-        apart = size_a[stripe, None] + size_b[None, :] - 2 * (a[stripe] @ b.T)
-        i, j = np.nonzero((apart > 0.5) & (apart < 2.5))
-        i += start
+        i, j = np.nonzero(a[start:start + STRIPE] @ b < 2.5)
+        i, j = home[i + start], guest[j]
         for at in range(0, len(i), PAIRS):
             p, q = i[at:at + PAIRS], j[at:at + PAIRS]
-            ok = one_edit(spelled_a[p], spelled_b[q], length, longer[q])
+            ok = one_edit(rows[p], rows[q], length, longer[q])
             yield p[ok], q[ok]
 
 
 def _compared(block: pa.Table) -> pa.Table:
     """One row per word of a block that has neighbours in it: how many, and the best one."""
-    word, n = np.array(block["word"].to_pylist(), object), block["n"].to_numpy()
-    is_home, own = block["home"].to_numpy(), block["own"].to_numpy()
+    words = block["code"].combine_chunks()
+    n, own = block["n"].to_numpy(), block["own"].to_numpy()
+    is_home = block["home"].to_numpy()
     home, guest = np.flatnonzero(is_home), np.flatnonzero(~is_home)
-    # Ranks put frequent words first, then code-point order: the best neighbour has the least.
-    every = sorted({w: -c for w, c in zip(word, n.tolist())}.items(), key=lambda kept: (kept[1], kept[0]))
-    rank = {w: i for i, (w, _) in enumerate(every)}
-    at = np.array([rank[w] for w in word], np.int64)
-    near, best = np.zeros(len(every), np.int64), np.full(len(every), len(every))
+    near, pairs = np.zeros(len(n), np.int64), []
     if len(home) and len(guest):
-        for i, j in near_pairs(word[home].tolist(), word[guest].tolist()):
+        rows, size = spelled(words)
+        for i, j in near_pairs(rows, size, home, guest):
             # In its own cell each word is home and guest, so one direction covers both.
-            other = ~own[guest[j]]
-            left, right = at[home[i]], at[guest[j]]
-            for to, of in ((left, right), (right[other], left[other])):
-                near += np.bincount(to, minlength=len(every))
-                np.minimum.at(best, to, of)
+            other = ~own[j]
+            pairs += [(i, j), (j[other], i[other])]
+    best = np.zeros(len(n), np.int64)
+    if pairs:
+        to, of = (np.concatenate(side) for side in zip(*pairs))
+        near = np.bincount(to, minlength=len(n))
+        # Ranks put frequent words first, then code-point order: the best neighbour has the least.
+        used = np.unique(of)
+        names = np.ascontiguousarray(rows[used]).view(f"S{rows.shape[1]}").ravel()
+        order = used[np.lexsort((names, -n[used]))]
+        rank = np.zeros(len(n), np.int64)
+        rank[order] = np.arange(len(order))
+        least = np.full(len(n), len(order))
+        np.minimum.at(least, to, rank[of])
+        best[near > 0] = order[least[near > 0]]
     some = np.flatnonzero(near)
-    return pa.table({"word": pa.array([every[i][0] for i in some], pa.string()), "near": pa.array(near[some], pa.int64()),
-                     "best_n": pa.array([-every[i][1] for i in best[some]], pa.int64()),
-                     "best": pa.array([every[i][0] for i in best[some]], pa.string())})
+    return pa.table({"code": words.take(pa.array(some)), "near": pa.array(near[some], pa.int64()),
+                     "best_n": pa.array(n[best[some]], pa.int64()), "best": words.take(pa.array(best[some]))})
 
 
 def _cell() -> list[Column]:
@@ -162,27 +183,33 @@ def _targets() -> Column:
 
 
 def neighbours(words: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """``word``, ``n_near``, ``best`` and ``best_n`` of words (``word``, ``n``) with neighbours."""
-    cells = words.select("word", "n", *[c.alias(f"c{k}") for k, c in enumerate(_cell())])
-    sent = (cells.select("word", "n", F.inline(_targets()))
+    """``word``, ``n_near``, ``best`` and ``best_n`` of words (``word``, ``n``) with neighbours.
+
+    Words are of the letters in :data:`LETTERS`, so that a letter is a byte of Latin-1.
+    """
+    cells = words.select(F.encode("word", "ISO-8859-1").alias("code"), "n",
+                         *[c.alias(f"c{k}") for k, c in enumerate(_cell())])
+    sent = (cells.select("code", "n", F.inline(_targets()))
             .where(F.forall("cell", lambda c: c >= 0)))
-    size = F.length("word")
+    size = F.octet_length("code")
     blocks = sent.groupBy("cell").agg(
         F.ceil(F.sum(F.when(F.col("own"), size)) / block_chars).alias("homes"),
         F.ceil(F.sum(size) / block_chars).alias("guests")).where(F.col("homes") > 0)
     dealt = sent.join(blocks, "cell").withColumns({
-        "_i": F.pmod(F.xxhash64("word"), F.col("homes")),
-        "_j": F.pmod(F.xxhash64("word", F.lit(1)), F.col("guests"))})
+        "_i": F.pmod(F.xxhash64("code"), F.col("homes")),
+        "_j": F.pmod(F.xxhash64("code", F.lit(1)), F.col("guests"))})
     as_guest = dealt.select("cell", F.explode(F.sequence(F.lit(0).cast("long"), F.col("homes") - 1)).alias("i"),
-                            F.col("_j").alias("j"), F.lit(False).alias("home"), "own", "word", "n")
+                            F.col("_j").alias("j"), F.lit(False).alias("home"), "own", "code", "n")
     as_home = dealt.where("own").select(
         "cell", F.col("_i").alias("i"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("guests") - 1)).alias("j"),
-        F.lit(True).alias("home"), "own", "word", "n")
+        F.lit(True).alias("home"), "own", "code", "n")
     found = (as_home.unionByName(as_guest).groupBy("cell", "i", "j")
-             .applyInArrow(_compared, "word string, near long, best_n long, best string"))
-    best = F.min(F.struct((-F.col("best_n")).alias("back"), F.col("best").alias("word")))
-    return (found.groupBy("word").agg(F.sum("near").alias("n_near"), best.alias("b"))
-            .select("word", "n_near", F.col("b.word").alias("best"), (-F.col("b.back")).alias("best_n")))
+             .applyInArrow(_compared, "code binary, near long, best_n long, best binary"))
+    # One byte a letter sorts as code points do.
+    best = F.min(F.struct((-F.col("best_n")).alias("back"), F.col("best").alias("code")))
+    return (found.groupBy("code").agg(F.sum("near").alias("n_near"), best.alias("b"))
+            .select(F.decode("code", "ISO-8859-1").alias("word"), "n_near",
+                    F.decode("b.code", "ISO-8859-1").alias("best"), (-F.col("b.back")).alias("best_n")))
 
 
 def roots(forms: DataFrame) -> DataFrame:
