@@ -92,14 +92,15 @@ def reconcile(raw: DataFrame, spec: MetricSpec) -> DataFrame:
 
 
 def kept_readings(raw: DataFrame, spec: MetricSpec, factors=UNIT_FACTORS,
-                  padded: bool = True) -> DataFrame:
+                  padded: bool = True, carry: tuple[str, ...] = ()) -> DataFrame:
     """Readings that pass every rule, located and (unless factors are empty) in one unit.
 
     The rules of ``classify``, written as plain conjuncts: on typed columns the
     value range reaches the file scan.  Each column is trimmed if it is text,
     here as there.  A source whose metric names are known to have no blanks around
     them can say ``padded=False``: then the metric list reaches the file scan, too.
-    NaN sorts above infinity, so one upper bound excludes both.
+    NaN sorts above infinity, so one upper bound excludes both.  ``carry`` names further
+    columns to keep, such as those the source is partitioned by.
     """
     metric = _field(raw, "parameter_name") if padded else F.col("parameter_name")
     value = numeric_value(raw)
@@ -119,7 +120,7 @@ def kept_readings(raw: DataFrame, spec: MetricSpec, factors=UNIT_FACTORS,
         metric.alias("parameter_name"),
         to_canonical_unit(value, F.col("unit"), factors).alias("reading"),
         or_unknown(F.col("state_name")).alias("state_name"),
-        or_unknown(F.col("city_name")).alias("city_name"), _field(raw, "source").alias("source"))
+        or_unknown(F.col("city_name")).alias("city_name"), _field(raw, "source").alias("source"), *carry)
 
 
 def average_duplicates(readings: DataFrame) -> DataFrame:

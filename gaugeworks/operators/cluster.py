@@ -4,19 +4,18 @@ Fitting is iterative and runs jobs; everything else stays lazy.
 """
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 from math import ceil
 
 import numpy as np
 import pandas as pd
-from pyspark import inheritable_thread_target
-from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gaugeworks.operators import lloyd
+from gaugeworks.operators.lloyd import Centres
 from gaugeworks.operators.report import relative_change
 from gaugeworks.session import cut_lineage
 
@@ -81,32 +80,14 @@ def prepare(features: DataFrame, columns: list[str], min_stations: int = MIN_STA
     return cut_lineage(scaled.drop(*[f"z_{c}" for c in columns]))
 
 
-def fit(prepared: DataFrame, k: int, restarts: int = RESTARTS, seed: int = SEED,
-        parallelism: int = 8) -> KMeansModel:
+def fit(prepared: DataFrame, k: int, restarts: int = RESTARTS, seed: int = SEED) -> Centres:
     """The best of several restarts by training cost."""
-    return fit_each(prepared, [k], restarts, seed, parallelism)[k]
-
-
-def fit_each(prepared: DataFrame, ks, restarts: int = RESTARTS, seed: int = SEED,
-             parallelism: int = 8) -> dict[int, KMeansModel]:
-    """The best model for every k; fits run side by side as separate jobs over one persisted frame."""
-    @inheritable_thread_target(prepared.sparkSession)
-    def one(job: tuple[int, int]):
-        k, restart = job
-        model = KMeans(k=k, seed=seed + restart, maxIter=MAX_ITERATIONS).fit(prepared)
-        return k, model.summary.trainingCost, restart, model
-
-    jobs = [(k, restart) for k in ks for restart in range(restarts)]
-    best: dict[int, tuple] = {}
-    prepared.persist()
-    try:
-        with ThreadPoolExecutor(parallelism) as pool:
-            for k, cost, restart, model in pool.map(one, jobs):
-                if k not in best or (cost, restart) < best[k][:2]:
-                    best[k] = (cost, restart, model)
-    finally:
-        prepared.unpersist()
-    return {k: model for k, (_, _, model) in best.items()}
+    return fit_each(prepared, [k], restarts, seed)[k]
+
+
+def fit_each(prepared: DataFrame, ks, restarts: int = RESTARTS, seed: int = SEED) -> dict[int, Centres]:
+    """The best model for every k; all of them and their restarts take each step in one pass."""
+    return lloyd.best_of(lloyd.fit_all(prepared, ks, restarts, seed, MAX_ITERATIONS))
 
 
 def _distance_sums(left: pd.DataFrame, right: pd.DataFrame, labels: dict[str, int]) -> pd.DataFrame:
@@ -184,19 +165,17 @@ def _point_silhouette(name: str, k: int):
 
 
 def scan_k(prepared: DataFrame, ks=K_RANGE, restarts: int = RESTARTS, seed: int = SEED,
-           measure: str = "euclidean") -> tuple[DataFrame, dict[int, KMeansModel]]:
+           measure: str = "euclidean") -> tuple[DataFrame, dict[int, Centres]]:
     """(k, inertia, silhouette, measure) for every k, and the models behind it.
 
     ``measure`` decides what the silhouette costs: ``euclidean`` compares all pairs of
     stations, ``squaredEuclidean`` is linear in their number.
     """
     models = fit_each(prepared, ks, restarts, seed)
-    labelled = prepared
-    for k, model in models.items():
-        labelled = model.setPredictionCol(f"k{k}").transform(labelled)
-    scores = silhouette(labelled, {f"k{k}": k for k in models}, measure=measure)
+    labelled = lloyd.label(prepared, {f"k{k}": m for k, m in models.items()})
+    scores = silhouette(labelled, {f"k{k}": k for k in models}, "x", measure=measure)
     inertia = prepared.sparkSession.createDataFrame(
-        [(f"k{k}", k, float(m.summary.trainingCost)) for k, m in models.items()],
+        [(f"k{k}", k, m.cost) for k, m in models.items()],
         "labelling string, k int, inertia double")
     table = (inertia.join(scores, "labelling")
              .select("k", F.round("inertia", 2).alias("inertia"),
@@ -217,15 +196,15 @@ def choose_k(k_table: DataFrame, forced: int | None = None) -> DataFrame:
                      F.coalesce(elbow, chosen).cast("int").alias("elbow_k"))
 
 
-def assign(prepared: DataFrame, model: KMeansModel, columns: list[str]) -> DataFrame:
+def assign(prepared: DataFrame, model: Centres, columns: list[str]) -> DataFrame:
     """Each station with its cluster, in cluster order, highest primary mean first.
 
     Clusters are numbered by their centres in ascending order, first feature first,
     whatever numbers the fit gave them.
     """
-    order = sorted(range(model.getK()), key=lambda c: tuple(model.clusterCenters()[c]))
-    number = F.array(*[F.lit(order.index(c)) for c in range(model.getK())])
-    return (model.setPredictionCol("_fitted").transform(prepared)
+    order = sorted(range(model.k), key=lambda c: tuple(model.points[c]))
+    number = F.array(*[F.lit(order.index(c)) for c in range(model.k)])
+    return (lloyd.label(prepared, {"_fitted": model})
             .withColumn("cluster", F.get(number, F.col("_fitted")))
             .select("station_id", "state_name", "city_name", "n_hours", "cluster", *columns)
             .orderBy(F.asc("cluster"), F.desc(columns[0]), F.asc("station_id")))

@@ -84,6 +84,25 @@ def city_ranking(readings: DataFrame, spec: MetricSpec, min_stations: int = 3,
     return ranked.orderBy(F.desc(spec.primary.average), "city_name").limit(top)
 
 
+def place_levels(readings: DataFrame, spec: MetricSpec) -> DataFrame:
+    """Cities, states and the whole network from one pass over the readings.
+
+    Readings become one partial row per station and place; the three levels are grouping sets
+    over those.  ``level`` tells them apart, so a place without a name is no total.
+    """
+    p = spec.primary
+    stations = (readings.groupBy("state_name", "city_name", "station_id")
+                .agg(F.count("*").alias("readings"), *_partials(spec),
+                     F.min(when_metric(p.name)).alias("lo"), F.max(when_metric(p.name)).alias("hi")))
+    sets = [["state_name", "city_name"], ["state_name"], []]
+    level = F.when(F.grouping_id() == 0, "city").when(F.grouping_id() == 1, "state").otherwise("network")
+    return (stations.groupingSets(sets, "state_name", "city_name")
+            .agg(level.alias("level"), F.count_distinct("city_name", "state_name").alias("cities"),
+                 F.count_distinct("station_id").alias("stations"), F.sum("readings").alias("readings"),
+                 *[_merged_mean(m.short).alias(m.average) for m in spec],
+                 F.min("lo").alias(f"{p.short}_min"), F.max("hi").alias(f"{p.short}_max")))
+
+
 def floor_audit(readings: DataFrame, spec: MetricSpec, min_stations: int = 3) -> DataFrame:
     """How many cities the station floor keeps and excludes."""
     enough = F.col("stations") >= min_stations

@@ -69,10 +69,10 @@ def _(t):
     prepared = _prepared(t)
     model = cluster.fit(prepared, 3)
     return cluster.cluster_profile(cluster.assign(prepared, model, PLANTED), PLANTED).withColumn(
-        "inertia", F.lit(round(float(model.summary.trainingCost), 4)))
+        "inertia", F.lit(round(float(model.cost), 4)))
 
 
-@query("m4_k_table", f"""{_PLANTED_SQL}
+@query("m4_planted_k", f"""{_PLANTED_SQL}
 SELECT CAST(3 AS INTEGER) AS k, round(inertia, 2) AS inertia,
   (SELECT round(avg(coalesce((outside - inside) / greatest(inside, outside), 0)), 4) FROM scores) AS silhouette,
   'euclidean' AS measure, true AS more_clusters_cost_less FROM inertia""")
@@ -84,7 +84,24 @@ def _(t):
     return table.where("k = 3").withColumn("more_clusters_cost_less", falls)
 
 
-@query("m5_choice_of_k", "SELECT CAST(3 AS INTEGER) AS chosen_k, CAST(3 AS INTEGER) AS elbow_k FROM lattrs LIMIT 1")
+def _natural(t):
+    """Stations as they are: one cloud, or however many groups their means form."""
+    return cluster.prepare(t.bulk_features, PLANTED)
+
+
+# The whole scan has no SQL form: tests compare it with Lloyd's steps from the same starts.
+@query("m4_k_table")
+def _(t):
+    return cluster.scan_k(_natural(t))[0]
+
+
+@query("m5_natural_choice")
+def _(t):
+    return cluster.choose_k(cut_lineage(cluster.scan_k(_natural(t))[0]))
+
+
+@query("m5_choice_of_k", f"""{_PLANTED_SQL}
+SELECT CAST(count(*) AS INTEGER) AS chosen_k, CAST(count(*) AS INTEGER) AS elbow_k FROM profile""")
 def _(t):
     return cluster.choose_k(cluster.scan_k(_prepared(t))[0])
 

@@ -59,9 +59,11 @@ def _located_events(spark: SparkSession, folder: str) -> DataFrame:
             .join(places(spark, folder), F.col("c_nationkey") == F.col("n_nationkey")))
 
 
-def event_readings(spark: SparkSession, folder: str) -> DataFrame:
+def event_readings(spark: SparkSession, folder: str, carry: tuple[str, ...] = ()) -> DataFrame:
+    """``carry`` names columns of the events that are kept beside the readings."""
     key = F.col("event_id")
     return _located_events(spark, folder).select(
+        *carry,
         F.col("user_id").alias("station_id"),
         F.col("c_name").alias("station_name"),
         "state_name", "city_name",

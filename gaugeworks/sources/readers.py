@@ -32,6 +32,23 @@ def read_tree(spark: SparkSession, root: str, months: str | None = None,
     return df.select(*columns) if columns else df
 
 
+def read_tree_when(spark: SparkSession, root: str, calendar: DataFrame,
+                   keys: tuple[str, ...] = ("year", "month"), columns: list[str] | None = None) -> DataFrame:
+    """The part of a tree whose partitions a relation names, for choices that are data themselves.
+
+    ``calendar`` has one row per partition to read (repeated ones count once).  The join is on
+    partition columns, so its keys prune directories while the query runs: only files of named
+    partitions are opened.
+    """
+    tree = spark.read.parquet(root)
+    if columns:
+        tree = tree.select(*dict.fromkeys([*columns, *keys]))
+    wanted = calendar.select(*[F.col(k).alias(f"_{k}") for k in keys]).distinct()
+    on = [F.col(k) == F.col(f"_{k}") for k in keys]
+    found = tree.join(wanted, on).drop(*[f"_{k}" for k in keys])
+    return found.select(*columns) if columns else found
+
+
 def read_csv_parts(spark: SparkSession, path: str,
                    schema: T.StructType = CSV_SCHEMA) -> DataFrame:
     """Delimited parts that each carry a header, with quoted fields honoured."""

@@ -27,8 +27,12 @@ def test_entry_has_rows(spark):
     assert entry.entry(spark).count() > 0
 
 
+# K-means on unplanted stations: compared with brute force in test_cluster.
+WITHOUT_SQL = {"m4_k_table", "m5_natural_choice"}
+
+
 def test_every_query_has_sql():
-    assert set(READINGS) <= set(ORACLES) <= set(QUERIES)
+    assert set(READINGS) - WITHOUT_SQL <= set(ORACLES) <= set(QUERIES)
     assert len(READINGS) > 130
 
 

@@ -5,7 +5,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from gaugeworks.operators import checks, cluster
+from gaugeworks.operators import checks, cluster, lloyd
+from gaugeworks.plans.catalog import QUERIES
+from gaugeworks.plans.tables import LINES, Tables
+from tests.conftest import SF_DIR
 
 COLUMNS = ["a_avg", "b_avg", "c_avg"]
 
@@ -67,8 +70,8 @@ def test_two_planted_groups_are_found(spark, blobs):
 
 def test_squared_measure_is_named_and_close_to_one(spark, blobs):
     prepared = cluster.prepare(blobs, COLUMNS)
-    labelled = cluster.fit(prepared, 2, restarts=1).setPredictionCol("k2").transform(prepared)
-    row = cluster.silhouette(labelled, {"k2": 2}, measure="squaredEuclidean").first()
+    labelled = lloyd.label(prepared, {"k2": cluster.fit(prepared, 2, restarts=1)})
+    row = cluster.silhouette(labelled, {"k2": 2}, "x", measure="squaredEuclidean").first()
     assert row.silhouette > 0.95
 
 
@@ -78,7 +81,7 @@ def test_inertia_is_on_population_scores(spark, blobs):
     model = cluster.fit(cluster.prepare(blobs, COLUMNS), 2, restarts=2)
     half = [z[:20], z[20:]]
     expected = sum(((h - h.mean(0)) ** 2).sum() for h in half)
-    assert model.summary.trainingCost == pytest.approx(expected, rel=1e-9)
+    assert model.cost == pytest.approx(expected, rel=1e-9)
 
 
 def test_constant_feature_scales_to_zero(spark, blobs):
@@ -103,3 +106,68 @@ def test_published_k_table_gives_the_published_choice(spark):
     assert tuple(cluster.choose_k(table, forced=6).first()) == (6, 3)
     tied = spark.createDataFrame([(2, 9.0, .5), (3, 8.0, .5)], "k int, inertia double, silhouette double")
     assert cluster.choose_k(tied).first()["chosen_k"] == 2
+
+
+def plain_lloyd(x, centres, most=300):
+    """One model at a time, all stations against all centres."""
+    for _ in range(most):
+        near = ((x[:, None] - centres[None]) ** 2).sum(2).argmin(1)
+        moved = np.array([x[near == c].mean(0) if (near == c).any() else centres[c] for c in range(len(centres))])
+        if np.abs(moved - centres).max() <= lloyd.SETTLED:
+            break
+        centres = moved
+    return centres, ((x[:, None] - centres[None]) ** 2).sum(2).min(1).sum()
+
+
+def test_all_models_at_once_equal_plain_lloyd_from_the_same_starts(spark):
+    rng = np.random.default_rng(11)
+    points = rng.normal(size=(150, 3)).round(3)
+    rows = [(f"s{i}", "S", "C", 900, *map(float, p)) for i, p in enumerate(points)]
+    features = spark.createDataFrame(rows, "station_id string, state_name string, city_name string, n_hours int, "
+                                     + ", ".join(f"{c} double" for c in COLUMNS)).repartition(5)
+    prepared = cluster.prepare(features, COLUMNS)
+    fitted = lloyd.fit_all(prepared, range(2, 6), 3, seed=42)
+    x = lloyd.sample_of(prepared, 150)
+    assert len(fitted) == 12 and x.shape == (150, 3)
+    for (k, restart), model in fitted.items():
+        centres, cost = plain_lloyd(x, lloyd.starts(x, k, np.random.default_rng([42, k, restart])))
+        assert np.abs(model.points - centres).max() < 1e-8 and model.cost == pytest.approx(cost, rel=1e-9)
+    best = lloyd.best_of(fitted)
+    assert all(best[k].cost == pytest.approx(min(m.cost for (j, _), m in fitted.items() if j == k)) for k in best)
+    named = lloyd.label(prepared, {"a": best[2], "b": best[5]}).collect()
+    for r in named:
+        apart = {c: ((np.array(r["x"]) - best[k].points) ** 2).sum(1) for c, k in (("a", 2), ("b", 5))}
+        assert all(r[c] == d.argmin() for c, d in apart.items())
+
+
+def test_one_pass_serves_all_models(spark, blobs):
+    prepared = cluster.prepare(blobs, COLUMNS)
+    x = lloyd.sample_of(prepared, 40)
+    models = [lloyd.starts(x, k, np.random.default_rng(k)) for k in (2, 3, 9)]
+    for centres, (moved, cost) in zip(models, lloyd.step(lloyd._points(prepared), models)):
+        near = ((x[:, None] - centres[None]) ** 2).sum(2)
+        assert cost == pytest.approx(near.min(1).sum())
+        for c in range(len(centres)):
+            own = x[near.argmin(1) == c]
+            assert np.allclose(moved[c], own.mean(0) if len(own) else centres[c])
+    # More centres than distinct points, and points that are all alike.
+    alike = blobs.withColumns({c: F.lit(1.0) for c in COLUMNS})
+    assert cluster.fit(cluster.prepare(alike, COLUMNS), 4, restarts=2).cost == 0
+
+
+def test_k_table_of_natural_stations_is_whole(spark):
+    folder = SF_DIR.replace("0.001", "0.01")  # a hundred stations
+    table = {r["k"]: r for r in QUERIES["m4_k_table"](spark, folder).collect()}
+    assert sorted(table) == list(range(2, 11)) and {r["measure"] for r in table.values()} == {"euclidean"}
+    prepared = cluster.prepare(Tables(spark, folder).bulk_features, LINES.averages)
+    models = cluster.fit_each(prepared, range(2, 11))
+    labels = lloyd.label(prepared, {f"k{k}": m for k, m in models.items()}).collect()
+    x = np.array([r["x"] for r in labels])
+    for k, row in table.items():
+        own = np.array([r[f"k{k}"] for r in labels])
+        assert row["inertia"] == pytest.approx(sum(((x[own == c] - x[own == c].mean(0)) ** 2).sum() for c in set(own)), abs=0.01)
+        assert row["silhouette"] == pytest.approx(brute_silhouette(x, own), abs=1e-4)
+    best = max(table, key=lambda k: (table[k]["silhouette"], -k))
+    drops = {k: abs(table[k]["inertia"] - table[k - 1]["inertia"]) / table[k]["inertia"] for k in range(3, 11)}
+    choice = QUERIES["m5_natural_choice"](spark, folder).first()
+    assert choice["chosen_k"] == best and choice["elbow_k"] == max(drops, key=lambda k: (drops[k], -k))
