@@ -2,6 +2,9 @@
 from __future__ import annotations
 
 import math
+import subprocess
+import sys
+from pathlib import Path
 
 import pytest
 
@@ -43,3 +46,11 @@ def test_query_equals_sql(spark, duck, name):
     columns = [d[0] for d in cursor.description]
     assert sorted(df.columns) == sorted(columns)
     assert _canonical(df.columns, df.collect()) == _canonical(columns, cursor.fetchall())
+
+
+@pytest.mark.parametrize("lacking", ["corpus_pipeline", "regex", "gaugeworks.llm"])
+def test_readings_stay_registered_whatever_the_text_part_lacks(lacking):
+    code = f"import sys, warnings; warnings.simplefilter('ignore'); sys.modules['{lacking}'] = None\n" \
+           "import __spark_entry__ as e; from gaugeworks.plans.catalog import QUERIES\n" \
+           "assert e.queries() == QUERIES and len(QUERIES) > 150"
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=Path(entry.__file__).parent)
