@@ -9,7 +9,9 @@ base spans are observed.  Loopy belief propagation runs over all documents of a
 equal tokens are joined one occurrence to the next, and each to the first observed one, so
 edges grow with tokens, not pairs, and evidence reaches every repeat.  Messages are passed until
 none changes; only tokens that got new ones send again.
-A label other than "none" is used from :data:`CERTAIN` on.
+A label other than "none" is used from :data:`CERTAIN` on, and only on a token that skip edges
+lead back to one that a pattern found, or that follows such a token in the chain: shape alone
+adds nothing.  Ends of added spans are trimmed to characters an entity of the kind can have.
 
 Weights are fitted by pseudo-likelihood to the base labels of a bounded sample of documents
 (:data:`SAMPLE` rows, chosen by hash of the key; of their tokens, equal ones merged, at most
@@ -17,8 +19,9 @@ Weights are fitted by pseudo-likelihood to the base labels of a bounded sample o
 one with a label is not counted as "none" there, but left out: it is what the field is for.
 
 Null texts are empty and have no spans; null keys are kept; repeated rows get the same spans;
-an empty table gives an empty result and an empty sample a field that adds nothing.  Tokens of
-more than :data:`LONGEST` characters are seen by the patterns, but not by the field.
+an empty table gives an empty result and an empty sample a field that adds nothing.  Texts and
+tokens of any length are read whole; columns besides key and text are left out by
+:func:`detect` and kept as they are by :func:`redact`, whatever their names.
 """
 from __future__ import annotations
 
@@ -41,16 +44,15 @@ NONE = len(KINDS)
 LABELS = NONE + 1
 SAMPLE = 4000
 TRAINING_ROWS = 100_000
-CERTAIN = 0.95
-LONGEST = 64
+CERTAIN = 0.8
 # Messages that change by less are not sent on.  Without loops they settle undamped; where they
 # have not by UNDAMPED rounds, steps are halved, and from DAMPED rounds on they shrink.
 SETTLED = 1e-4
 UNDAMPED, DAMPED = 100, 1000
 # Without evidence against it, both ends of a skip edge tend to one label.
-AGREEMENT = 2.0
+AGREEMENT = 8.0
 BUCKETS = 512
-SLOTS = 8
+SLOTS = 9
 
 Span = tuple[int, int, int]
 
@@ -73,6 +75,11 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def _is_byte(digits: str) -> bool:
+    """Whether digits without leading zeros, of any number, are at most 255."""
+    return len(digits) < 3 or len(digits) == 3 and digits <= "255"
+
+
 def _emails(text: str) -> Iterator[tuple[int, int]]:
     """Found from each ``@``, so that a long run of letters is looked at once."""
     done = 0
@@ -93,7 +100,7 @@ def base_spans(text: str) -> list[Span]:
     spans = [(0, a, b) for a, b in _emails(text)]
     if "." in text:
         spans += [(1, *m.span()) for m in _IP.finditer(text)
-                  if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split("."))]
+                  if all(_is_byte(p.lstrip("0")) for p in m[0].split("."))]
     for kind, pattern in ((2, _CARD), (3, _PHONE)):
         for m in pattern.finditer(text):
             if m.end() - m.start() < 8:
@@ -121,16 +128,11 @@ def _tokens(text: str) -> Iterator[tuple[int, int, str]]:
     for seed in _SEED.finditer(text):
         if seed.start() < done:
             continue
-        low = max(done, seed.start() - LONGEST)
         start = seed.start()
-        while start > low and not text[start - 1].isspace():
+        while start > done and not text[start - 1].isspace():
             start -= 1
-        found = _SPACE.search(text, seed.end(), seed.end() + LONGEST)
-        end = found.start() if found else min(len(text), seed.end() + LONGEST)
-        done = end
-        whole = (start == 0 or text[start - 1].isspace()) and (end == len(text) or text[end].isspace())
-        if not whole or end - start > LONGEST:
-            continue
+        found = _SPACE.search(text, seed.end())
+        done = end = found.start() if found else len(text)
         word = text[max(0, start - 24):start].split()
         yield start, end, word[-1].strip(_EDGE).lower() if word else ""
 
@@ -158,7 +160,8 @@ def add_document(nodes: Nodes, text: str, spans: list[Span]) -> None:
         digits = _NOT_DIGIT.sub("", token)
         named = [f"digits:{min(len(digits), 20)}", f"shape:{_shape(token)}", f"before:{before}",
                  f"at:{token.count('@')}", f"dots:{min(token.count('.'), 4)}", f"lead:{token[0] in '+('}",
-                 f"mixed:{token.isdigit()}", f"size:{len(token) // 4}"]
+                 f"mixed:{token.isdigit()}", f"size:{len(token) // 4}",
+                 f"checks:{16 <= len(digits) <= 19 and luhn(digits)}"]
         here = len(nodes.spans)
         nodes.spans.append((begin, stop))
         nodes.features.append([crc32(n.encode()) % BUCKETS for n in named])
@@ -230,6 +233,39 @@ def marginals(model: Model, nodes: Nodes) -> np.ndarray:
     return total / total.sum(axis=1, keepdims=True)
 
 
+def supported(label: np.ndarray, sure: np.ndarray, nodes: Nodes) -> np.ndarray:
+    """Sure tokens that repeat an entity a pattern found, and their chain neighbours of one label."""
+    observed = np.array(nodes.observed, np.int64)
+    kind = np.where(observed >= 0, observed, label)
+    joined: dict[int, list[int]] = {}
+    for chain, edges in ((False, nodes.skip), (True, nodes.chain)):
+        for a, b in edges:
+            # A pattern's own span is whole, so its neighbours in the text gain nothing from it.
+            if kind[a] == kind[b] and not (chain and (observed[a] >= 0 or observed[b] >= 0)):
+                joined.setdefault(a, []).append(b)
+                joined.setdefault(b, []).append(a)
+    reached = np.zeros(len(kind), bool)
+    waiting = [i for i in joined if observed[i] >= 0]
+    while waiting:
+        for j in joined[waiting.pop()]:
+            if sure[j] and not reached[j]:
+                reached[j] = True
+                waiting.append(j)
+    return reached
+
+
+def _trimmed(text: str, kind: int, start: int, end: int) -> tuple[int, int]:
+    """Ends moved inwards to characters an entity of the kind can begin and end with."""
+    def fits(c: str, extra: str) -> bool:
+        return c.isascii() and (c.isdigit() or kind == 0 and c.isalpha() or c in extra)
+
+    while start < end and not fits(text[start], "._%+-" if kind == 0 else "+" if kind == 3 else ""):
+        start += 1
+    while start < end and not fits(text[end - 1], "-" if kind == 0 else ""):
+        end -= 1
+    return start, end
+
+
 def find_spans(texts: list[str], model: Model) -> list[tuple[list[Span], list[Span]]]:
     """Base spans and added spans of each text."""
     nodes, bases, ends = Nodes(), [], []
@@ -242,9 +278,10 @@ def find_spans(texts: list[str], model: Model) -> list[tuple[list[Span], list[Sp
     chance = marginals(model, nodes)
     label = chance.argmax(axis=1)
     sure = (chance.max(axis=1) >= CERTAIN) & (label != NONE) & (np.array(nodes.observed) < 0)
+    sure = supported(label, sure, nodes)
     joined = set(nodes.chain)
     out, start = [], 0
-    for base, end in zip(bases, ends):
+    for text, base, end in zip(texts, bases, ends):
         added: list[Span] = []
         for i in np.nonzero(sure[start:end])[0] + start:
             kind, (a, b) = int(label[i]), nodes.spans[i]
@@ -252,7 +289,8 @@ def find_spans(texts: list[str], model: Model) -> list[tuple[list[Span], list[Sp
                 added[-1] = (kind, added[-1][1], b)
             else:
                 added.append((kind, a, b))
-        out.append((base, added))
+        trimmed = [(kind, *_trimmed(text, kind, a, b)) for kind, a, b in added]
+        out.append((base, [span for span in trimmed if span[1] < span[2]]))
         start = end
     return out
 

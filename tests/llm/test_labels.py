@@ -94,6 +94,76 @@ def test_repeated_tokens_get_one_label(spark):
     assert not any(set(range(a, b)) & set(range(c, d)) for _, a, b in base for _, c, d in added)
 
 
+def planted(rng, n):
+    """Texts with what repeats a pattern's find (wanted spans) and what only looks alike."""
+    digits = lambda k: "".join(rng.choice("123456789") for _ in range(k))
+
+    def card():
+        body = digits(15)
+        return next(body + c for c in "0123456789" if pii.luhn(body + c))
+
+    for i in range(n):
+        phone, good, bad = digits(9), card(), digits(16)
+        while pii.luhn(bad):
+            bad = digits(16)
+        parts = ["words of no interest", f"call +49{phone} now"]
+        wanted = []
+        if i % 2:
+            parts += [f"later call 0{phone}", "again"]
+            wanted.append(f"0{phone}")
+        if i % 3 == 0:
+            split = "\n".join(good[j:j + 4] for j in range(0, 16, 4))
+            parts += ["card " + " ".join(good[j:j + 4] for j in range(0, 16, 4)), f"once more {split} end"]
+            wanted.append(split)
+        order = digits(10)
+        parts += [f"order {order} sent", f"order {order} paid", f"number {bad}", f"serial {digits(9)} of {digits(5)}"]
+        text, spans = "", set()
+        for part in parts:
+            text += part + ". "
+        for w in wanted:
+            at = text.rindex(w)
+            spans.add((at, at + len(w)))
+        yield text, spans
+
+
+def test_added_spans_have_measured_precision_and_recall(spark):
+    rows = list(planted(random.Random(12), 1200))
+    model = pii.train(spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)], "doc_id long, text string"))
+    right = added = wanted = 0
+    for (text, spans), (base, more) in zip(rows, pii.find_spans([t for t, _ in rows], model)):
+        covered = {c for _, a, b in more for c in range(a, b)}
+        taken = {c for _, a, b in base for c in range(a, b)}
+        wanted += len(spans)
+        right += sum(covered | taken >= set(range(a, b)) for a, b in spans)
+        inside = {c for a, b in spans for c in range(a, b)}
+        added += len(more)
+        assert all(set(range(a, b)) <= inside | taken for _, a, b in more), text
+    print("added", added, "recall", right / wanted)
+    assert right / wanted >= 0.9
+
+
+def test_shape_alone_adds_nothing(spark):
+    text = "card 4871316720949013 and card 1234567812345678 and $$$4871316720949013$$$"
+    model = pii.train(spark.createDataFrame([(0, text)] * 50, "doc_id long, text string"))
+    base, added = pii.find_spans([text], model)[0]
+    assert "1234567812345678" not in [text[a:b] for _, a, b in base + added]
+    assert all("$" not in text[a:b] for _, a, b in added)
+
+
+def test_long_digit_runs_and_long_tokens():
+    long = "0" * 5000
+    for text, want in ((f"{long}.1.2.3", 1), (f"1.2.3.{long}7", 1), (f"1.{long}256.2.3", 0), (f"1.2.3.{'9' * 5000}", 0)):
+        assert [k for k, _, _ in pii.base_spans(text)].count(1) == want
+    assert [pii._is_byte(str(n)) for n in (0, 9, 99, 100, 255, 256, 999, 1000)] == [True] * 5 + [False] * 3
+    model = pii.Model.empty()
+    model.skip[0, 0] = 8.0
+    name = "a" * 300 + "@example.org"
+    base, added = pii.find_spans([f"{name} or ({name.upper()}.) end"], model)[0]
+    assert len(base) == 2 and added == []
+    for text in (("1" * 1_000_000), ("x1" * 500_000), "9\t" * 200_000):
+        pii.find_spans([text], model)
+
+
 def test_skip_edges_carry_a_label_to_a_distant_token():
     text = "call +49512345678 now " + "word " * 50 + "or 0512345678 again"
     model = pii.Model.empty()
