@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gaugeworks.llm.common import hash_sample, slices, staged, text_or_empty, typed
+from gaugeworks.llm.common import slices, staged, text_or_empty, typed
 from gaugeworks.llm.components import components
 
 BITS = 64
@@ -139,9 +139,9 @@ def near_duplicates(docs: DataFrame, width: int = 3, radius: int = 2, key: str =
 # Near duplicates at a similarity of five-word shingles, exactly.  Two sets of a similarity s
 # share at least s of the larger one, so in any common order of all shingles each has one of
 # the shared ones among its first (1 - s) of its size, and one more: only these are indexed.
-# The order puts shingles that many texts have last.  It is taken from a sample and decides
-# about the work, never about the pairs.
-ORDER_SAMPLE, ORDER_SEEN, ORDER_MOST = 8000, 3, 1 << 17
+# The order puts shingles that many texts have last.  It comes from counts over all texts and
+# decides about the work, never about the pairs.
+ORDER_CELLS, ORDER_BLOCKS = 1 << 22, 256
 SLACK = 1e-9
 
 
@@ -170,42 +170,70 @@ def shingle_sets(docs: DataFrame, width: int, key: str, text: str) -> DataFrame:
         [typed(docs, key, "node"), T.StructField("shingles", T.ArrayType(T.LongType()))]))
 
 
-def frequent(docs: DataFrame, width: int, key: str, text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles that several texts of a bounded sample have, rising, and their numbers of texts."""
-    seen = (shingle_sets(hash_sample(docs, key, ORDER_SAMPLE, "similar"), width, key, text)
-            .select(F.explode("shingles").alias("s")).groupBy("s").count().where(F.col("count") >= ORDER_SEEN)
-            .orderBy(F.desc("count"), "s").limit(ORDER_MOST).toPandas().sort_values("s"))
-    return seen["s"].to_numpy(np.int64), seen["count"].to_numpy(np.int64)
+def frequencies(docs: DataFrame, width: int, key: str, text: str) -> np.ndarray:
+    """How many texts hold a shingle of each of :data:`ORDER_CELLS` hash cells, over all texts.
 
-
-def prefixes(docs: DataFrame, width: int, similarity: float, order: tuple[np.ndarray, np.ndarray],
-             key: str, text: str) -> DataFrame:
-    """``node``, ``n`` shingles, ``digest`` of the set, and ``prefix``, its first shingles by the order."""
-    known, times = order
-
-    def first(found: np.ndarray) -> np.ndarray:
-        take = len(found) - math.ceil(similarity * len(found) - SLACK) + 1 if len(found) else 0
-        rank = np.zeros(len(found), np.int64)
-        if len(known):
-            at = np.minimum(np.searchsorted(known, found), len(known) - 1)
-            rank = np.where(known[at] == found, times[at], 0)
-        return found[np.lexsort((found, rank))[:take]]
+    A table of fixed size: every task adds up its own in blocks of cells, blocks are added across
+    tasks, and the whole, 16 MB whatever the input, goes to the driver and to every worker.
+    """
+    size = ORDER_CELLS // ORDER_BLOCKS
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells = np.zeros(ORDER_CELLS, np.uint32)
+        for batch in slices(batches, 0):
+            for value in batch.column(0):
+                cells[np.unique(_cell(shingles(value.as_py(), width)))] += 1
+        blocks = cells.reshape(ORDER_BLOCKS, size)
+        some = np.flatnonzero(blocks.any(axis=1))
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()),
+                                          pa.array([blocks[i].tobytes() for i in some], pa.binary())], ["block", "cells"])
+
+    def add(key: tuple, parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size, np.uint32)
+        for part in parts:
+            for cells in part.column(1):
+                total += np.frombuffer(cells.as_py(), np.uint32)
+        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([total.tobytes()], pa.binary())],
+                                         ["block", "cells"])
+
+    schema = "block int, cells binary"
+    out = np.zeros((ORDER_BLOCKS, size), np.uint32)
+    for r in docs.select(text_or_empty(text).alias("text")).mapInArrow(count, schema).groupBy("block").applyInArrow(
+            add, schema).collect():
+        out[r["block"]] = np.frombuffer(r["cells"], np.uint32)
+    return out.ravel()
+
+
+def _cell(found: np.ndarray) -> np.ndarray:
+    return found & (ORDER_CELLS - 1)
+
+
+def prefixes(docs: DataFrame, width: int, similarity: float, order: np.ndarray, key: str, text: str) -> DataFrame:
+    """``node``, ``n`` shingles, ``digest`` of the set, ``own`` and ``prefix``, its first shingles by the order.
+
+    ``own`` is small where a text's shingles occur in many texts: of a group of near copies, the
+    one the others were made from has the smallest.
+    """
+    table = docs.sparkSession.sparkContext.broadcast(order)          # of fixed size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 1):
-            size, digest, prefix = [], [], []
+            size, digest, own, prefix = [], [], [], []
             for value in batch.column(1):
                 found = shingles(value.as_py(), width)
+                times = table.value[_cell(found)]
+                take = len(found) - math.ceil(similarity * len(found) - SLACK) + 1 if len(found) else 0
                 size.append(len(found))
                 digest.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest())
-                prefix.append(first(found))
+                own.append(float((1 / np.maximum(times, 1)).mean()) if len(found) else 0.0)
+                prefix.append(found[np.lexsort((found, times))[:take]])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(size, pa.int32()), pa.array(digest, pa.binary()),
-                 pa.array(prefix, pa.list_(pa.int64()))], ["node", "n", "digest", "prefix"])
+                [batch.column(0), pa.array(size, pa.int32()), pa.array(digest, pa.binary()), pa.array(own, pa.float32()),
+                 pa.array(prefix, pa.list_(pa.int64()))], ["node", "n", "digest", "own", "prefix"])
 
     return docs.select(F.col(key), text_or_empty(text).alias("text")).mapInArrow(run, T.StructType(
         [typed(docs, key, "node"), T.StructField("n", T.IntegerType()), T.StructField("digest", T.BinaryType()),
-         T.StructField("prefix", T.ArrayType(T.LongType()))]))
+         T.StructField("own", T.FloatType()), T.StructField("prefix", T.ArrayType(T.LongType()))]))
 
 
 def _judged(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -217,20 +245,21 @@ def _judged(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
             .where(shared / (F.size("left") + F.size("right") - shared) >= similarity).select("node", "other"))
 
 
-def _across(shared: DataFrame, roots: DataFrame, alike: Callable[..., Column]) -> DataFrame:
-    """Pairs under one key whose components differ, once each, the larger node first."""
+def _across(shared: DataFrame, roots: DataFrame) -> DataFrame:
+    """Pairs under one key whose components differ, once each, the larger node first.
+
+    ``most`` is the largest size of a partner that a text can be similar to if this key is the
+    first they share: what it has after the key bounds what they can have in common.  Every
+    pair comes under its first shared key, so both bounds are conditions of the join.
+    """
     rooted = shared.join(roots, "node", "left").select(
-        "found", F.coalesce("root", "node").alias("root"), F.struct("node", "n").alias("one"))
-    groups = rooted.groupBy("found", "root").agg(F.collect_list("one").alias("ones"))
-    several = F.count("*").over(Window.partitionBy("found"))
-    groups = staged(groups.withColumn("roots", several).where("roots > 1").drop("roots"), "similar-groups")
-    other = groups.select("found", F.col("root").alias("root2"), F.col("ones").alias("twos"))
-    pairs = (groups.join(other, "found").where("root < root2").select(F.explode("ones").alias("one"), "twos")
-             .select("one", F.explode("twos").alias("two")).where(alike("one.n", "two.n"))
-             .select(F.greatest("one", "two").alias("one"), F.least("one", "two").alias("two")))
-    return (pairs.groupBy("one", "two").agg(F.count("*").alias("times"))
-            .where(alike("one.n", "two.n", "times")).where("one.node <> two.node")
-            .select(F.col("one.node").alias("node"), F.col("two.node").alias("other")).distinct())
+        "found", "node", "n", "most", F.coalesce("root", "node").alias("root"))
+    group = Window.partitionBy("found")
+    mixed = staged(rooted.withColumns({"_low": F.min("root").over(group), "_high": F.max("root").over(group)})
+                   .where("_low <> _high").select("found", "node", "n", "most", "root"), "similar-mixed")
+    other = mixed.select("found", *[F.col(c).alias(f"{c}2") for c in ("node", "n", "most", "root")])
+    return (mixed.join(other, "found").where("root < root2 AND n <= most2 AND n2 <= most")
+            .select(F.greatest("node", "node2").alias("node"), F.least("node", "node2").alias("other")).distinct())
 
 
 def drop_similar(docs: DataFrame, width: int = 5, similarity: float = 0.8, key: str = "doc_id",
@@ -239,19 +268,26 @@ def drop_similar(docs: DataFrame, width: int = 5, similarity: float = 0.8, key:
 
     Similar are texts whose sets of shingles have a Jaccard index of at least ``similarity``;
     all such pairs count and no others.  Texts with equal sets are one entry.  Entries that
-    share an indexed shingle are compared with the smallest of them first; then every pair
-    that these links have not yet brought into one component is compared, too.  Rows that
-    repeat a key stay or go together; rows without a key stay.
+    share an indexed shingle are compared with the smallest of them, and with the one whose
+    shingles are the most common, first; then every pair that these links have not yet brought
+    into one component is compared, too.  Rows that repeat a key stay or go together; rows
+    without a key stay.
     """
     keyed = docs.where(F.col(key).isNotNull())
-    marked = staged(prefixes(keyed, width, similarity, frequent(keyed, width, key, text), key, text),
+    marked = staged(prefixes(keyed, width, similarity, frequencies(keyed, width, key, text), key, text),
                     "similar-prefixes")
     nodes = staged(marked.groupBy("digest").agg(F.min("node").alias("node")), "similar-nodes")
-    index = marked.join(nodes, ["digest", "node"]).select("node", "n", F.explode("prefix").alias("found"))
+    # One row per entry, even where a key is repeated with the same text.
+    entries = marked.join(nodes, ["digest", "node"]).dropDuplicates(["digest", "node"])
+    place = F.col("n") - F.col("i")
+    most = F.floor(place * ((1 + similarity) / similarity) + SLACK).cast("int") - F.col("n")
+    index = entries.select("node", "n", "own", F.posexplode("prefix").alias("i", "found")).select(
+        "found", "node", "n", "own", most.alias("most"))
     group = Window.partitionBy("found")
-    shared = staged(index.withColumns({"first": F.min(F.struct("node", "n")).over(group),
-                                       "many": F.count("*").over(group)}).where("many > 1").drop("many"),
-                    "similar-keys")
+    shared = staged(index.withColumns({
+        "first": F.min(F.struct("node", "n")).over(group), "typical": F.min(F.struct("own", "node", "n")).over(group),
+        "many": F.count("*").over(group), "low": F.min("n").over(group), "high": F.max("most").over(group)})
+        .where("many > 1 AND most >= low AND n <= high").drop("many", "low", "high", "own"), "similar-keys")
 
     def alike(a: str, b: str, times: str | None = None) -> Column:
         """Whether the sizes, and the number of indexed shingles two sets share, allow the similarity.
@@ -265,17 +301,26 @@ def drop_similar(docs: DataFrame, width: int = 5, similarity: float = 0.8, key:
 
     def linked(pairs: DataFrame, label: str) -> DataFrame:
         ids = staged(pairs.select(F.explode(F.array("node", "other")).alias(key)).distinct(), f"{label}-nodes")
-        sets = staged(shingle_sets(keyed.join(ids, key, "left_semi"), width, key, text), f"{label}-sets")
+        sets = staged(shingle_sets(keyed.join(ids, key, "left_semi").dropDuplicates([key, text]), width, key, text),
+                      f"{label}-sets")
         return staged(_judged(pairs, sets, similarity), f"{label}-linked")
 
-    # The smallest of a key is not counted under other keys here; what that leaves out comes below.
-    met = staged(shared.where(F.col("node") != F.col("first.node")).where(alike("n", "first.n"))
-                 .groupBy("node", "n", "first").agg(F.count("*").alias("times"))
-                 .where(alike("n", "first.n", "times"))
-                 .select("node", F.col("first.node").alias("other")).distinct(), "similar-met")
+    def compared_with(hub: str) -> DataFrame:
+        return shared.where((F.col("node") != F.col(f"{hub}.node")) & alike("n", f"{hub}.n")).select(
+            F.greatest("node", f"{hub}.node").alias("node"), F.least("node", f"{hub}.node").alias("other"))
+
+    def promising(pairs: DataFrame) -> DataFrame:
+        """Pairs that share enough of their prefixes."""
+        known = entries.select("node", "n", "prefix")
+        other = known.select(*[F.col(c).alias(f"{c}2") for c in known.columns])
+        return (pairs.join(known, "node").join(other, F.col("other") == F.col("node2"))
+                .withColumn("times", F.size(F.array_intersect("prefix", "prefix2")))
+                .where(alike("n", "n2", "times")).select("node", "other"))
+
+    met = staged(promising(compared_with("first").unionByName(compared_with("typical")).distinct()), "similar-met")
     direct = linked(met, "similar-met")
-    more = _across(shared.select("found", "node", "n"), components(direct, "node", "other"), alike)
-    more = staged(more.join(met, ["node", "other"], "left_anti"), "similar-across")
+    more = _across(shared, components(direct, "node", "other")).join(met, ["node", "other"], "left_anti")
+    more = staged(promising(more), "similar-across")
     roots = components(direct.union(linked(more, "similar-across")), "node", "other")
     kept = nodes.select("node").join(roots.where("node <> root"), "node", "left_anti")
     gone = staged(marked.select(F.col("node").alias(key)).distinct()
