@@ -1,20 +1,24 @@
 """Shards from a hierarchical weighted hash tree: regions hold racks, racks hold shards.
 
-Every shard draws an exponential number for a row from hash(shard, row) and its
-weight; the draw of a rack or region is the smallest draw below it, which is again
-exponential with the summed weight.  A row descends to the region with the smallest
-draw, then to its best rack, then to its best shard.  Only the row's key and the
-shards' weights decide: a new or heavier shard takes rows only into itself, a
-lighter one only loses rows, and every level outside its path stays as it was.
-
-A null key is hashed like a value of its own; equal rows are separate rows; a null
-text has 0 bytes; an empty table gives an empty result.  Slots number the rows of a
-shard by key and text; equal rows share out their slots in any order.
+A row descends level by level.  At each level every child draws an exponential number from
+hash(level, child, key) with the sum of the weights below it as its rate, and the row goes to
+the child with the smallest draw; only children of the chosen node draw.  So a region gets
+rows in proportion to its weight, a rack its part of them, a shard its part of those.
+
+A changed weight changes the draws of the nodes above it and no others.  More weight below a
+node draws rows into its subtree, less sends some of its own rows out, to places that depend
+on their own draws; rows that stay outside the subtree before and after do not move.  A
+further shard (beyond ``settled``) stands in a region of its own, so it takes rows only into
+itself.
+
+A null key is hashed like a value of its own; equal rows are separate rows; a null text has
+0 bytes and a text of any length is one row; an empty table gives an empty result; other
+columns are left out.  Slots number the rows of a shard by key and text; equal rows share out
+their slots in any order.
 """
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -25,39 +29,55 @@ ROW_OVERHEAD = 16
 SLOT_BLOCKS = 64
 
 
-def _draw(key: Column, shard: int, weight: float) -> Column:
+Tree = dict[int, dict[int, dict[int, float]]]
+
+
+def tree(weights: Sequence[float], racks: int, regions: int, settled: int | None = None) -> Tree:
+    """Weights by region, rack and shard; shards without weight are left out.
+
+    Shard s stands in rack ``s // racks`` and that in region ``rack // regions``: ``racks`` is
+    the number of shards in a rack, ``regions`` the number of racks in a region.  Shards from
+    ``settled`` on have a rack and a region each.
+    """
+    settled = len(weights) if settled is None else settled
+    out: Tree = {}
+    last = -(-settled // racks)
+    for s, weight in enumerate(weights):
+        rack = s // racks if s < settled else last + s - settled
+        region = rack // regions if s < settled else -(-last // regions) + s - settled
+        if weight > 0:
+            out.setdefault(region, {}).setdefault(rack, {})[s] = float(weight)
+    if not out:
+        raise ValueError("at least one shard needs a positive weight")
+    return out
+
+
+def draw(key: Column, level: str, child: int, weight: float) -> Column:
     """Exponential with rate ``weight``: minus the logarithm of a uniform number, by hash."""
-    bits = F.shiftrightunsigned(F.xxhash64(F.lit(shard), key), 11)
-    return -F.log((bits.cast("double") + 0.5) / float(1 << 53)) / F.lit(float(weight))
+    bits = F.shiftrightunsigned(F.xxhash64(F.lit(level), F.lit(child), key), 11)
+    return -F.log((bits.cast("double") + 0.5) / float(1 << 53)) / F.lit(weight)
 
 
-def _best(options: Sequence[tuple[Column, Column]]) -> Column:
-    """Struct of the smallest draw and what it leads to."""
-    structs = [F.struct(draw.alias("draw"), to.alias("to")) for draw, to in options]
-    return reduce(F.least, structs) if len(structs) > 1 else structs[0]
+def _chosen(key: Column, level: str, children: dict[int, float]) -> Column:
+    """The child with the smallest draw."""
+    drawn = [F.struct(draw(key, level, c, w).alias("draw"), F.lit(c).alias("to")) for c, w in children.items()]
+    return (F.least(*drawn) if len(drawn) > 1 else drawn[0])["to"]
 
 
-def descend(key: Column, weights: Sequence[float], racks: int, regions: int) -> Column:
-    """Shard of a key.  Shard s stands in rack ``s // racks`` and that in region ``rack // regions``.
+def descend(df: DataFrame, key: str, nodes: Tree, name: str) -> DataFrame:
+    """Add column ``name``, the shard of each row: one draw per region, then per rack, then per shard."""
+    def below(at: str, level: str, children: dict[int, dict[int, float]]) -> Column:
+        choice = F.lit(None).cast("int")
+        for node, inside in children.items():
+            choice = F.when(F.col(at) == node, _chosen(F.col(key), level, inside)).otherwise(choice)
+        return choice
 
-    ``racks`` is the number of shards in a rack, ``regions`` the number of racks in a region;
-    new shards join the last rack or open a new one.  A weight of 0 takes no rows.
-    """
-    live = [(s, w) for s, w in enumerate(weights) if w > 0]
-    if not live:
-        raise ValueError("at least one shard needs a positive weight")
-    by_rack: dict[int, list[tuple[Column, Column]]] = {}
-    for s, w in live:
-        by_rack.setdefault(s // racks, []).append((_draw(key, s, w), F.lit(s)))
-    by_region: dict[int, list[tuple[Column, Column]]] = {}
-    for rack, shards in by_rack.items():
-        best = _best(shards)
-        by_region.setdefault(rack // regions, []).append((best["draw"], best["to"]))
-    tops = []
-    for inside in by_region.values():
-        best = _best(inside)
-        tops.append((best["draw"], best["to"]))
-    return _best(tops)["to"]
+    regions = {r: sum(sum(shards.values()) for shards in racks.values()) for r, racks in nodes.items()}
+    racks = {r: {k: sum(shards.values()) for k, shards in inside.items()} for r, inside in nodes.items()}
+    shards = {k: inside for r in nodes.values() for k, inside in r.items()}
+    return (df.withColumn("_region", _chosen(F.col(key), "region", regions))
+            .withColumn("_rack", below("_region", "rack", racks))
+            .withColumn(name, below("_rack", "shard", shards)).drop("_region", "_rack"))
 
 
 def assign(docs: DataFrame, weights: Sequence[float], grown: Sequence[float] | None = None,
@@ -75,10 +95,12 @@ def assign(docs: DataFrame, weights: Sequence[float], grown: Sequence[float] | N
         (F.octet_length(body).cast("long") + ROW_OVERHEAD).alias("size"),
         F.crc32(body.cast("binary")).alias("text_crc32"),
         F.xxhash64(body).alias("_text"),
-        F.lit("key").alias("law"),
-        descend(F.col(key), weights, racks, regions).cast("int").alias("shard"),
-        (descend(F.col(key), grown, racks, regions).cast("int") if grown
-         else F.lit(None).cast("int")).alias("grown_shard"))
+        F.lit("key").alias("law"))
+    place = descend(place, key, tree(weights, racks, regions), "shard")
+    if grown:
+        place = descend(place, key, tree(grown, racks, regions, len(weights)), "grown_shard")
+    else:
+        place = place.withColumn("grown_shard", F.lit(None).cast("int"))
     place = place.withColumn("_block", F.pmod(F.xxhash64(F.lit("block"), F.col(key), "_text"),
                                               F.lit(SLOT_BLOCKS)))
     place = staged(place, "shards")

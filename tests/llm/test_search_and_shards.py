@@ -44,21 +44,69 @@ def test_search_rows(spark):
     assert maxscore.top_k(empty, empty, 3).count() == 0
 
 
-def place(spark, weights, n=4000):
+def place(spark, weights, grown=None, n=4000, **shape):
     keys = spark.range(n).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"))
-    return {r.doc_id: r.shard for r in sharding.assign(keys, weights).collect()}
+    return {r.doc_id: (r.shard, r.grown_shard) for r in sharding.assign(keys, weights, grown, **shape).collect()}
+
+
+def plain_descent(spark, weights, racks, regions, n):
+    """The same walk in Python over draws taken one by one."""
+    nodes = sharding.tree(weights, racks, regions)
+    wanted = {}
+    for region, inside in nodes.items():
+        wanted["region", region] = sum(w for s in inside.values() for w in s.values())
+        for rack, shards in inside.items():
+            wanted["rack", rack] = sum(shards.values())
+            wanted |= {("shard", s): w for s, w in shards.items()}
+    columns = [sharding.draw(F.col("id"), level, child, w).alias(f"{level}{child}") for (level, child), w in wanted.items()]
+    out = {}
+    for row in spark.range(n).select("id", *columns).collect():
+        region = min(nodes, key=lambda r: row[f"region{r}"])
+        rack = min(nodes[region], key=lambda k: row[f"rack{k}"])
+        out[row["id"]] = min(nodes[region][rack], key=lambda s: row[f"shard{s}"])
+    return out
+
+
+@pytest.mark.parametrize("racks, regions", [(4, 5), (7, 2), (40, 1), (1, 1), (3, 4)])
+def test_descent_equals_plain_walk(spark, racks, regions):
+    weights = [1.0 + i % 3 for i in range(40)]
+    weights[7] = 0.0
+    got = place(spark, weights, n=1000, racks=racks, regions=regions)
+    assert {k: s for k, (s, _) in got.items()} == plain_descent(spark, weights, racks, regions, 1000)
+    assert 7 not in {s for s, _ in got.values()}
+
+
+def test_trees_differ(spark):
+    shapes = [place(spark, [1.0] * 40, n=1000, racks=r, regions=g) for r, g in ((4, 5), (7, 2), (40, 1))]
+    for i, a in enumerate(shapes):
+        for b in shapes[:i]:
+            assert sum(a[k] != b[k] for k in a) > 500
 
 
 def test_changes_stay_in_their_subtree(spark):
-    even = place(spark, [1.0] * 12)
+    shape = {"racks": 2, "regions": 3}         # racks of two shards, regions of three racks: two regions
+    even = {k: s for k, (s, _) in place(spark, [1.0] * 12, **shape).items()}
     assert max(Counter(even.values()).values()) < 1.35 * 4000 / 12
-    grown = place(spark, [1.0] * 13)
-    assert {grown[k] for k in even if grown[k] != even[k]} == {12}
-    heavy = place(spark, [1.0] * 5 + [3.0] + [1.0] * 6)
-    assert {heavy[k] for k in even if heavy[k] != even[k]} == {5}
-    assert 2.2 < Counter(heavy.values())[5] / Counter(even.values())[5] < 3.4
-    light = place(spark, [1.0] * 5 + [0.0] + [1.0] * 6)
-    assert {even[k] for k in even if light[k] != even[k]} == {5}
+    for weight in (3.0, 0.0):
+        changed = {k: s for k, (s, _) in place(spark, [1.0] * 3 + [weight] + [1.0] * 8, **shape).items()}
+        moved = {k for k in even if changed[k] != even[k]}
+        rack, region = {2, 3}, set(range(6))   # the changed shard's rack and region
+        for k in moved:
+            was, now = even[k], changed[k]
+            # In or out of the region; within it in or out of the rack; within that in or out of the shard.
+            gains, loses = (now, was) if weight > 1 else (was, now)
+            assert (gains in region) and (loses not in region or gains in rack and (loses not in rack or gains == 3))
+        ratio = Counter(changed.values())[3] / Counter(even.values())[3]
+        assert 2.2 < ratio < 3.4 if weight else ratio == 0
+        inside = sum(s in region for s in changed.values()) / 4000
+        assert abs(inside - (5 + weight) / (11 + weight)) < 0.03
+
+
+@pytest.mark.parametrize("n", [1, 4, 12, 40])
+def test_one_more_shard_takes_rows_only_into_itself(spark, n):
+    rows = place(spark, [1.0] * n, [1.0] * (n + 1))
+    moved = [g for s, g in rows.values() if g != s]
+    assert set(moved) == {n} and abs(len(moved) / 4000 - 1 / (n + 1)) < 0.03
 
 
 def test_no_shards_is_an_error(spark):
