@@ -1,32 +1,39 @@
 """Mixing sources to target weights by iterative proportional fitting.
 
 Documents are counted into cells (one per combination of source, language and topic) with
-their tokens.  Raking scales the cells' weights to each margin's targets in turn until all
-margins hold.  A document is then kept with the probability  rate x weight / tokens  of its
-cell, at most 1, where the rate is calibrated so that the kept tokens are expected to be the
-wanted share of all.  The draw is a hash of the document's key, so it repeats.
+their tokens.  Every margin gets targets for the tokens to keep: the wanted share of all
+tokens, split by flattened shares, no value above what it holds (what that leaves goes to the
+others).  Raking takes the margins in turn and scales the weights of each value's cells so
+that its target is met exactly, where a cell counts at most what it holds: full cells leave
+the target, open ones are scaled to the rest.  Rounds go on until the largest gap is below
+:data:`TOLERANCE` of its target, or falls no more because the margins contradict each other;
+:func:`margins_of` reports reached against wanted.  A document is kept with the probability
+weight / tokens of its cell, at most 1.  The draw is a hash of its key, so it repeats.
 
 Everything is DataFrame expressions.  Only cells are raked: documents are read once to count
 and once to sample, and a hot source is counted before anything is shuffled.
 
 Nulls in a margin are the value ``unknown``; a null text has no bytes and counts as one token,
 as every document at least does; rows with equal keys are kept or dropped together; an empty
-table gives an empty result.  Columns of the input named like the added ones are replaced.
+table gives an empty result.  Texts of any length are read whole, by their bytes only.  Columns
+of the input named like the added ones are replaced.
 """
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from gaugeworks.llm.common import staged, text_or_empty
 from gaugeworks.session import cut_lineage
 
 BYTES_PER_TOKEN = 4
-ROUNDS = 20
-ROUNDS_PER_CUT = 5
-CAP_ROUNDS = 8
+TOLERANCE = 1e-9
+ROUNDS_PER_CUT = 4
+# Rounds of the SQL twin, which cannot test for convergence; tables so far need 6 to 26.
+SQL_ROUNDS = 40
 MARGINS = ("source", "lang", "topic")
 
 
@@ -47,53 +54,70 @@ def marked(docs: DataFrame, topic: Column, text: str = "text") -> DataFrame:
         "lang": F.coalesce("lang", unknown), "n_tokens": tokens.cast("long")})
 
 
-def flattened(cells: DataFrame, powers: Mapping[str, float]) -> DataFrame:
-    """Targets per cell and margin: each value's share is its tokens to the given power.
+def _level(held: Column, wanted: Column, total: Column, values: WindowSpec, order: list[str]) -> Column:
+    """The factor f with which the sum of least(held, f x wanted) is the total, over a window.
 
-    A power of 1 keeps the margin, 0 makes its values equal.
+    In the order of held / wanted the first ones are full: the factor that fills the rest after
+    j full ones is right for the first j where it leaves the next one open.
     """
-    whole = cells.agg(F.sum("n_tokens").alias("whole")).scalar()
+    full_at = held / wanted
+    rising = values.orderBy(full_at, *order)
+    before = F.coalesce(F.sum(held).over(rising.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    rest = F.sum(wanted).over(rising.rowsBetween(0, Window.unboundedFollowing))
+    return (total - before) / rest
+
+
+def flattened(cells: DataFrame, powers: Mapping[str, float], share: float = 1.0) -> DataFrame:
+    """Tokens to keep per cell and margin: each value's part is its tokens to the given power.
+
+    A power of 1 keeps the margin, 0 makes its values equal.  A value whose part is more than it
+    holds gets all it holds.
+    """
+    whole = cells.agg(F.sum("n_tokens") * F.lit(min(share, 1.0))).scalar()
+    every = Window.partitionBy(F.lit(0))           # the values of one margin, already added up
     for margin, power in powers.items():
-        values = cells.groupBy(margin).agg(F.sum("n_tokens").alias("held"))
-        shares = values.agg(F.sum(F.pow("held", F.lit(power))).alias("all")).scalar()
-        target = values.select(
-            margin, (F.pow("held", F.lit(power)) / shares * whole).alias(f"target_{margin}"))
-        cells = cells.join(target, margin)
+        values = (cells.groupBy(margin).agg(F.sum("n_tokens").alias("_held"))
+                  .withColumn("_wanted", F.pow("_held", F.lit(power))).withColumn("_whole", whole))
+        held, wanted = F.col("_held"), F.col("_wanted")
+        values = values.withColumn("_factor", _level(held, wanted, F.col("_whole"), every, [margin]))
+        fits = F.when(F.col("_factor") <= held / wanted, F.col("_factor"))
+        factor = F.coalesce(F.max(fits).over(every), F.max(held / wanted).over(every))
+        cells = cells.join(values.select(margin, F.least(held, factor * wanted).alias(f"target_{margin}")), margin)
     return cells
 
 
-def rake(cells: DataFrame, margins: Sequence[str] = MARGINS, rounds: int = ROUNDS) -> DataFrame:
-    """Cells with ``weight``: ``n_tokens`` scaled until every ``target_<margin>`` holds."""
-    cells = cells.withColumn("weight", F.col("n_tokens").cast("double"))
-    for done in range(1, rounds + 1):
-        for margin in margins:
-            held = F.sum("weight").over(Window.partitionBy(margin))
-            cells = cells.withColumn("weight", F.col("weight") * F.col(f"target_{margin}") / held)
-        if done % ROUNDS_PER_CUT == 0 or done == rounds:
-            cells = cut_lineage(cells)
+def _round(cells: DataFrame, margins: Sequence[str]) -> DataFrame:
+    """Each margin in turn met exactly."""
+    for margin in margins:
+        value = Window.partitionBy(margin)
+        held, weight = F.col("n_tokens"), F.col("weight")
+        cells = cells.withColumn("_factor", _level(held, weight, F.col(f"target_{margin}"), value, list(margins)))
+        fits = F.when(F.col("_factor") <= held / weight, F.col("_factor"))
+        factor = F.coalesce(F.max(fits).over(value), F.max(held / weight).over(value))
+        cells = cells.withColumn("weight", weight * factor).drop("_factor")
     return cells
 
 
-def calibrate(cells: DataFrame, share: float) -> DataFrame:
-    """Cells with ``probability``, so that ``share`` of all tokens is expected to be kept.
+def margins_of(cells: DataFrame, margins: Sequence[str] = MARGINS) -> DataFrame:
+    """(margin, value, wanted, reached) of raked cells: the tokens to keep and those expected."""
+    kept = F.least("n_tokens", "weight")
+    return reduce(DataFrame.unionByName, [
+        cells.groupBy(F.lit(m).alias("margin"), F.col(m).cast("string").alias("value"))
+        .agg(F.max(f"target_{m}").alias("wanted"), F.sum(kept).alias("reached")) for m in margins])
 
-    Cells that would need more than all their documents are taken whole and the rate is
-    raised for the rest; each round settles at least one more of them, or nothing changes.
-    """
-    ratio = F.col("weight") / F.col("n_tokens")
-    rate = 0.0
-    for _ in range(CAP_ROUNDS):
-        full = F.lit(rate) * ratio >= 1
-        row = cells.agg(F.sum("n_tokens").alias("all"),
-                        F.sum(F.when(full, F.col("n_tokens")).otherwise(0)).alias("full"),
-                        F.sum(F.when(full, 0.0).otherwise(F.col("weight"))).alias("open")).first()
-        if not row["open"]:
-            break
-        after = (share * row["all"] - row["full"]) / row["open"]
-        if after <= rate:
-            break
-        rate = after
-    return cells.withColumn("probability", F.least(F.lit(1.0), F.lit(rate) * ratio))
+
+def rake(cells: DataFrame, margins: Sequence[str] = MARGINS, tolerance: float = TOLERANCE) -> DataFrame:
+    """Cells with ``weight`` and ``probability``: the chance that meets every ``target_<margin>``."""
+    cells = cells.withColumn("weight", F.col("n_tokens").cast("double"))
+    gap = None
+    while True:
+        for _ in range(ROUNDS_PER_CUT):
+            cells = _round(cells, margins)
+        cells = cut_lineage(cells)
+        last, gap = gap, margins_of(cells, margins).agg(
+            F.max(F.abs(F.col("reached") / F.col("wanted") - 1)).alias("gap")).first()["gap"]
+        if gap is None or gap <= tolerance or last is not None and gap >= last * 0.999:
+            return cells.withColumn("probability", F.least(F.lit(1.0), F.col("weight") / F.col("n_tokens")))
 
 
 def draw(key: Column, seed: str) -> Column:
@@ -103,12 +127,12 @@ def draw(key: Column, seed: str) -> Column:
 
 
 def sample(docs: DataFrame, topic: Column, powers: Mapping[str, float], share: float,
-           seed: str = "mix", rounds: int = ROUNDS, key: str = "doc_id", text: str = "text") -> DataFrame:
+           seed: str = "mix", key: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents kept, with ``topic``, ``n_tokens`` and the ``probability`` they had."""
     rows = marked(docs, topic, text)
     margins = list(powers)
     cells = staged(rows.groupBy(*margins).agg(F.sum("n_tokens").alias("n_tokens")), "mixing-cells")
-    raked = calibrate(rake(flattened(cells, powers), margins, rounds), share)
+    raked = rake(flattened(cells, powers, share), margins)
     chances = staged(raked.select(*margins, "probability"), "mixing-chances")
     return (rows.drop("probability").join(chances, margins)
             .where(draw(F.col(key), seed) < F.col("probability")))
@@ -122,7 +146,7 @@ def mix(docs: DataFrame, topic: Column, powers: Mapping[str, float], share: floa
     return sample(rows, topic, powers, share, seed, key=key, text=text).select("_given.*")
 
 
-def sampling_sql(powers: Mapping[str, float], share: float, seed: str = "mix", rounds: int = ROUNDS) -> str:
+def sampling_sql(powers: Mapping[str, float], share: float, seed: str = "mix", rounds: int = SQL_ROUNDS) -> str:
     """The same sample in SQL, with the rounds written out."""
     margins = list(powers)
     names = ", ".join(margins)
@@ -137,36 +161,38 @@ def sampling_sql(powers: Mapping[str, float], share: float, seed: str = "mix", r
             FROM documents)""", f"""
         cells AS MATERIALIZED (SELECT {names}, sum(n_tokens)::BIGINT AS n_tokens FROM marked GROUP BY {names})"""]
     targets = []
+
+    def level(held: str, wanted: str, total: str, window: str, order: str) -> str:
+        rising = f"({window} ORDER BY {held} / {wanted}, {order}"
+        return f"""({total} - coalesce(sum({held}) OVER {rising} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+                   / sum({wanted}) OVER {rising} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)"""
+
+    def factor(held: str, wanted: str, window: str) -> str:
+        return f"""coalesce(max(CASE WHEN f <= {held} / {wanted} THEN f END) OVER ({window}),
+                            max({held} / {wanted}) OVER ({window}))"""
+
     for m, power in powers.items():
         lines.append(f"""
+        h_{m} AS MATERIALIZED (
+            SELECT *, {level('held', 'wanted', 'whole', '', m)} AS f
+            FROM (SELECT {m}, sum(n_tokens)::DOUBLE AS held, pow(sum(n_tokens)::DOUBLE, {power}) AS wanted,
+                         any_value({share} * (SELECT sum(n_tokens) FROM cells)) AS whole FROM cells GROUP BY {m})),
         t_{m} AS MATERIALIZED (
-            SELECT {m}, pow(held, {power}) / sum(pow(held, {power})) OVER () * sum(held) OVER () AS target_{m}
-            FROM (SELECT {m}, sum(n_tokens)::DOUBLE AS held FROM cells GROUP BY {m}))""")
+            SELECT {m}, least(held, wanted * {factor('held', 'wanted', '')}) AS target_{m} FROM h_{m})""")
         targets.append(f"JOIN t_{m} USING ({m})")
     lines.append(f"""
-        r0 AS MATERIALIZED (SELECT cells.*, {', '.join(f'target_{m}' for m in margins)},
+        r0 AS MATERIALIZED (SELECT cells.* REPLACE (n_tokens::DOUBLE AS n_tokens), {', '.join(f'target_{m}' for m in margins)},
                    n_tokens::DOUBLE AS weight FROM cells {' '.join(targets)})""")
     at = 0
     for _ in range(rounds):
         for m in margins:
             lines.append(f"""
-        r{at + 1} AS MATERIALIZED (SELECT * REPLACE (
-            weight * target_{m} / sum(weight) OVER (PARTITION BY {m}) AS weight) FROM r{at})""")
+        r{at + 1} AS MATERIALIZED (
+            SELECT * EXCLUDE (f) REPLACE (weight * {factor('n_tokens', 'weight', f'PARTITION BY {m}')} AS weight)
+            FROM (SELECT *, {level('n_tokens', 'weight', f'target_{m}', f'PARTITION BY {m}', names)} AS f FROM r{at}))""")
             at += 1
-    lines.append("""
-        c0 AS MATERIALIZED (SELECT 0.0::DOUBLE AS rate)""")
-    for i in range(CAP_ROUNDS):
-        lines.append(f"""
-        c{i + 1} AS MATERIALIZED (
-            SELECT coalesce(greatest(any_value(rate), ({share} * sum(n_tokens)
-                       - sum(CASE WHEN rate * weight / n_tokens >= 1 THEN n_tokens ELSE 0 END))
-                   / nullif(sum(CASE WHEN rate * weight / n_tokens >= 1 THEN 0 ELSE weight END), 0)),
-                   any_value(rate)) AS rate
-            FROM r{at}, c{i})""")
     return "WITH" + ",".join(lines) + f"""
-        SELECT doc_id, source, lang, topic, n_tokens,
-               round(least(1.0, rate * weight / held), 6) AS probability
-        FROM (SELECT marked.*, weight, r{at}.n_tokens AS held, rate
-              FROM marked JOIN r{at} USING ({names}), c{CAP_ROUNDS})
+        SELECT doc_id, source, lang, topic, n_tokens, round(least(1.0, weight / held), 6) AS probability
+        FROM (SELECT marked.*, weight, r{at}.n_tokens AS held FROM marked JOIN r{at} USING ({names}))
         WHERE ('0x' || substr(md5('{seed}:' || coalesce(doc_id::VARCHAR, 'null')), 1, 13))::BIGINT
-              / pow(2, 52) < least(1.0, rate * weight / held)"""
+              / pow(2, 52) < least(1.0, weight / held)"""

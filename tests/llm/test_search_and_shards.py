@@ -136,22 +136,75 @@ def test_sharding_query(spark):
     assert all(0 <= r.shard < 40 and r.grown_shard in (r.shard, 40) for r in rows)
 
 
-def test_raking_meets_all_margins(spark):
-    cells = spark.createDataFrame(
-        [(s, lang, t, 10 + 7 * i) for i, (s, lang, t) in enumerate(
-            (s, lang, t) for s in "abc" for lang in ("en", "de") for t in ("x", "y"))],
-        "source string, lang string, topic string, n_tokens long")
-    powers = {"source": 0.5, "lang": 0.0, "topic": 1.0}
-    rows = mixing.calibrate(mixing.rake(mixing.flattened(cells, powers)), 0.5).collect()
-    whole = sum(r.n_tokens for r in rows)
-    for margin in powers:
-        held, target = defaultdict(float), {}
+def plain_rake(cells, powers, share, rounds=300):
+    """Tokens kept per cell, by bisection for every value's factor instead of a closed form."""
+    def factor(held, wanted, total):
+        low, high = 0.0, max(h / w for h, w in zip(held, wanted))
+        for _ in range(200):
+            middle = (low + high) / 2
+            if sum(min(h, middle * w) for h, w in zip(held, wanted)) < total:
+                low = middle
+            else:
+                high = middle
+        return high
+
+    names, n = [c[:-1] for c in cells], [c[-1] for c in cells]
+    targets = []
+    for m, power in enumerate(powers):
+        held = defaultdict(float)
+        for name, tokens in zip(names, n):
+            held[name[m]] += tokens
+        wanted = {v: h ** power for v, h in held.items()}
+        f = factor(list(held.values()), [wanted[v] for v in held], share * sum(n))
+        targets.append({v: min(h, f * wanted[v]) for v, h in held.items()})
+    weight = [float(x) for x in n]
+    for _ in range(rounds):
+        for m, target in enumerate(targets):
+            for value, total in target.items():
+                own = [i for i, name in enumerate(names) if name[m] == value]
+                f = factor([n[i] for i in own], [weight[i] for i in own], total)
+                for i in own:
+                    weight[i] *= f
+    return targets, {name: min(1.0, w / tokens) for name, w, tokens in zip(names, weight, n)}
+
+
+@pytest.mark.parametrize("share, powers", [(0.5, (0.5, 0.0, 1.0)), (0.85, (0.6, 0.7, 0.8)), (1.0, (0.0, 0.0, 0.0))])
+def test_raking_meets_all_margins(spark, share, powers):
+    rng = np.random.default_rng(7)
+    cells = [(s, lang, t, int(rng.integers(50, 2000) * (20 if s == "a" else 1)))
+             for s in "abcd" for lang in ("en", "de", "fr") for t in "xy"]
+    frame = spark.createDataFrame(cells, "source string, lang string, topic string, n_tokens long")
+    raked = mixing.rake(mixing.flattened(frame, dict(zip(mixing.MARGINS, powers)), share))
+    rows = raked.collect()
+    targets, chances = plain_rake(cells, powers, share)
+    for m, margin in enumerate(mixing.MARGINS):
+        held = defaultdict(float)
         for r in rows:
-            held[r[margin]] += r.weight
-            target[r[margin]] = r[f"target_{margin}"]
-        assert all(held[v] == pytest.approx(target[v], rel=1e-6) for v in held)
-    assert sum(r.probability * r.n_tokens for r in rows) == pytest.approx(0.5 * whole)
-    assert all(0 < r.probability <= 1 for r in rows)
+            held[r[margin]] += r.probability * r.n_tokens
+            assert r[f"target_{margin}"] == pytest.approx(targets[m][r[margin]], rel=1e-9)
+        assert all(held[v] == pytest.approx(t, rel=1e-8) for v, t in targets[m].items())
+    for r in rows:
+        assert r.probability == pytest.approx(chances[r.source, r.lang, r.topic], rel=1e-5)
+    report = {(r.margin, r.value): (r.wanted, r.reached) for r in mixing.margins_of(raked).collect()}
+    assert len(report) == 9 and all(a == pytest.approx(b) for a, b in report.values())
+
+
+def test_contradicting_margins_end_and_are_reported(spark):
+    # Nearly all of source a is English: both cannot be halved and kept together.
+    cells = spark.createDataFrame([("a", "en", "x", 1000), ("b", "de", "x", 10), ("b", "en", "x", 1)],
+                                  "source string, lang string, topic string, n_tokens long")
+    raked = mixing.rake(mixing.flattened(cells, {"source": 1.0, "lang": 0.0, "topic": 1.0}, 0.5))
+    report = {(r.margin, r.value): r.reached / r.wanted for r in mixing.margins_of(raked).collect()}
+    assert all(0 < r.probability <= 1 for r in raked.collect()) and len(report) == 5
+
+
+def test_query_meets_its_margins(spark):
+    folder = SF_DIR.replace("0.001", "0.01")
+    rows = mixing.marked(spark.read.parquet(f"{folder}/documents.parquet"), mixing.text_form())
+    cells = rows.groupBy(*mixing.MARGINS).agg(F.sum("n_tokens").alias("n_tokens"))
+    raked = mixing.rake(mixing.flattened(cells, queries.MIX_POWERS, queries.MIX_SHARE))
+    worst = max(abs(r.reached / r.wanted - 1) for r in mixing.margins_of(raked).collect())
+    assert worst <= mixing.TOLERANCE
 
 
 def test_mixing_edge_rows(odd, none):
