@@ -5,8 +5,10 @@ A text is first cut into units, a run of white space and the word after it; a
 byte-level pattern always starts a new word between a non-space and a plain space
 or line feed, so the counts of the units add up to the count of the text.  Units
 already counted by this worker are looked up; the rest go to the tokenizer in
-batches of about equal bytes.  Memory is bounded by one piece of a text, one batch
-and the number of units remembered, whatever the length of a text.
+batches of about equal bytes.  Only units of up to :data:`UNIT_CHARS` characters are
+remembered, :data:`REMEMBERED` of them, so that memory has a bound in bytes.  A worker holds
+one piece of a text and one batch besides; a text without a plain space or line feed
+after a non-space has no certain boundary and is one piece.
 
 Nulls count as empty texts (0 bytes, 0 tokens); repeated rows are counted each; an
 empty table gives an empty result; other columns of the input are ignored.
@@ -27,6 +29,7 @@ from gaugeworks.llm.common import pieces, slices, text_or_empty, typed
 PIECE_CHARS = 1 << 19
 BATCH_BYTES = 1 << 18
 REMEMBERED = 300_000
+UNIT_CHARS = 64
 
 # White space, then a word; odd white space after it is not a certain boundary.
 _UNIT = re.compile(r"\s*\S+(?:[^\S \n]\s*\S*)*|\s+")
@@ -67,6 +70,11 @@ class Counter:
             encoded = self.tokenizer.encode_batch_fast(batch, add_special_tokens=False)
             self.known.update(zip(batch, map(len, encoded)))
 
+    def counted(self, units: list[str]) -> int:
+        """Tokens of units that are not worth remembering."""
+        return sum(len(e) for batch in by_bytes(units, self.batch_bytes)
+                   for e in self.tokenizer.encode_batch_fast(batch, add_special_tokens=False))
+
     def counts(self, texts: Iterable[str]) -> list[int]:
         """One count per text; units of short texts are learned together."""
         totals: list[int] = []
@@ -74,9 +82,10 @@ class Counter:
         size = 0
 
         def settle() -> None:
-            self.learn([u for _, units in waiting for u in units])
+            self.learn([u for _, units in waiting for u in units if len(u) <= UNIT_CHARS])
             for at, units in waiting:
-                totals[at] += sum(map(self.known.__getitem__, units))
+                long = [u for u in units if len(u) > UNIT_CHARS]
+                totals[at] += sum(self.known[u] for u in units if len(u) <= UNIT_CHARS) + self.counted(long)
             waiting.clear()
 
         for text in texts:

@@ -85,3 +85,14 @@ def test_queries_cover_all_documents(spark):
         assert tripped[key].ids_sha256 == hashlib.sha256(struct.pack(f"<{len(ids)}I", *ids)).hexdigest()
         assert tripped[key].decoded_sha256 == hashlib.sha256(
             LIBRARY.decode(ids, skip_special_tokens=False).encode()).hexdigest()
+
+
+def test_what_is_remembered_has_a_bound_in_bytes():
+    counter = token_counts.Counter(PATH, remembered=100)
+    texts = ["word\tand\tmore\t" * 20_000, "x" * 1_000_000, " ".join(f"{i:x}" * 40 for i in range(500)), "0123456789" * 500,
+             *(f"a{i} b{i} c{i}" for i in range(200))]
+    counter_of = [len(ids_of(t)) for t in texts]
+    assert counter.counts(texts) == counter_of
+    assert all(len(unit) <= token_counts.UNIT_CHARS for unit in counter.known)
+    assert counter.counts([f"a{i}" for i in range(90)]) == [len(ids_of(f"a{i}")) for i in range(90)]
+    assert len(counter.known) <= 100
