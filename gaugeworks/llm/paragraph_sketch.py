@@ -5,7 +5,9 @@ distinct block has a 64-bit digest.  A sketch has cells; every digest is added t
 each third of them (count, XOR of digests, XOR of checks).  Subtracting the sketches of two
 versions leaves the digests they do not share; a cell that holds a single one gives it away,
 it is taken out of its other cells, and so on until all are recovered.  Where that gets stuck
-the pair is tried again with twice the cells, until it works.  The number of recovered digests
+the pair is tried again with four times the cells, until it works.  Sketches are kept sparse, made
+by sorting entries by cell and folding runs, so the work is near-linear in a text's blocks.
+The number of recovered digests
 gives the likeness of the two sets (Jaccard).
 
 Everything is DataFrame expressions.  Texts are moved once by key, and the part of the next
@@ -28,6 +30,8 @@ from gaugeworks.llm.common import staged, text_or_empty
 BLOCK_CHARS = 400
 CELLS = 24
 _PARTS = 3
+# Each retry has four times the cells, up to 24 x 4**13; only cells that hold something take space.
+_GROWTH, _RETRIES = 4, 13
 _NO_KEY = -(1 << 63)
 
 
@@ -41,84 +45,112 @@ def _check(digest: Column) -> Column:
     return F.xxhash64(digest, F.lit("check")).bitwiseAND(F.lit(0xFFFFFFFF))
 
 
-def _places(digest: Column, cells: int) -> list[Column]:
+def _places(digest: Column, third: Column) -> list[Column]:
     """One cell in each third; other numbers of cells draw anew."""
-    third = cells // _PARTS
-    mixed = F.xxhash64(digest, F.lit(cells))
-    return [(F.pmod(F.shiftright(mixed, 20 * part), F.lit(third)) + part * third).cast("int")
+    mixed = F.xxhash64(digest, third * _PARTS)
+    return [(F.pmod(F.shiftright(mixed, 20 * part), third) + third * part).cast("int")
             for part in range(_PARTS)]
 
 
-def _cell(n: Column, x: Column, c: Column) -> Column:
-    return F.struct(n.cast("int").alias("n"), x.cast("long").alias("x"), c.cast("long").alias("c"))
+def _cell(p: Column, n: Column, x: Column, c: Column) -> Column:
+    return F.struct(p.cast("int").alias("p"), n.cast("int").alias("n"), x.cast("long").alias("x"),
+                    c.cast("long").alias("c"))
 
 
-def sketch(found: Column, cells: int) -> Column:
-    """Cells of a set of digests."""
-    placed = F.transform(found, lambda d: F.struct(
-        d.alias("x"), _check(d).alias("c"), F.array(*_places(d, cells)).alias("p")))
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once."""
+    return F.transform(F.array(value), use)[0]
 
-    def cell(entries: Column, i: Column) -> Column:
-        inside = F.filter(entries, lambda e: e["p"][F.floor(i / (cells // _PARTS)).cast("int")] == i)
-        return F.aggregate(inside, _cell(F.lit(0), F.lit(0), F.lit(0)), lambda a, e: _cell(
-            a["n"] + 1, a["x"].bitwiseXOR(e["x"]), a["c"].bitwiseXOR(e["c"])))
 
-    return _let(placed, lambda entries: F.transform(
-        F.sequence(F.lit(0), F.lit(cells - 1)), lambda i: cell(entries, i)))
+def _entries(digest: Column, sign: Column, third: Column) -> Column:
+    """What one digest adds to its cells."""
+    return _let(_check(digest), lambda check: F.array(*[
+        _cell(p, sign, digest, check) for p in _places(digest, third)]))
 
 
-def _let(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with the value computed once."""
-    return F.transform(F.array(value), use)[0]
+def _firsts(ordered: Column, field: str) -> Column:
+    """Positions in an ordered array where a field differs from the element before."""
+    return F.when(F.size(ordered) == 0, F.array().cast("array<int>")).otherwise(F.filter(
+        F.sequence(F.lit(0), F.size(ordered) - 1),
+        lambda i: (i == 0) | (F.get(ordered, i)[field] != F.get(ordered, i - 1)[field])))
+
+
+def _folded(entries: Column) -> Column:
+    """Entries added up per cell, by sorting and folding runs; cells that come to nothing are left out."""
+    def total(e: Column, start: Column, end: Column) -> Column:
+        zero = _cell(F.get(e, start)["p"], F.lit(0), F.lit(0), F.lit(0))
+        return F.aggregate(F.sequence(start, end - 1), zero, lambda a, i: _let(F.get(e, i), lambda r: _cell(
+            a["p"], a["n"] + r["n"], a["x"].bitwiseXOR(r["x"]), a["c"].bitwiseXOR(r["c"]))))
+
+    def runs(e: Column) -> Column:
+        return _let(_firsts(e, "p"), lambda starts: F.transform(
+            starts, lambda at, j: total(e, at, F.coalesce(F.get(starts, j + 1), F.size(e)))))
+
+    return F.filter(_let(F.sort_array(entries), runs), lambda c: (c["n"] != 0) | (c["x"] != 0) | (c["c"] != 0))
+
+
+def sketch(found: Column, third: Column, sign: int = 1) -> Column:
+    """The cells of a set of digests that hold any; there are three times ``third``."""
+    return _folded(F.flatten(F.transform(found, lambda d: _entries(d, F.lit(sign), third))))
 
 
 def subtract(left: Column, right: Column) -> Column:
-    return F.zip_with(left, right, lambda a, b: _cell(
-        a["n"] - b["n"], a["x"].bitwiseXOR(b["x"]), a["c"].bitwiseXOR(b["c"])))
+    return _folded(F.concat(left, F.transform(right, lambda c: _cell(c["p"], -c["n"], c["x"], c["c"]))))
 
 
-def peel(difference: Column, cells: int, most: Column) -> Column:
+def peel(difference: Column, third: Column, most: Column) -> Column:
     """Number of digests in a difference of sketches, null where peeling gets stuck.
 
-    ``most`` bounds the digests that can be there, and so the steps.
+    Every round takes out all digests that a cell gives away, so rounds grow like the logarithm
+    of their number; ``most`` bounds the digests that can be there, and so the rounds.
     """
     def pure(c: Column) -> Column:
         return (F.abs(c["n"]) == 1) & (c["c"] == _check(c["x"]))
 
-    def take(state: Column, one: Column) -> Column:
-        return F.struct(
-            _let(F.array(*_places(one["x"], cells)), lambda at: F.transform(
-                state["cells"], lambda c, i: F.when(F.array_contains(at, i), _cell(
-                    c["n"] - one["n"], c["x"].bitwiseXOR(one["x"]), c["c"].bitwiseXOR(one["c"])))
-                .otherwise(c))).alias("cells"),
-            (state["taken"] + 1).alias("taken"), F.lit(True).alias("open"))
-
     def step(state: Column) -> Column:
-        """Take one digest out; without a pure cell nothing more is looked at."""
-        stuck = F.struct(state["cells"].alias("cells"), state["taken"].alias("taken"), F.lit(False).alias("open"))
-        return F.aggregate(F.slice(F.filter(state["cells"], pure), 1, 1), stuck, take)
+        given = F.sort_array(F.transform(F.filter(state["cells"], pure), lambda c: F.struct(c["x"], c["n"])))
+        once = _let(given, lambda g: F.transform(_firsts(g, "x"), lambda i: F.get(g, i)))
+        return _let(once, lambda digests: F.when(F.size(digests) == 0, F.struct(
+            state["cells"].alias("cells"), state["taken"].alias("taken"), F.lit(False).alias("open"))).otherwise(F.struct(
+                _folded(F.concat(state["cells"], F.flatten(F.transform(
+                    digests, lambda d: _entries(d["x"], -d["n"], third))))).alias("cells"),
+                (state["taken"] + F.size(digests)).alias("taken"), F.lit(True).alias("open"))))
 
     start = F.struct(difference.alias("cells"), F.lit(0).alias("taken"), F.lit(True).alias("open"))
-    steps = F.sequence(F.lit(1), F.greatest(F.lit(1), most))
-    done = F.aggregate(steps, start, lambda state, _: F.when(state["open"], step(state)).otherwise(state))
-    return _let(done, lambda s: F.when(
-        ~F.exists(s["cells"], lambda c: (c["n"] != 0) | (c["x"] != 0) | (c["c"] != 0)), s["taken"]))
+    done = F.aggregate(F.sequence(F.lit(1), F.greatest(F.lit(1), most)), start,
+                       lambda state, _: F.when(state["open"], step(state)).otherwise(state))
+    return _let(done, lambda s: F.when(F.size(s["cells"]) == 0, s["taken"]))
 
 
-def likeness(left: Column, right: Column, cells: int) -> Column:
-    """Jaccard of two sets of digests through their sketches; null where these are too small."""
+def likeness(left: Column, right: Column, third: Column) -> Column:
+    """Jaccard of two sets of digests through sketches of one size; null where these are too small."""
     both = F.size(left) + F.size(right)
-    apart = peel(subtract(sketch(left, cells), sketch(right, cells)), cells, both)
+    apart = peel(subtract(sketch(left, third), sketch(right, third)), third, both)
     # At least as many digests differ as the sizes do; more than cells cannot be recovered.
-    apart = F.when(F.abs(F.size(left) - F.size(right)) <= cells, apart)
+    apart = F.when(F.abs(F.size(left) - F.size(right)) <= third * _PARTS, apart)
     return _let(apart, lambda r: F.when(r.isNotNull() & (both == 0), 1.0).otherwise(
         (both - r) / (both + r)))
 
 
-def printed(cells: Column) -> Column:
+def retried(left: Column, right: Column, cells: int = CELLS) -> Column:
+    """The same, with sketches of more cells after each failure, within the row.
+
+    Sizes start where as many digests fit as the sets differ in number.
+    """
+    apart = F.greatest(F.lit(1.0), F.abs(F.size(left) - F.size(right)) / float(cells))
+    least = F.least(F.lit(_RETRIES), F.ceil(F.log(float(_GROWTH), apart)).cast("int"))
+    return F.aggregate(F.sequence(least, F.lit(_RETRIES)), F.lit(None).cast("double"), lambda found, k: F.when(
+        found.isNull(), likeness(left, right, (F.lit(cells // _PARTS) * F.pow(F.lit(_GROWTH), k)).cast("int"))).otherwise(found))
+
+
+def printed(found: Column, cells: int) -> Column:
     """A sketch as text: count, digest and check of each cell in hexadecimal."""
     part = lambda value, width: F.right(F.lpad(F.hex(value), width, "0"), F.lit(width))
-    return F.lower(F.array_join(F.transform(cells, lambda c: F.concat(
+    none = _cell(F.lit(0), F.lit(0), F.lit(0), F.lit(0))
+    every = _let(sketch(found, F.lit(cells // _PARTS)), lambda held: F.transform(
+        F.sequence(F.lit(0), F.lit(cells - 1)),
+        lambda i: F.coalesce(F.get(F.filter(held, lambda c: c["p"] == i), F.lit(0)), none)))
+    return F.lower(F.array_join(F.transform(every, lambda c: F.concat(
         part(c["n"], 4), part(c["x"], 16), part(c["c"], 8))), ""))
 
 
@@ -179,26 +211,12 @@ def fingerprints(docs: DataFrame, cells: int = CELLS, key: str = "doc_id",
     both = rows.join(heads, "k").select(
         own_key, n.cast("long").alias("n_chars"), digests(F.col("text")).alias("own"),
         edited.alias("edited"), "next_digests")
-    open_rows = staged(both.select(
+    # Digests are written once, so that what follows reads them and not the texts.
+    marked = staged(both.select(
         key, "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "own",
         digests(F.col("edited")).alias("changed"), "next_digests"), "sketch-digests")
-    open_rows = open_rows.withColumns({
-        "near_edited": F.lit(None).cast("double"), "near_next": F.lit(None).cast("double")})
-    solved, base = [], cells
-    while True:
-        tried = staged(open_rows.withColumns({
-            "near_edited": F.coalesce("near_edited", likeness(F.col("own"), F.col("changed"), cells)),
-            "near_next": F.coalesce("near_next", likeness(F.col("own"), F.col("next_digests"), cells)),
-        }), "sketch-tried")
-        stuck = F.col("near_edited").isNull() | F.col("near_next").isNull()
-        solved.append(tried.where(~stuck))
-        open_rows = tried.where(stuck)
-        if open_rows.isEmpty():
-            break
-        cells *= 2
-    result = solved[0]
-    for more in solved[1:]:
-        result = result.union(more)
-    return result.select(
-        key, "n_chars", "edited_sha256", printed(sketch(F.col("own"), base)).alias("fingerprint"),
-        printed(sketch(F.col("changed"), base)).alias("edited_fingerprint"), "near_edited", "near_next")
+    return marked.select(
+        key, "n_chars", "edited_sha256", printed(F.col("own"), cells).alias("fingerprint"),
+        printed(F.col("changed"), cells).alias("edited_fingerprint"),
+        retried(F.col("own"), F.col("changed"), cells).alias("near_edited"),
+        retried(F.col("own"), F.col("next_digests"), cells).alias("near_next"))
