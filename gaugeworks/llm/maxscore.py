@@ -15,7 +15,8 @@ block of each, so neither side is ever whole in one place.
 Vectors that are null or hold null or non-finite components, and rows with a null id, take
 no part; shorter vectors count as ending in zeros.  A query never returns its own id;
 repeated rows are candidates each; query rows with one id are one query (its smallest
-vector).  Scores are exact while they fit in 63 bits.  Empty input gives an empty result.
+vector).  Scores are exact while they fit in 63 bits.  Empty input gives an empty result;
+other columns are left out.
 """
 from __future__ import annotations
 

@@ -14,7 +14,9 @@ counts only.  Scoring reads whole texts of all documents.
 
 Null texts are empty and score as such; a null label is no label, repeated labels of a
 document count as their largest; repeated rows are scored each; without toxic labels every
-document gets severity 0; an empty table gives an empty result.
+document gets severity 0; an empty table gives an empty result.  Texts of any length are read
+whole, in pieces.  Other columns are left out by :func:`score` and kept as they are by
+:func:`keep_clean`, whatever their names.
 """
 from __future__ import annotations
 

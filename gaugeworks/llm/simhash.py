@@ -13,7 +13,9 @@ shingles of ``width`` words with repeats (a shorter text is one shingle), hashed
 XXH64 (seed 42); a bit is set if it is set in more than half of the hashes.  A text
 without words, or null, has fingerprint 0 and is linked like any other.  Rows with equal
 keys are separate rows of the same key; null keys take part but never name a component
-unless it has no other.  An empty table gives an empty result.
+unless it has unless it has no other.  An empty table gives an empty result.  Texts of any length are read
+whole, hashed in parts; other columns are left out by :func:`near_duplicates` and kept by
+:func:`drop_similar`.
 """
 from __future__ import annotations
 
