@@ -1,16 +1,19 @@
 """Exact top-k by inner product with MaxScore over shards of integer vectors.
 
-A query's terms are its non-zero components.  A term's upper bound in a shard is the
-largest product any vector of the shard can add.  Terms are put in order of their bounds;
-those whose bounds add up to less than what a vector must reach (the k-th score so far)
-are non-essential: a vector that scores on them alone cannot enter.  Essential terms are
-traversed for a run of vectors; a vector stays a candidate only while its score so far
-plus the bounds of the terms not looked at reaches the k-th score, and only candidates are
-probed for the others, from the largest bound down.  Shards are merged by score, ties go
-to the smaller id.
-
-Queries and vectors are dealt into blocks of bounded expected size, and a task holds one
-block of each, so neither side is ever whole in one place.
+A shard keeps its vectors as postings: per term (component) the rows that have it and their
+values.  A query's terms are its non-zero components, a term's bound in a shard is the largest
+product any of its vectors can add.  Terms are put in order of their bounds; those whose bounds
+add up to less than what a vector must reach (the query's goal) are non-essential: a vector
+that has no other terms cannot enter.  The postings of the essential terms are traversed, term
+by term; a vector stays a candidate only while its score so far plus the bounds of the terms
+not looked at reaches the goal, and only candidates are probed for the non-essential terms,
+from the largest bound down.  Rows are taken in runs, and the goal rises with every run.
+Shards are merged by score, ties go to the smaller id.
+
+The first goal of a query is its k-th score among a pilot of :data:`PILOT_ROWS` vectors, which
+is never above its k-th score among all, so it decides work and no result; all shards start
+from it.  Queries and vectors are dealt into blocks of bounded expected size, and a task holds
+one block of each, so neither side is ever whole in one place.
 
 Vectors that are null or hold null or non-finite components, and rows with a null id, take
 no part; shorter vectors count as ending in zeros.  A query never returns its own id;
@@ -33,7 +36,7 @@ from gaugeworks.llm.common import staged
 SHARD_ROWS = 8192
 QUERY_ROWS = 1024
 RUN = 2048
-PROBE_SHARE = 0.4
+PILOT_ROWS = 2048
 _BEST = T.StructType([T.StructField("query_id", T.LongType()), T.StructField("vec_id", T.LongType()),
                       T.StructField("score", T.LongType())])
 
@@ -55,77 +58,97 @@ def _matrix(column: pa.ChunkedArray, dims: int) -> np.ndarray:
     return out
 
 
-def _first_k(query: np.ndarray, score: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
-    """Positions of the k best per query: highest score, then smallest id."""
-    order = np.lexsort((ids, -score, query))
-    q = query[order]
-    starts = np.r_[True, q[1:] != q[:-1]] if len(q) else np.zeros(0, bool)
-    rank = np.arange(len(q)) - np.maximum.accumulate(np.where(starts, np.arange(len(q)), 0))
-    return order[rank < k]
+class Postings:
+    """The non-zero components of some rows, by term: rows in order, and their values."""
 
+    def __init__(self, rows: np.ndarray):
+        term, self.row = np.nonzero(rows.T)
+        self.value = rows[self.row, term]
+        self.size = np.bincount(term, minlength=rows.shape[1])
+        self.end = np.cumsum(self.size)
 
-def search(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queries: np.ndarray,
-           k: int, run: int = RUN) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Best k of one shard for one block of queries: query positions, ids, scores."""
+    def traverse(self, terms: np.ndarray, weight: np.ndarray, rows: int) -> np.ndarray:
+        """The scores of all rows on some terms."""
+        lists = [slice(self.end[t] - self.size[t], self.end[t]) for t in terms]
+        if self.value.dtype == np.float64 and lists:
+            products = np.concatenate([weight[t] * self.value[cut] for t, cut in zip(terms, lists)])
+            return np.bincount(np.concatenate([self.row[cut] for cut in lists]), products, rows)
+        score = np.zeros(rows, self.value.dtype)
+        for t, cut in zip(terms, lists):
+            score[self.row[cut]] += weight[t] * self.value[cut]
+        return score
+
+
+def candidates(part: np.ndarray, postings: Postings, weight: np.ndarray, bound: np.ndarray,
+               goal: float) -> tuple[np.ndarray, np.ndarray, int]:
+    """Rows that reach the goal, their scores, and how many products that took.
+
+    ``weight`` and ``bound`` are of the query's terms, one number per component.
+    """
+    terms = np.flatnonzero(weight)
+    terms = terms[np.argsort(bound[terms], kind="stable")]
+    sums = np.cumsum(bound[terms])
+    # Rising bounds; a vector with non-essential terms only stays below the goal.
+    optional = int(np.searchsorted(sums, goal, side="left"))
+    left = sums[optional - 1] if optional else 0
+    score = postings.traverse(terms[optional:], weight, len(part))
+    products = int(postings.size[terms[optional:]].sum())
+    rows = np.flatnonzero(score + left >= goal)
+    score = score[rows]
+    for place in range(optional - 1, -1, -1):
+        term = terms[place]
+        score = score + weight[term] * part[rows, term]
+        products += len(rows)
+        left = sums[place - 1] if place else 0
+        alive = score + left >= goal
+        rows, score = rows[alive], score[alive]
+    return rows, score, products
+
+
+def search(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int,
+           run: int = RUN, goals: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """Best k of one shard for one block of queries: query positions, ids, scores; and the products taken.
+
+    ``goals`` are scores that a result must reach, -inf where there is none.
+    """
     n_queries, dims = queries.shape
     # Products in floating point are exact up to 2**53; beyond that integers are used.
     widest = np.abs(queries.astype(float)).max(initial=0) * np.abs(vectors.astype(float)).max(initial=0)
     kind = np.float64 if widest * max(dims, 1) < 2 ** 53 else np.int64
     vectors, queries = vectors.astype(kind), queries.astype(kind)
-    best_q, best_s, best_i = np.zeros(0, np.int64), np.zeros(0, kind), np.zeros(0, np.int64)
+    goals = [-math.inf] * n_queries if goals is None else goals.tolist()
+    best = [(np.zeros(0, kind), np.zeros(0, np.int64))] * n_queries
     low, high = vectors.min(axis=0, initial=0), vectors.max(axis=0, initial=0)
-    bound = np.maximum(queries * low, queries * high)          # at least 0: a term may be absent
-    rising = np.argsort(bound, axis=1, kind="stable")
-    sums = np.cumsum(np.take_along_axis(bound, rising, axis=1), axis=1)
+    bounds = np.maximum(queries * low, queries * high)         # at least 0: a term may be absent
+    work = 0
     for at in range(0, len(vectors), run):
         part, names = vectors[at:at + run], ids[at:at + run]
-        found = np.bincount(best_q, minlength=n_queries) >= k
-        lowest = np.full(n_queries, np.inf)
-        np.minimum.at(lowest, best_q, best_s)
-        goal = np.where(found, lowest, -np.inf)
-        # Non-essential: a prefix of the rising bounds that stays below the goal.
-        limit = np.where(found & (goal > 0), goal * PROBE_SHARE, -1)
-        optional = sums < limit[:, None]
-        essential = queries.copy()
-        np.put_along_axis(essential, rising, np.where(
-            optional, 0, np.take_along_axis(queries, rising, axis=1)), axis=1)
-        so_far = essential @ part.T
-        left = np.where(optional, sums, 0).max(axis=1, initial=0)
-        q, d = np.nonzero((so_far + left[:, None] >= goal[:, None])
-                          & (query_ids[:, None] != names[None, :]))
-        score, open_terms, open_bound = so_far[q, d], optional.sum(axis=1), left[q].astype(float)
-        for place in range(int(open_terms.max(initial=0)) - 1, -1, -1):
-            term = rising[q, place]
-            probe = place < open_terms[q]
-            add = np.where(probe, queries[q, term] * part[d, term], 0)
-            score = score + add
-            open_bound = open_bound - np.where(probe, bound[q, term], 0)
-            alive = score + open_bound >= goal[q]
-            q, d, score, open_bound = q[alive], d[alive], score[alive], open_bound[alive]
-        query, value, name = (np.r_[best_q, q], np.r_[best_s, score], np.r_[best_i, names[d]])
-        keep = _first_k(query, value, name, k)
-        best_q, best_s, best_i = query[keep], value[keep], name[keep]
-    return best_q, best_i, best_s.astype(np.int64)
-
-
-def _blocks(rows: DataFrame, by: Column, number: str, name: str) -> DataFrame:
-    return rows.groupBy(by.alias(number)).agg(F.collect_list(F.struct("vec_id", "v")).alias(name))
-
-
-def top_k(vectors: DataFrame, queries: DataFrame, k: int, shard_rows: int = SHARD_ROWS,
-          query_rows: int = QUERY_ROWS) -> DataFrame:
-    """``query_id``, ``rank`` (from 1), ``vec_id``, ``score``: the k best vectors of every query.
-
-    Both frames hold ``vec_id`` and ``v`` as :func:`integers` gives them.
-    """
-    vectors = staged(vectors.withColumn("salt", F.monotonically_increasing_id()), "vectors")
-    asked = staged(queries.groupBy("vec_id").agg(F.min("v").alias("v")), "queries")
-    shards = max(1, math.ceil(vectors.count() / shard_rows))
-    parts = max(1, math.ceil(asked.count() / query_rows))
+        postings = Postings(part)
+        for q in range(n_queries):
+            rows, score, products = candidates(part, postings, queries[q], bounds[q], goals[q])
+            work += products
+            other = names[rows] != query_ids[q]
+            score = np.r_[best[q][0], score[other]]
+            name = np.r_[best[q][1], names[rows[other]]]
+            first = np.lexsort((name, -score))[:k]
+            best[q] = score[first], name[first]
+            if len(first) == k:
+                goals[q] = max(goals[q], score[first[-1]])
+    sizes = [len(s) for s, _ in best]
+    scores, found = (np.concatenate([b[i] for b in best]) if best else np.zeros(0) for i in (0, 1))
+    return np.repeat(np.arange(n_queries), sizes), found.astype(np.int64), scores.astype(np.int64), work
+
+
+def _blocks(rows: DataFrame, by: Column, number: str, *columns: str) -> DataFrame:
+    return rows.groupBy(by.alias(number)).agg(F.collect_list(F.struct(*columns)).alias("rows"))
+
+
+def _searched(vectors: DataFrame, asked: DataFrame, shards: int, parts: int, k: int) -> DataFrame:
+    """The best k of every shard for every query: each block of one side meets each of the other."""
     each = lambda number, n: F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias(number)
-    left = _blocks(vectors, F.pmod(F.xxhash64("salt"), F.lit(shards)).cast("int"), "shard", "rows"
+    left = _blocks(vectors, F.pmod(F.xxhash64("salt"), F.lit(shards)).cast("int"), "shard", "vec_id", "v"
                    ).select("shard", each("part", parts), "rows")
-    right = _blocks(asked, F.pmod(F.xxhash64("vec_id"), F.lit(parts)).cast("int"), "part", "rows"
+    right = _blocks(asked, F.pmod(F.xxhash64("vec_id"), F.lit(parts)).cast("int"), "part", "vec_id", "v", "goal"
                     ).select("part", each("shard", shards), "rows")
 
     def run(one: pa.Table, two: pa.Table) -> pa.Table:
@@ -136,10 +159,33 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int, shard_rows: int = SHAR
         rows = [(x.field("vec_id"), x.field("v")) for x in (a, b)]
         dims = max((len(v) for _, vs in rows for v in vs), default=0)
         (ids, these), (names, those) = ((i.to_numpy(zero_copy_only=False), _matrix(v, dims)) for i, v in rows)
-        q, i, s = search(ids, these, names, those, k)
+        goals = np.array([-math.inf if g is None else g for g in b.field("goal").to_pylist()], object)
+        q, i, s, _ = search(ids, these, names, those, k, goals=goals)
         return pa.Table.from_arrays([pa.array(names[q]), pa.array(i), pa.array(s)], _BEST.names)
 
-    partial = left.groupBy("shard", "part").cogroup(right.groupBy("shard", "part")).applyInArrow(run, _BEST)
+    return left.groupBy("shard", "part").cogroup(right.groupBy("shard", "part")).applyInArrow(run, _BEST)
+
+
+def top_k(vectors: DataFrame, queries: DataFrame, k: int, shard_rows: int = SHARD_ROWS,
+          query_rows: int = QUERY_ROWS, pilot_rows: int = PILOT_ROWS) -> DataFrame:
+    """``query_id``, ``rank`` (from 1), ``vec_id``, ``score``: the k best vectors of every query.
+
+    Both frames hold ``vec_id`` and ``v`` as :func:`integers` gives them.
+    """
+    vectors = staged(vectors.withColumn("salt", F.monotonically_increasing_id()), "vectors")
+    asked = staged(queries.groupBy("vec_id").agg(F.min("v").alias("v")), "queries")
+    rows = vectors.count()
+    shards = max(1, math.ceil(rows / shard_rows))
+    parts = max(1, math.ceil(asked.count() / query_rows))
+    goals = asked.withColumn("goal", F.lit(None).cast("long"))
+    if shards > 1:
+        share = min(1.0, pilot_rows / rows)
+        pilot = vectors.where(F.pmod(F.xxhash64(F.lit("pilot"), "salt"), F.lit(1 << 30)) < int(share * (1 << 30)))
+        reached = _searched(pilot, goals, 1, parts, k).groupBy("query_id").agg(
+            F.min("score").alias("goal"), F.count("*").alias("n")).where(F.col("n") >= k)
+        goals = staged(asked.join(reached, F.col("vec_id") == F.col("query_id"), "left")
+                       .select("vec_id", "v", "goal"), "query-goals")
+    partial = _searched(vectors, goals, shards, parts, k)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (partial.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))

@@ -27,8 +27,28 @@ def test_search_is_exact(spread, dims, seed):
     vectors[rng.random(vectors.shape) < 0.4] = 0
     ids = rng.permutation(700)
     wanted = vectors[:30]
-    q, i, s = maxscore.search(ids, vectors, ids[:30], wanted, 7, run=100)
-    assert sorted(zip(ids[:30][q].tolist(), i.tolist(), s.tolist())) == brute(ids, vectors, ids[:30], wanted, 7)
+    q, i, s, _ = maxscore.search(ids, vectors, ids[:30], wanted, 7, run=100)
+    right = brute(ids, vectors, ids[:30], wanted, 7)
+    assert sorted(zip(ids[:30][q].tolist(), i.tolist(), s.tolist())) == right
+    # A goal that is the k-th score among some of the vectors changes no result.
+    pilot = brute(ids[:90], vectors[:90], ids[:30], wanted, 7)
+    goals = np.array([min(p[2] for p in pilot if p[0] == name) for name in ids[:30]], object)
+    q, i, s, _ = maxscore.search(ids, vectors, ids[:30], wanted, 7, run=100, goals=goals)
+    assert sorted(zip(ids[:30][q].tolist(), i.tolist(), s.tolist())) == right
+
+
+def test_sparse_vectors_skip_most_products():
+    rng = np.random.default_rng(6)
+    rows, terms = 4000, 300
+    vectors = np.zeros((rows, terms), np.int64)
+    for row in vectors:                       # frequent terms weigh little, as in texts
+        on = np.unique((terms * rng.random(25) ** 3).astype(int))
+        row[on] = rng.integers(1, 6, len(on)) * (1 + on // 20)
+    ids, wanted = np.arange(rows), vectors[:40]
+    q, i, s, products = maxscore.search(ids, vectors, ids[:40], wanted, 10, run=500)
+    assert sorted(zip(q.tolist(), i.tolist(), s.tolist())) == brute(ids, vectors, ids[:40], wanted, 10)
+    in_postings = sum(int(np.count_nonzero(vectors[:, np.flatnonzero(w)])) for w in wanted)
+    assert products < 0.5 * in_postings
 
 
 def test_search_rows(spark):
@@ -36,9 +56,10 @@ def test_search_rows(spark):
             (6, [float("inf"), 1.0]), (None, [1.0, 1.0]), (7, [2.0]), (8, []), (20, [1.0, 1.0]), (20, [1.0, 1.0])]
     table = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("score", F.lit("x"))
     vectors = maxscore.integers(table)
-    got = maxscore.top_k(vectors, vectors.where("vec_id % 20 = 0"), k=3, shard_rows=2).collect()
-    assert sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in got) == [
-        (20, 1, 7, 8192), (20, 2, 1, 1024), (20, 3, 2, 1024)]
+    for pilot in (1, 3, 100):
+        got = maxscore.top_k(vectors, vectors.where("vec_id % 20 = 0"), k=3, shard_rows=2, pilot_rows=pilot).collect()
+        assert sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in got) == [
+            (20, 1, 7, 8192), (20, 2, 1, 1024), (20, 3, 2, 1024)]
     none = table.limit(0)
     empty = maxscore.integers(none)
     assert maxscore.top_k(empty, empty, 3).count() == 0
