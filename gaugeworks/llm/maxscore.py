@@ -36,6 +36,8 @@ from gaugeworks.llm.common import staged
 SHARD_ROWS = 8192
 QUERY_ROWS = 1024
 RUN = 2048
+PROBE = 8
+FULL = 0.25
 PILOT_ROWS = 2048
 _BEST = T.StructType([T.StructField("query_id", T.LongType()), T.StructField("vec_id", T.LongType()),
                       T.StructField("score", T.LongType())])
@@ -59,22 +61,29 @@ def _matrix(column: pa.ChunkedArray, dims: int) -> np.ndarray:
 
 
 class Postings:
-    """The non-zero components of some rows, by term: rows in order, and their values."""
+    """The non-zero components of some rows, by term.
+
+    A list is its rows in order and their values; one that holds more than :data:`FULL` of the
+    rows is kept as values of all rows, which is smaller and quicker to go through.
+    """
 
     def __init__(self, rows: np.ndarray):
-        term, self.row = np.nonzero(rows.T)
-        self.value = rows[self.row, term]
-        self.size = np.bincount(term, minlength=rows.shape[1])
-        self.end = np.cumsum(self.size)
-
-    def traverse(self, terms: np.ndarray, weight: np.ndarray, rows: int) -> np.ndarray:
-        """The scores of all rows on some terms."""
-        lists = [slice(self.end[t] - self.size[t], self.end[t]) for t in terms]
-        if self.value.dtype == np.float64 and lists:
-            products = np.concatenate([weight[t] * self.value[cut] for t, cut in zip(terms, lists)])
-            return np.bincount(np.concatenate([self.row[cut] for cut in lists]), products, rows)
-        score = np.zeros(rows, self.value.dtype)
-        for t, cut in zip(terms, lists):
+        by_term = np.ascontiguousarray(rows.T)
+        self.size = np.count_nonzero(by_term, axis=1)
+        self.is_full = self.size > FULL * len(rows)
+        self.place = np.where(self.is_full, np.cumsum(self.is_full), np.cumsum(~self.is_full)) - 1
+        self.full = by_term[self.is_full]
+        term, self.row = np.nonzero(by_term[~self.is_full])
+        self.value = by_term[~self.is_full][term, self.row]
+        self.end = np.cumsum(self.size[~self.is_full])
+
+    def traverse(self, terms: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        """The scores of all rows on some terms, from their lists."""
+        is_full = self.is_full[terms]
+        score = weight[terms[is_full]] @ self.full[self.place[terms[is_full]]]
+        for t in terms[~is_full]:
+            end = self.end[self.place[t]]
+            cut = slice(end - self.size[t], end)
             score[self.row[cut]] += weight[t] * self.value[cut]
         return score
 
@@ -90,17 +99,18 @@ def candidates(part: np.ndarray, postings: Postings, weight: np.ndarray, bound:
     sums = np.cumsum(bound[terms])
     # Rising bounds; a vector with non-essential terms only stays below the goal.
     optional = int(np.searchsorted(sums, goal, side="left"))
-    left = sums[optional - 1] if optional else 0
-    score = postings.traverse(terms[optional:], weight, len(part))
+    score = postings.traverse(terms[optional:], weight)
     products = int(postings.size[terms[optional:]].sum())
-    rows = np.flatnonzero(score + left >= goal)
+    rows = np.flatnonzero(score >= goal - sums[optional - 1]) if optional else np.flatnonzero(score >= goal)
     score = score[rows]
-    for place in range(optional - 1, -1, -1):
-        term = terms[place]
-        score = score + weight[term] * part[rows, term]
-        products += len(rows)
-        left = sums[place - 1] if place else 0
-        alive = score + left >= goal
+    while optional and len(rows):
+        # The largest bounds first, some terms at a time.
+        start = max(0, optional - PROBE)
+        some = terms[start:optional]
+        score = score + part[rows[:, None], some] @ weight[some]
+        products += len(rows) * len(some)
+        optional = start
+        alive = score >= (goal - sums[start - 1] if start else goal)
         rows, score = rows[alive], score[alive]
     return rows, score, products
 
@@ -112,11 +122,12 @@ def search(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queries:
     ``goals`` are scores that a result must reach, -inf where there is none.
     """
     n_queries, dims = queries.shape
-    # Products in floating point are exact up to 2**53; beyond that integers are used.
+    goals = [-math.inf] * n_queries if goals is None else goals.tolist()
+    # Sums of whole numbers are exact in floating point up to 2**24 or 2**53; beyond that integers are used.
     widest = np.abs(queries.astype(float)).max(initial=0) * np.abs(vectors.astype(float)).max(initial=0)
-    kind = np.float64 if widest * max(dims, 1) < 2 ** 53 else np.int64
+    largest = 2 * max(widest * max(dims, 1), max((abs(g) for g in goals if g != -math.inf), default=0))
+    kind = np.float32 if largest < 2 ** 24 else np.float64 if largest < 2 ** 53 else np.int64
     vectors, queries = vectors.astype(kind), queries.astype(kind)
-    goals = [-math.inf] * n_queries if goals is None else goals.tolist()
     best = [(np.zeros(0, kind), np.zeros(0, np.int64))] * n_queries
     low, high = vectors.min(axis=0, initial=0), vectors.max(axis=0, initial=0)
     bounds = np.maximum(queries * low, queries * high)         # at least 0: a term may be absent
