@@ -41,18 +41,19 @@ def metric_presence(raw: DataFrame, spec: MetricSpec) -> DataFrame:
                          .withColumn("status", F.lit("not analysed"))))
 
 
-def unit_report(raw: DataFrame, listed: int = 100) -> DataFrame:
+def unit_report(raw: DataFrame, listed: int | None = None) -> DataFrame:
     """Units per metric and whether they are mixed.
 
-    Units are free text: all are counted, the first ``listed`` in alphabetical
-    order are named.
+    All units are counted and named in alphabetical order.  Units are free text; where they are
+    too many for one line, ``listed`` names the first ones only.
     """
     units = raw.where(F.col("unit").isNotNull()).select("parameter_name", "unit").distinct()
     counts = units.groupBy("parameter_name").agg(F.count("*").alias("distinct_units"))
-    place = F.row_number().over(Window.partitionBy("parameter_name").orderBy("unit"))
-    named = (units.withColumn("_place", place).where(F.col("_place") <= listed)
-             .groupBy("parameter_name")
-             .agg(F.concat_ws(", ", F.array_sort(F.collect_list("unit"))).alias("units")))
+    if listed is not None:
+        place = F.row_number().over(Window.partitionBy("parameter_name").orderBy("unit"))
+        units = units.withColumn("_place", place).where(F.col("_place") <= listed)
+    named = units.groupBy("parameter_name").agg(
+        F.concat_ws(", ", F.array_sort(F.collect_list("unit"))).alias("units"))
     return (named.join(counts, F.equal_null(named.parameter_name, counts.parameter_name))
             .select(named.parameter_name, "units", "distinct_units",
                     (F.col("distinct_units") > 1).alias("mixed")))

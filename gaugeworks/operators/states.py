@@ -58,9 +58,8 @@ def _stored(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
-def stale_partitions(spark: SparkSession, source: str, states: str,
-                     keys: tuple[str, ...] = PARTITIONS) -> list[tuple]:
-    """Keys of source partitions that are new, changed or gone since their states were written.
+def _changes(spark: SparkSession, source: str, states: str, keys: tuple[str, ...]) -> list[tuple]:
+    """Keys of changed partitions with the files, bytes and time (microseconds) they have now.
 
     One short row per partition that needs work reaches the driver, as with any listing.
     """
@@ -75,9 +74,15 @@ def stale_partitions(spark: SparkSession, source: str, states: str,
         # A partition that is gone has no files; once that is noted, nothing more is to be done.
         both = now.join(old, same, "full").withColumn("files", F.coalesce("files", F.lit(0)))
         changed = (both.where(~reduce(Column.__and__, [F.col(m).eqNullSafe(F.col(f"_{m}")) for m in marks]))
-                   .select(*[F.coalesce(k, f"_{k}").alias(k) for k in keys]))
-    rows = changed.select(*keys).collect()
-    return sorted((tuple(r) for r in rows), key=lambda k: tuple((v is not None, v) for v in k))
+                   .select(*[F.coalesce(k, f"_{k}").alias(k) for k in keys], *marks))
+    rows = changed.select(*keys, "files", "bytes", F.unix_micros("modified")).collect()
+    return sorted((tuple(r) for r in rows), key=lambda r: tuple((v is not None, v) for v in r[:len(keys)]))
+
+
+def stale_partitions(spark: SparkSession, source: str, states: str,
+                     keys: tuple[str, ...] = PARTITIONS) -> list[tuple]:
+    """Keys of source partitions that are new, changed or gone since their states were written."""
+    return [r[:len(keys)] for r in _changes(spark, source, states, keys)]
 
 
 def in_partitions(df: DataFrame, wanted: list[tuple], keys: tuple[str, ...] = PARTITIONS) -> DataFrame:
@@ -95,17 +100,20 @@ def refresh_states(spark: SparkSession, source: str, states: str,
 
     ``clean`` turns raw rows into kept readings and keeps the partition columns.  States are
     replaced partition by partition, then the inventory: a refresh that breaks off in between
-    is repeated.  A partition without kept readings, or gone from the source, gets one state
+    is repeated.  The inventory is the listing taken before anything was read, so files that
+    arrive meanwhile are found changed by the next refresh.  A partition without kept readings, or gone from the source, gets one state
     with a count of zero.
     """
-    stale = stale_partitions(spark, source, states, keys)
-    if not stale:
+    changes = _changes(spark, source, states, keys)
+    if not changes:
         return []
+    stale = [r[:len(keys)] for r in changes]
     readings = in_partitions(spark.read.parquet(source), stale, keys)
     fresh = partial_states(clean(readings), (*keys, *GROUP))
     kinds = {k: readings.schema[k].dataType.simpleString() for k in keys}
-    touched = spark.createDataFrame(stale, ", ".join(f"{k} {kinds[k]}" for k in keys))
-    empty = touched.select(*keys, *[F.lit(None).cast(fresh.schema[c].dataType).alias(c) for c in GROUP],
+    inventory = spark.createDataFrame(changes, ", ".join(
+        [*(f"{k} {kinds[k]}" for k in keys), "files long", "bytes long", "modified long"]))
+    empty = inventory.select(*keys, *[F.lit(None).cast(fresh.schema[c].dataType).alias(c) for c in GROUP],
                            F.lit(0).cast("long").alias("n"),
                            *[F.lit(None).cast("double").alias(c) for c in ("total", "low", "high")])
 
@@ -115,11 +123,7 @@ def refresh_states(spark: SparkSession, source: str, states: str,
          .partitionBy(*keys).parquet(f"{states}/{name}"))
 
     publish(fresh.unionByName(empty), "states")
-    now = partition_files(spark, source, keys)
-    renamed = now.select(*[F.col(k).alias(f"_{k}") for k in keys], "files", "bytes", "modified")
-    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
-    publish(touched.join(renamed, same, "left").select(
-        *keys, F.coalesce("files", F.lit(0).cast("long")).alias("files"), "bytes", "modified"), "inventory")
+    publish(inventory.withColumn("modified", F.timestamp_micros("modified")), "inventory")
     return stale
 
 

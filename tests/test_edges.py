@@ -367,3 +367,11 @@ def test_bars_and_relative_change(spark):
     assert [r.height for r in report.bar_heights(series, "v").orderBy("k").collect()] == [50, 100, 2]
     change = [r.relative_change for r in report.relative_change(series, "k", "v").orderBy("k").collect()]
     assert change[0] is None and change[1] == 0.5 and math.isclose(change[2], 199.0)
+
+
+def test_all_units_are_named(spark):
+    rows = spark.range(150).selectExpr("'m' AS parameter_name", "lpad(id, 3, '0') AS unit")
+    one = profile.unit_report(rows.union(rows)).collect()
+    assert [(r["distinct_units"], r["units"].split(", ")) for r in one] == [(150, [f"{i:03d}" for i in range(150)])]
+    few = profile.unit_report(rows, listed=2).first()
+    assert (few["units"], few["distinct_units"], few["mixed"]) == ("000, 001", 150, True)

@@ -154,6 +154,20 @@ def test_only_changed_partitions_are_read(spark, tmp_path):
     assert summary(spark, kept) == {("C", "PM2.5"): (3, 36.166666667, 0.5, 100.0), ("D", "CO"): (1, 2.0, 2.0, 2.0)}
 
 
+def test_files_that_arrive_during_a_refresh_are_read_by_the_next(spark, tmp_path):
+    tree, kept = str(tmp_path / "tree"), str(tmp_path / "states")
+    tree_of(spark, tree, [(1, "C", "CO", 1.0)])
+
+    def keep_while_more_arrives(raw):
+        tree_of(spark, tree, [(1, "C", "CO", 3.0), (2, "C", "CO", 5.0)])
+        return keep(raw)
+
+    assert states.refresh_states(spark, tree, kept, keep_while_more_arrives) == [(2024, 1)]
+    assert states.refresh_states(spark, tree, kept, keep) == [(2024, 1), (2024, 2)]
+    assert summary(spark, kept) == {("C", "CO"): (3, 3.0, 1.0, 5.0)}
+    assert states.refresh_states(spark, tree, kept, keep) == []
+
+
 def test_a_partition_that_is_gone_leaves_the_summary(spark, tmp_path):
     tree, kept = tmp_path / "tree", str(tmp_path / "states")
     tree_of(spark, str(tree), [(1, "C", "PM2.5", 1.0), (2, "C", "PM2.5", 3.0)])
