@@ -13,7 +13,7 @@ shingles of ``width`` words with repeats (a shorter text is one shingle), hashed
 XXH64 (seed 42); a bit is set if it is set in more than half of the hashes.  A text
 without words, or null, has fingerprint 0 and is linked like any other.  Rows with equal
 keys are separate rows of the same key; null keys take part but never name a component
-unless it has unless it has no other.  An empty table gives an empty result.  Texts of any length are read
+unless it has no other.  An empty table gives an empty result.  Texts of any length are read
 whole, hashed in parts; other columns are left out by :func:`near_duplicates` and kept by
 :func:`drop_similar`.
 """
@@ -38,28 +38,21 @@ CROWD = 128
 HASHES_AT_ONCE = 1 << 16
 
 
-def _wide(words: list[bytes], width: int, bits: int) -> bytes:
-    """SimHash of any multiple of 64 bits; further words of bits are mixed from the same hashes."""
+def fingerprint(text: str, width: int) -> int:
+    """SimHash of one text as an unsigned 64-bit number."""
+    words = text.encode().lower().split()
+    if not words:
+        return 0
     count = max(1, len(words) - width + 1)
-    ones = np.zeros(bits, np.int64)
+    ones = np.zeros(BITS, np.int64)
     digest = xxhash.xxh64_intdigest
     for at in range(0, count, HASHES_AT_ONCE):
         part = words[at:min(at + HASHES_AT_ONCE, count) + width - 1]
         shingles = zip(*(part[i:] for i in range(width))) if len(words) >= width else [tuple(words)]
-        hashes = np.array([digest(b" ".join(s), 42) for s in shingles], np.uint64)
-        for lane in range(bits // BITS):
-            ones[lane * BITS:(lane + 1) * BITS] += np.unpackbits(
-                hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1,
-                bitorder="little").sum(axis=0, dtype=np.int64)
-            hashes = (hashes ^ (hashes >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
-            hashes ^= hashes >> np.uint64(29)
-    return np.packbits(2 * ones > count, bitorder="little").tobytes()
-
-
-def fingerprint(text: str, width: int) -> int:
-    """SimHash of one text as an unsigned 64-bit number."""
-    words = text.encode().lower().split()
-    return int.from_bytes(_wide(words, width, BITS), "little") if words else 0
+        hashes = np.array([digest(b" ".join(s), 42) for s in shingles], "<u8")
+        ones += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1,
+                              bitorder="little").sum(axis=0, dtype=np.int64)
+    return int.from_bytes(np.packbits(2 * ones > count, bitorder="little").tobytes(), "little")
 
 
 def fingerprints(docs: DataFrame, width: int, key: str = "doc_id", text: str = "text") -> DataFrame:
