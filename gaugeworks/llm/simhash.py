@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -38,23 +38,34 @@ CROWD = 128
 HASHES_AT_ONCE = 1 << 16
 
 
-def fingerprint(text: str, width: int) -> int:
-    """SimHash of one text as an unsigned 64-bit number."""
+def hashed(text: str, width: int) -> Iterator[np.ndarray]:
+    """Hashes of the shingles of a text in their order, repeats included, in parts; a shorter text is one shingle."""
     words = text.encode().lower().split()
-    if not words:
-        return 0
-    count = max(1, len(words) - width + 1)
-    ones = np.zeros(BITS, np.int64)
+    if len(words) < width:
+        words, width = [b" ".join(words)] if words else [], 1
     digest = xxhash.xxh64_intdigest
-    for at in range(0, count, HASHES_AT_ONCE):
-        part = words[at:min(at + HASHES_AT_ONCE, count) + width - 1]
-        shingles = zip(*(part[i:] for i in range(width))) if len(words) >= width else [tuple(words)]
-        hashes = np.array([digest(b" ".join(s), 42) for s in shingles], "<u8")
-        ones += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1,
-                              bitorder="little").sum(axis=0, dtype=np.int64)
+    for at in range(0, len(words) - width + 1, HASHES_AT_ONCE):
+        part = words[at:at + HASHES_AT_ONCE + width - 1]
+        yield np.array([digest(b" ".join(s), 42) for s in zip(*(part[i:] for i in range(width)))], "<u8")
+
+
+def majority(parts: Iterable[np.ndarray]) -> int:
+    """The bits set in more than half of all hashes, as an unsigned 64-bit number; 0 without hashes."""
+    ones, count = np.zeros(BITS, np.int64), 0
+    for part in parts:
+        for at in range(0, len(part), HASHES_AT_ONCE):
+            hashes = part[at:at + HASHES_AT_ONCE]
+            ones += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1,
+                                  bitorder="little").sum(axis=0, dtype=np.int64)
+        count += len(part)
     return int.from_bytes(np.packbits(2 * ones > count, bitorder="little").tobytes(), "little")
 
 
+def fingerprint(text: str, width: int) -> int:
+    """SimHash of one text as an unsigned 64-bit number."""
+    return majority(hashed(text, width))
+
+
 def fingerprints(docs: DataFrame, width: int, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key`` and ``fp``, the fingerprint's 64 bits as a signed long."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,36 +132,40 @@ def near_duplicates(docs: DataFrame, width: int = 3, radius: int = 2, key: str =
                     text: str = "text") -> DataFrame:
     """``key``, ``fingerprint`` (16 hex digits) and ``component_id``, the smallest key reachable by links."""
     marked = staged(fingerprints(docs, width, key, text), "simhash")
+    return grouped(marked, radius, key).select(
+        key, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def grouped(marked: DataFrame, radius: int, key: str) -> DataFrame:
+    """``key``, ``fp`` and ``component_id``, the smallest key reachable by links of fingerprints."""
     nodes = staged(marked.groupBy("fp").agg(F.min(key).alias("least")), "simhash-nodes")
     roots = components(links(nodes.select("fp"), radius), "fp", "other")
     rooted = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = staged(rooted.join(least, "root").select("fp", "component_id"), "simhash-components")
-    return marked.join(named, "fp").select(
-        key, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return marked.join(named, "fp").select(key, "fp", "component_id")
 
 
-# Near duplicates at a similarity of five-word shingles, exactly.  Two sets of a similarity s
-# share at least s of the larger one, so in any common order of all shingles each has one of
-# the shared ones among its first (1 - s) of its size, and one more: only these are indexed.
-# The order puts shingles that many texts have last.  It comes from counts over all texts and
-# decides about the work, never about the pairs.
+# Near duplicates at a similarity of five-word shingles, exactly.  Candidates come from the
+# fingerprints above: texts of one component are compared with its smallest one.  Fingerprints
+# cannot promise pairs that differ in more bits than the radius, so an index of shingles brings
+# the rest, and every candidate is judged on its sets.  Two sets of a similarity s share at
+# least s of the larger one, so in any common order of all shingles each has one of the shared
+# ones among its first (1 - s) of its size, and one more: only these are indexed.  The order
+# puts shingles that many texts have last.  It comes from counts over all texts and decides
+# about the work, never about the pairs.
 ORDER_CELLS, ORDER_BLOCKS = 1 << 22, 256
 SLACK = 1e-9
 
 
 def shingles(text: str, width: int) -> np.ndarray:
     """Distinct hashes of the shingles of a text, rising; a shorter text is one shingle."""
-    words = text.encode().lower().split()
-    if len(words) < width:
-        words, width = [b" ".join(words)] if words else [], 1
-    found = [np.zeros(0, np.int64)]
-    for at in range(0, len(words) - width + 1, HASHES_AT_ONCE):
-        part = words[at:at + HASHES_AT_ONCE + width - 1]
-        found.append(np.array([xxhash.xxh64_intdigest(b" ".join(s), 42) for s in
-                               zip(*(part[i:] for i in range(width)))], np.uint64).view(np.int64))
-    return np.unique(np.concatenate(found))
+    return np.unique(_joined(hashed(text, width)).view(np.int64))
+
+
+def _joined(parts: Iterable[np.ndarray]) -> np.ndarray:
+    return np.concatenate([np.zeros(0, "<u8"), *parts])
 
 
 def shingle_sets(docs: DataFrame, width: int, key: str, text: str) -> DataFrame:
@@ -204,7 +219,7 @@ def _cell(found: np.ndarray) -> np.ndarray:
 
 
 def prefixes(docs: DataFrame, width: int, similarity: float, order: np.ndarray, key: str, text: str) -> DataFrame:
-    """``node``, ``n`` shingles, ``digest`` of the set, ``own`` and ``prefix``, its first shingles by the order.
+    """``node``, ``fp``, ``n`` shingles, ``digest`` of the set, ``own`` and ``prefix``, its first shingles by the order.
 
     ``own`` is small where a text's shingles occur in many texts: of a group of near copies, the
     one the others were made from has the smallest.
@@ -213,9 +228,11 @@ def prefixes(docs: DataFrame, width: int, similarity: float, order: np.ndarray,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 1):
-            size, digest, own, prefix = [], [], [], []
+            bits, size, digest, own, prefix = [], [], [], [], []
             for value in batch.column(1):
-                found = shingles(value.as_py(), width)
+                every = _joined(hashed(value.as_py(), width))
+                bits.append(majority([every]))
+                found = np.unique(every.view(np.int64))
                 times = table.value[_cell(found)]
                 take = len(found) - math.ceil(similarity * len(found) - SLACK) + 1 if len(found) else 0
                 size.append(len(found))
@@ -223,12 +240,13 @@ def prefixes(docs: DataFrame, width: int, similarity: float, order: np.ndarray,
                 own.append(float((1 / np.maximum(times, 1)).mean()) if len(found) else 0.0)
                 prefix.append(found[np.lexsort((found, times))[:take]])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(size, pa.int32()), pa.array(digest, pa.binary()), pa.array(own, pa.float32()),
-                 pa.array(prefix, pa.list_(pa.int64()))], ["node", "n", "digest", "own", "prefix"])
+                [batch.column(0), pa.array(np.array(bits, np.uint64).view(np.int64)), pa.array(size, pa.int32()),
+                 pa.array(digest, pa.binary()), pa.array(own, pa.float32()), pa.array(prefix, pa.list_(pa.int64()))],
+                ["node", "fp", "n", "digest", "own", "prefix"])
 
     return docs.select(F.col(key), text_or_empty(text).alias("text")).mapInArrow(run, T.StructType(
-        [typed(docs, key, "node"), T.StructField("n", T.IntegerType()), T.StructField("digest", T.BinaryType()),
-         T.StructField("own", T.FloatType()), T.StructField("prefix", T.ArrayType(T.LongType()))]))
+        [typed(docs, key, "node"), T.StructField("fp", T.LongType()), T.StructField("n", T.IntegerType()),
+         T.StructField("digest", T.BinaryType()), T.StructField("own", T.FloatType()), T.StructField("prefix", T.ArrayType(T.LongType()))]))
 
 
 def _judged(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -237,7 +255,7 @@ def _judged(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     right = sets.select(F.col("node").alias("other"), F.col("shingles").alias("right"))
     shared = F.size(F.array_intersect("left", "right"))
     return (pairs.join(left, "node").join(right, "other")
-            .where(shared / (F.size("left") + F.size("right") - shared) >= similarity).select("node", "other"))
+            .where(F.try_divide(shared, F.size("left") + F.size("right") - shared) >= similarity).select("node", "other"))
 
 
 def _across(shared: DataFrame, roots: DataFrame) -> DataFrame:
@@ -258,12 +276,14 @@ def _across(shared: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def drop_similar(docs: DataFrame, width: int = 5, similarity: float = 0.8, key: str = "doc_id",
-                 text: str = "text") -> DataFrame:
+                 text: str = "text", radius: int = 2) -> DataFrame:
     """The rows of ``docs`` without those similar to one with a smaller key, directly or in a chain.
 
     Similar are texts whose sets of shingles have a Jaccard index of at least ``similarity``;
-    all such pairs count and no others.  Texts with equal sets are one entry.  Entries that
-    share an indexed shingle are compared with the smallest of them, and with the one whose
+    all such pairs count and no others.  Texts with equal sets are one entry.  Entries whose
+    fingerprints are linked at ``radius``, directly or in a chain, are compared with the smallest
+    of their component (:func:`grouped`, as in :func:`near_duplicates`).  Entries that share an
+    indexed shingle are compared with the smallest of them, and with the one whose
     shingles are the most common, first; then every pair that these links have not yet brought
     into one component is compared, too.  Rows that repeat a key stay or go together; rows
     without a key stay.
@@ -312,7 +332,11 @@ def drop_similar(docs: DataFrame, width: int = 5, similarity: float = 0.8, key:
                 .withColumn("times", F.size(F.array_intersect("prefix", "prefix2")))
                 .where(alike("n", "n2", "times")).select("node", "other"))
 
-    met = staged(promising(compared_with("first").unionByName(compared_with("typical")).distinct()), "similar-met")
+    signed = grouped(staged(entries.select("node", "fp"), "similar-fingerprints"), radius, "node").where(
+        "node <> component_id").select(F.greatest("node", "component_id").alias("node"),
+                                       F.least("node", "component_id").alias("other"))
+    indexed = promising(compared_with("first").unionByName(compared_with("typical")).distinct())
+    met = staged(signed.unionByName(indexed).distinct(), "similar-met")
     direct = linked(met, "similar-met")
     more = _across(shared, components(direct, "node", "other")).join(met, ["node", "other"], "left_anti")
     more = staged(promising(more), "similar-across")

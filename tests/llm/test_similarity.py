@@ -191,6 +191,24 @@ def test_texts_that_repeat_one_passage_stay(spark):
     assert kept == set(range(12))
 
 
+def test_near_copies_come_from_fingerprints_and_are_judged(spark, monkeypatch):
+    """Without any indexed shingle, copies within the radius still go, and unlike texts of equal fingerprint stay."""
+    rng = random.Random(24)
+    texts = [drawn(rng, 400) for _ in range(30)]
+    copies = [(100 + i, " ".join(words + ["end"])) for i, words in enumerate(texts)]
+    near = {k for k, s in copies
+            if bin(simhash.fingerprint(s, 5) ^ simhash.fingerprint(" ".join(texts[k - 100]), 5)).count("1") <= 2}
+    assert len(near) >= 20
+    repeated = drawn(rng, 5) * 300                       # outweighs all else in the fingerprint
+    alike = [(500 + i, " ".join(repeated + drawn(rng, 40))) for i in range(4)]
+    assert len({simhash.fingerprint(s, 5) for _, s in alike}) == 1
+    rows = [(i, " ".join(words)) for i, words in enumerate(texts)] + copies + alike
+    whole = simhash.prefixes
+    monkeypatch.setattr(simhash, "prefixes", lambda *a: whole(*a).withColumn("prefix", F.expr("slice(prefix, 1, 0)")))
+    kept = {r.doc_id for r in simhash.drop_similar(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert kept == {k for k, _ in rows} - near
+
+
 def test_drop_similar_edge_rows(odd, none):
     kept = simhash.drop_similar(odd)
     assert kept.columns == odd.columns
