@@ -4,10 +4,11 @@ Fitting is iterative and runs jobs; everything else stays lazy.
 """
 from __future__ import annotations
 
+from collections.abc import Iterator
 from math import ceil
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -24,7 +25,10 @@ SEED = 42
 RESTARTS = 10
 MIN_STATIONS = 10
 MAX_ITERATIONS = 300
-BLOCK_ROWS = 4096
+BLOCK_ROWS, LEAST_BLOCK_ROWS, CELLS_PER_CORE = 16_384, 1024, 4
+TILE_ROWS, TILE_COLUMNS = 256, 1024
+# Squared distances this small against the norms are taken from differences.
+NEAR = 1e-6
 
 
 def complete_stations(features: DataFrame, columns: list[str]) -> DataFrame:
@@ -90,33 +94,76 @@ def fit_each(prepared: DataFrame, ks, restarts: int = RESTARTS, seed: int = SEED
     return lloyd.best_of(lloyd.fit_all(prepared, ks, restarts, seed, MAX_ITERATIONS))
 
 
-def _distance_sums(left: pd.DataFrame, right: pd.DataFrame, labels: dict[str, int]) -> pd.DataFrame:
-    """For each left point, its summed distance to the right points of every cluster."""
-    columns = [f"_s_{name}_{c}" for name, k in labels.items() for c in range(k)]
-    if left.empty or right.empty:
-        return pd.DataFrame({"_id": left["_id"].iloc[:0],
-                             **{c: pd.Series(dtype="float64") for c in columns}})
-    a, b = np.stack(left["_x"].to_numpy()), np.stack(right["_x"].to_numpy())
-    member = np.concatenate([np.eye(k)[right[name].to_numpy()] for name, k in labels.items()],
-                            axis=1)
-    sums = np.empty((len(a), member.shape[1]))
-    for start in range(0, len(a), 256):
-        rows = a[start:start + 256]
-        apart = np.zeros((len(rows), len(b)))
-        for axis in range(a.shape[1]):
-            apart += (rows[:, axis, None] - b[None, :, axis]) ** 2
-        sums[start:start + 256] = np.sqrt(apart) @ member
-    return pd.DataFrame({"_id": left["_id"].to_numpy(), **dict(zip(columns, sums.T))})
+def _apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Squared distances of all pairs, from differences."""
+    apart = np.zeros((len(a), len(b)))
+    for axis in range(a.shape[1]):
+        apart += (a[:, axis, None] - b[None, :, axis]) ** 2
+    return apart
+
+
+def _distances(a: np.ndarray, b: np.ndarray) -> Iterator[tuple[slice, slice, np.ndarray]]:
+    """Distances of all pairs in tiles: rows of ``a``, rows of ``b`` and their distances.
+
+    Squares come from one matrix product about a common middle.  Where they are small against
+    the norms they would have lost digits and are taken from differences, as is everything if
+    a coordinate is not finite.
+    """
+    middle = a.mean(0)
+    x, y = a - middle, b - middle
+    with np.errstate(over="ignore", invalid="ignore"):
+        xx, yy = (x * x).sum(1), (y * y).sum(1)
+    sound = np.isfinite(xx).all() and np.isfinite(yy).all()
+    left = np.column_stack([-2 * x, xx, np.ones(len(x))])
+    right = np.column_stack([y, np.ones(len(y)), yy]).T
+    for i in range(0, len(a), TILE_ROWS):
+        for j in range(0, len(b), TILE_COLUMNS):
+            rows, columns = slice(i, i + TILE_ROWS), slice(j, j + TILE_COLUMNS)
+            if sound:
+                apart = left[rows] @ right[:, columns]
+                small = NEAR * (xx[rows].max() + yy[columns].max())
+                if apart.min() <= small:
+                    p, q = np.nonzero(apart <= small)
+                    for at in range(0, len(p), TILE_COLUMNS):
+                        few = slice(at, at + TILE_COLUMNS)
+                        apart[p[few], q[few]] = ((a[rows][p[few]] - b[columns][q[few]]) ** 2).sum(1)
+            else:
+                apart = _apart(a[rows], b[columns])
+            yield rows, columns, np.sqrt(apart, out=apart)
+
+
+def _distance_sums(left: pa.Table, right: pa.Table, labels: dict[str, int]) -> pa.Table:
+    """For each point of two blocks, its summed distance to the other block's points of every cluster.
+
+    The cell of a block with itself has its points on both sides and gives each its row once.
+    """
+    names = [f"_s_{name}_{c}" for name, k in labels.items() for c in range(k)]
+    if not left.num_rows or not right.num_rows:
+        return pa.Table.from_arrays([left["_id"].slice(0, 0), *[pa.array([], pa.float64())] * len(names)], ["_id", *names])
+    a, b = (np.stack([np.asarray(v, np.float64) for v in t["_x"].to_numpy()]) for t in (left, right))
+    of_a, of_b = (np.concatenate([np.eye(k)[t[n].to_numpy()] for n, k in labels.items()], axis=1) for t in (left, right))
+    both = left["_i"][0] != left["_j"][0]
+    to_b, to_a = np.zeros((len(a), len(names))), np.zeros((len(b), len(names)))
+    for rows, columns, apart in _distances(a, b):
+        to_b[rows] += apart @ of_b[columns]
+        if both:
+            to_a[columns] += apart.T @ of_a[rows]
+    ids, sums = left["_id"].combine_chunks(), to_b
+    if both:
+        ids, sums = pa.chunked_array([*left["_id"].chunks, *right["_id"].chunks]), np.concatenate([to_b, to_a])
+    return pa.Table.from_arrays([ids, *[pa.array(c) for c in sums.T]], ["_id", *names])
 
 
 def silhouette(points: DataFrame, labels: dict[str, int], vector: str = "features",
                identity: str = "station_id", measure: str = "euclidean",
-               block_rows: int = BLOCK_ROWS) -> DataFrame:
+               block_rows: int | None = None) -> DataFrame:
     """Mean silhouette for each labelling column (``labels`` maps it to its cluster count).
 
     ``euclidean`` is exact.  Points are dealt into blocks of bounded size by a
-    hash of their identity, each pair of blocks is one task, and a task emits
-    per point only its summed distance to each cluster, never the distances.
+    hash of their identity (at most about ``block_rows``; without it, blocks of up
+    to :data:`BLOCK_ROWS`, smaller ones where there would be too few for all cores).
+    Each unordered pair of blocks is one cell; it emits for the points of both
+    sides only their summed distance to each cluster, never the distances.
     All labellings share the same pass.  The work is quadratic in the number of
     points by definition; ``squaredEuclidean`` is the linear-time alternative.
     """
@@ -128,17 +175,24 @@ def silhouette(points: DataFrame, labels: dict[str, int], vector: str = "feature
         return spark.createDataFrame(scores, "labelling string, silhouette double")
 
     is_array = points.schema[vector].dataType.typeName() == "array"
-    x = F.col(vector).cast("array<double>") if is_array else vector_to_array(F.col(vector))
+    # Values go through the shuffle as they are; they become doubles where they are used.
+    x = F.col(vector) if is_array else vector_to_array(F.col(vector))
     keyed = points.select(F.col(identity).alias("_id"), x.alias("_x"),
                           *[F.col(n).cast("int").alias(n) for n in labels])
-    blocks = max(1, ceil(keyed.count() / block_rows))
+    rows = keyed.count()
+    blocks = max(1, ceil(rows / (block_rows or BLOCK_ROWS)))
+    if not block_rows:
+        cores = spark.sparkContext.defaultParallelism
+        blocks = max(blocks, min(ceil(rows / LEAST_BLOCK_ROWS), ceil((CELLS_PER_CORE * 2 * cores) ** 0.5)))
     own = F.pmod(F.xxhash64("_id"), F.lit(blocks)).cast("int")
-    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    left = keyed.select("_id", "_x", own.alias("_i"), every.alias("_j"))
-    right = keyed.select("_x", *labels, own.alias("_j"), every.alias("_i"))
+    dealt = keyed.withColumn("_own", own)
+    left = dealt.select("_id", "_x", *labels, F.col("_own").alias("_i"),
+                        F.explode(F.sequence(F.col("_own"), F.lit(blocks - 1))).alias("_j"))
+    right = dealt.select("_id", "_x", *labels, F.explode(F.sequence(F.lit(0), F.col("_own"))).alias("_i"),
+                         F.col("_own").alias("_j"))
 
     sums = [f"_s_{name}_{c}" for name, k in labels.items() for c in range(k)]
-    per_cell = left.groupBy("_i", "_j").cogroup(right.groupBy("_i", "_j")).applyInPandas(
+    per_cell = left.groupBy("_i", "_j").cogroup(right.groupBy("_i", "_j")).applyInArrow(
         lambda a, b: _distance_sums(a, b, labels),
         f"_id {keyed.schema['_id'].dataType.simpleString()}, "
         + ", ".join(f"{s} double" for s in sums))

@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -155,6 +156,38 @@ def test_one_pass_serves_all_models(spark, blobs):
     assert cluster.fit(cluster.prepare(alike, COLUMNS), 4, restarts=2).cost == 0
 
 
+def test_distances_from_products_keep_their_digits():
+    rng = np.random.default_rng(5)
+    a = rng.normal(size=(700, 8)) + 1e6
+    b = np.concatenate([a[:600], a[:600] + 1e-5, rng.normal(size=(100, 8)) + 1e6])
+    for x, y in ((a, b), (a, np.where(b == b[3, 3], np.inf, b))):
+        found = np.full((len(x), len(y)), -1.0)
+        for rows, columns, apart in cluster._distances(x, y):
+            found[rows, columns] = apart
+        with np.errstate(invalid="ignore"):
+            want = np.sqrt(((x[:, None] - y[None]) ** 2).sum(2))
+        assert np.allclose(found, want, rtol=1e-8, atol=0, equal_nan=True)
+
+
+def test_each_pair_of_blocks_is_one_cell(spark):
+    rng = np.random.default_rng(6)
+    x, labels = rng.normal(size=(90, 3)), rng.integers(0, 3, 90)
+    points = spark.createDataFrame([(i, [float(v) for v in p], int(c)) for i, (p, c) in enumerate(zip(x, labels))],
+                                   "i int, x array<float>, own int")
+    out = cluster.silhouette(points, {"own": 3}, "x", "i", block_rows=9).first()["silhouette"]
+    assert out == pytest.approx(brute_silhouette(x.astype(np.float32).astype(float), labels), abs=1e-9)
+    block = lambda n, i, j, at: pa.table({"_id": pa.array(range(at, at + n)), "_x": pa.array(x[at:at + n].tolist()),
+                                          "own": pa.array(labels[at:at + n], pa.int32()), "_i": [i] * n, "_j": [j] * n})
+    apart = np.sqrt(((x[:, None] - x[None]) ** 2).sum(2))
+    rows = cluster._distance_sums(block(20, 0, 1, 0), block(30, 0, 1, 20), {"own": 3}).to_pylist()
+    assert [r["_id"] for r in rows] == list(range(50))   # both sides, from one comparison
+    for r in rows:
+        others = range(20, 50) if r["_id"] < 20 else range(20)
+        for c in range(3):
+            assert r[f"_s_own_{c}"] == pytest.approx(sum(apart[r["_id"], o] for o in others if labels[o] == c))
+    assert cluster._distance_sums(block(20, 1, 1, 0), block(20, 1, 1, 0), {"own": 3}).num_rows == 20
+
+
 def test_k_table_of_natural_stations_is_whole(spark):
     folder = SF_DIR.replace("0.001", "0.01")  # a hundred stations
     table = {r["k"]: r for r in QUERIES["m4_k_table"](spark, folder).collect()}
