@@ -29,6 +29,7 @@ BLOCK_ROWS, LEAST_BLOCK_ROWS, CELLS_PER_CORE = 16_384, 1024, 4
 TILE_ROWS, TILE_COLUMNS = 256, 1024
 # Squared distances this small against the norms are taken from differences.
 NEAR = 1e-6
+PART_ROWS = 8192
 
 
 def complete_stations(features: DataFrame, columns: list[str]) -> DataFrame:
@@ -71,7 +72,9 @@ def prepare(features: DataFrame, columns: list[str], min_stations: int = MIN_STA
     The station table is written once to the shared folder before it is scaled
     (scaling reads it twice) and once after (K-means reads it dozens of times),
     so neither goes back to the readings.  ``partitions`` sets how many parts
-    K-means reads; otherwise the parts of the station table stay.
+    K-means reads; otherwise a table of more than :data:`PART_ROWS` stations is dealt
+    into parts of so many: adaptive execution merges parts by their bytes, which are
+    few, and every step would run in one task.
     """
     stations = cut_lineage(complete_stations(features, columns))
     rows = stations.count()
@@ -81,6 +84,8 @@ def prepare(features: DataFrame, columns: list[str], min_stations: int = MIN_STA
     scaled = vectors.transform(scale(stations, columns))
     if partitions:
         scaled = scaled.coalesce(partitions)
+    elif rows > PART_ROWS:
+        scaled = scaled.repartition(ceil(rows / PART_ROWS))
     return cut_lineage(scaled.drop(*[f"z_{c}" for c in columns]))
 
 

@@ -188,6 +188,15 @@ def test_each_pair_of_blocks_is_one_cell(spark):
     assert cluster._distance_sums(block(20, 1, 1, 0), block(20, 1, 1, 0), {"own": 3}).num_rows == 20
 
 
+def test_many_stations_are_dealt_into_parts(spark, monkeypatch):
+    monkeypatch.setattr(cluster, "PART_ROWS", 100)
+    rows = spark.range(1000).select(F.concat(F.lit("s"), "id").alias("station_id"), F.lit("S").alias("state_name"),
+                                    F.lit("C").alias("city_name"), F.lit(900).alias("n_hours"),
+                                    *[F.rand(i).alias(c) for i, c in enumerate(COLUMNS)]).coalesce(1)
+    parts = cluster.prepare(rows, COLUMNS).groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert len(parts) == 10 and max(r["count"] for r in parts) < 200
+
+
 def test_k_table_of_natural_stations_is_whole(spark):
     folder = SF_DIR.replace("0.001", "0.01")  # a hundred stations
     table = {r["k"]: r for r in QUERIES["m4_k_table"](spark, folder).collect()}
