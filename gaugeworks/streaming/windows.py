@@ -24,6 +24,7 @@ from gaugeworks.model import HOURS_PER_DAY, RAW_SCHEMA, MetricSpec
 from gaugeworks.operators.clean import READING_KEY, kept_readings
 
 DELAY = "2 days"
+STATES_PER_CORE = 4
 PLACE = ["station_id", "city_name", "state_name", "parameter_name"]
 _DAY_SECONDS = HOURS_PER_DAY * 3600
 
@@ -70,8 +71,24 @@ def publish_windows(spark: SparkSession, source: str, target: str, checkpoint: s
     if max_files:
         stream = stream.option("maxFilesPerTrigger", max_files)
     means = stream_window_means(kept_readings(stream.parquet(source), spec), spec, delay)
-    return (means.writeStream.format("parquet").outputMode("append").option("path", target)
-            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    setting = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, str(state_partitions(spark)))    # the stream takes the settings over as it starts
+    try:
+        return (means.writeStream.format("parquet").outputMode("append").option("path", target)
+                .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    finally:
+        spark.conf.set(setting, before)
+
+
+def state_partitions(spark: SparkSession) -> int:
+    """Parts of a new stream's state: a few per core, never more than the session's shuffle partitions.
+
+    Adaptive execution does not merge parts of a state, and each is loaded and committed by
+    every aggregate in every batch, whatever it holds.  A checkpoint folder keeps its number.
+    """
+    return min(int(spark.conf.get("spark.sql.shuffle.partitions")),
+               STATES_PER_CORE * spark.sparkContext.defaultParallelism)
 
 
 def close_stream(spark: SparkSession, source: str, spec: MetricSpec, at: datetime,

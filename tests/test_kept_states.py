@@ -47,6 +47,20 @@ class Folders:
                 for r in windows.published(spark, self.target).collect()}
 
 
+def test_state_has_a_few_parts_per_core(spark, tmp_path):
+    f, before = Folders(tmp_path), spark.conf.get("spark.sql.shuffle.partitions")
+    f.load(spark, [("a", "PM2.5", h, h) for h in range(48)])
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        f.drain(spark)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "40"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    parts = [p for p in (tmp_path / "log" / "state" / "0").iterdir() if p.name.isdigit()]
+    assert len(parts) == windows.STATES_PER_CORE * spark.sparkContext.defaultParallelism
+    assert f.rows(spark) == {("a", "PM2.5", 1, None): (11.5, 24, 24)}
+
+
 def test_windows_are_published_once_over_restarts(spark, tmp_path):
     f = Folders(tmp_path)
     first = [("a", "PM2.5", h, h) for h in range(24)] + [("a", "CO", h, 1, "mg/m³") for h in range(16)]
