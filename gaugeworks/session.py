@@ -19,10 +19,17 @@ SKEW_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+# Partitioned writes.  A task that writes to few directories keeps a file open for each and need
+# not sort its rows by directory first, which spills once a task's rows outgrow its memory.  Beyond
+# this many directories the task sorts the rest of its rows.  Open files buffer a row group each,
+# so those are kept small.
+WRITE_SETTINGS = {"spark.sql.maxConcurrentOutputFileWriters": "100"}
+ROW_GROUP_BYTES = 8 << 20
+
 
 def tolerate_skew(spark: SparkSession) -> SparkSession:
-    """Apply :data:`SKEW_SETTINGS` to a session somebody else built."""
-    for key, value in SKEW_SETTINGS.items():
+    """Apply :data:`SKEW_SETTINGS` and :data:`WRITE_SETTINGS` to a session somebody else built."""
+    for key, value in {**SKEW_SETTINGS, **WRITE_SETTINGS}.items():
         spark.conf.set(key, value)
     return spark
 
@@ -43,7 +50,7 @@ def build_session(app: str = "gaugeworks", master: str | None = None,
         builder = builder.master(master)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    for key, value in {**SKEW_SETTINGS, **conf}.items():
+    for key, value in {**SKEW_SETTINGS, **WRITE_SETTINGS, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

@@ -8,6 +8,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gaugeworks.session import ROW_GROUP_BYTES
+
 PARTITIONS = ("year", "month")
 # Fixed value: the directory name Spark gives a missing key.
 NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
@@ -54,11 +56,11 @@ def missing_rows(source: DataFrame, target: str,
 def publish_missing(source: DataFrame, target: str, keys: tuple[str, ...] = PARTITIONS) -> None:
     """Write the missing partitions; present ones are left as they are.
 
-    Nothing is shuffled: rows are written where they are read, so a hot month is
-    written by as many tasks as read it.  Dynamic
+    Nothing is shuffled or sorted: rows are written where they are read, so a hot month
+    is written by as many tasks as read it, each with a file open per month.  Dynamic
     overwrite moves staged files in only when the job commits: a failed load
     publishes nothing and can be repeated.
     """
     rows = missing_rows(source, target, keys)
     (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*keys).parquet(target))
+     .option("parquet.block.size", ROW_GROUP_BYTES).partitionBy(*keys).parquet(target))

@@ -4,6 +4,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import Column
 
+from gaugeworks.session import ROW_GROUP_BYTES
+
 ROWS_PER_PART = 1_000_000
 
 
@@ -14,7 +16,7 @@ def write_tree(df: DataFrame, root: str, partitions: tuple[str, ...] = ("year",
     a sliver of every month, and splits a month that outgrows one task.
     """
     (df.hint("rebalance", *partitions).write.mode("overwrite")
-     .partitionBy(*partitions).parquet(root))
+     .option("parquet.block.size", ROW_GROUP_BYTES).partitionBy(*partitions).parquet(root))
     return root
 
 

@@ -166,3 +166,17 @@ def test_plans_stay_on_the_jvm_and_push_filters(spark):
     bulk = Tables(spark, SF_DIR).bulk_cells._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in bulk and "CartesianProduct" not in bulk and "BroadcastNestedLoopJoin" not in bulk
     assert len(LINES) == 4
+
+
+def test_partitioned_writes_sort_no_rows(spark, tmp_path):
+    spark.sql(f"CREATE TABLE by_month (value BIGINT, month INT) USING parquet PARTITIONED BY (month) LOCATION '{tmp_path / 'table'}'")
+    try:
+        plan = spark.sql("EXPLAIN INSERT INTO by_month SELECT id, CAST(id % 12 AS INT) FROM range(100)").first()[0]
+        assert "Insert" in plan and "Sort" not in plan
+    finally:
+        spark.sql("DROP TABLE by_month")
+    # More directories than open files: the rest is sorted, and nothing is lost.
+    rows = spark.range(3000).select("id", F.lit(2024).alias("year"), (F.col("id") % 150).cast("int").alias("month"))
+    incremental.publish_missing(rows.coalesce(1), str(tmp_path / "tree"))
+    found = spark.read.parquet(str(tmp_path / "tree"))
+    assert {(r.id, r.month) for r in found.collect()} == {(i, i % 150) for i in range(3000)}
