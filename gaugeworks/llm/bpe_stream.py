@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gaugeworks.llm.common import pieces, slices, text_or_empty, typed
+from gaugeworks.llm.common import mapped, pieces, slices, text_or_empty, typed
 
 PIECE_CHARS = 1 << 18
 WINDOW_BYTES = 256
@@ -211,7 +211,7 @@ def encode(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "te
                  pa.array(ids, pa.binary()), pa.array(exact, pa.bool_())], names)
 
     kinds = [T.LongType(), T.BinaryType(), T.BooleanType()]
-    return docs.select(F.col(key), text_or_empty(text).alias("text")).mapInArrow(run, T.StructType(
+    return mapped(docs.select(F.col(key), text_or_empty(text).alias("text")), run, T.StructType(
         [typed(docs, key), *(T.StructField(n, k) for n, k in zip(names[1:], kinds))]))
 
 
@@ -223,7 +223,7 @@ def decode(encoded: DataFrame, tokenizer: str, key: str = "doc_id", ids: str = "
                      for v in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], [key, "text"])
 
-    return encoded.select(F.col(key), F.col(ids).alias("ids")).mapInArrow(
+    return mapped(encoded.select(F.col(key), F.col(ids).alias("ids")),
         run, T.StructType([typed(encoded, key), T.StructField("text", T.StringType())]))
 
 
@@ -237,7 +237,7 @@ def round_trip(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str =
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.string()),
                  pa.array(decoded, pa.string())], [key, "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return docs.select(F.col(key), text_or_empty(text).alias("text")).mapInArrow(
+    return mapped(docs.select(F.col(key), text_or_empty(text).alias("text")),
         run, T.StructType([typed(docs, key), T.StructField("n_tokens", T.LongType()),
                            T.StructField("ids_sha256", T.StringType()),
                            T.StructField("decoded_sha256", T.StringType())]))

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gaugeworks.llm.common import typed
+from gaugeworks.llm.common import mapped, typed
 
 CONTROL = ("<<SYS>>", "<</SYS>>", "[INST]", "[/INST]", "</s>", "<|role|>", "<|text|>", "<|end|>")
 _NEEDS_ESCAPE = re.compile(r"\\|" + "|".join(map(re.escape, CONTROL)))
@@ -159,7 +159,7 @@ def conversations(log: DataFrame, key: str = "conv_id") -> DataFrame:
 
     spans = T.ArrayType(T.StructType([T.StructField("start", T.LongType()),
                                       T.StructField("end", T.LongType())]))
-    return messages.mapInArrow(run, T.StructType([
+    return mapped(messages, run, T.StructType([
         typed(log, key), T.StructField("formatted", T.StringType()),
         T.StructField("loss_spans", spans)]))
 
@@ -183,5 +183,5 @@ def digests(formatted: DataFrame, key: str = "conv_id") -> DataFrame:
                 [batch.column(0), *(pa.array(c, k) for c, k in zip(columns, kinds))], names)
 
     kinds = [T.LongType(), T.StringType(), T.LongType(), T.StringType(), T.LongType()]
-    return formatted.select(key, "formatted", "loss_spans").mapInArrow(run, T.StructType(
+    return mapped(formatted.select(key, "formatted", "loss_spans"), run, T.StructType(
         [typed(formatted, key), *(T.StructField(n, k) for n, k in zip(names[1:], kinds))]))

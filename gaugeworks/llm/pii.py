@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gaugeworks.llm.common import hash_sample, slices, text_or_empty, typed
+from gaugeworks.llm.common import hash_sample, mapped, slices, text_or_empty, typed
 
 KINDS = ("email", "ip", "card", "phone")
 NONE = len(KINDS)
@@ -319,8 +319,8 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text", sample: int
             data = np.delete(data, sorted(unsure), axis=0)
             yield pa.RecordBatch.from_arrays([pa.array(list(data), pa.list_(pa.int64()))], ["row"])
 
-    found = (hash_sample(docs.select(F.col(key), text_or_empty(text).alias("text")), key, sample, "pii")
-             .select("text").mapInArrow(rows, "row array<long>")
+    some = hash_sample(docs.select(F.col(key), text_or_empty(text).alias("text")), key, sample, "pii")
+    found = (mapped(some.select("text"), rows, "row array<long>")
              .groupBy("row").count().orderBy(F.xxhash64("row")).limit(TRAINING_ROWS).toPandas())
     if not len(found):
         return Model.empty()
@@ -374,7 +374,7 @@ def detect(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text
                  pa.array([len(more) for _, more in found], pa.int64())], names)
 
     kinds = [T.LongType()] * NONE + [T.StringType(), T.StringType(), T.LongType()]
-    return docs.select(F.col(key), text_or_empty(text).alias("text")).mapInArrow(run, T.StructType(
+    return mapped(docs.select(F.col(key), text_or_empty(text).alias("text")), run, T.StructType(
         [typed(docs, key), *(T.StructField(n, k) for n, k in zip(names[1:], kinds))]))
 
 
@@ -394,7 +394,7 @@ def redact(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
             columns[place] = pa.array(clean, batch.schema.field(place).type)
             yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
 
-    return docs.mapInArrow(run, docs.schema)
+    return mapped(docs, run, docs.schema)
 
 
 def _replace(text: str, spans: list[Span]) -> str:

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gaugeworks.llm.common import hash_sample, slices, text_or_empty, typed
+from gaugeworks.llm.common import hash_sample, mapped, slices, text_or_empty, typed
 
 SAMPLE = 8000
 BINS = 32
@@ -209,7 +209,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
 
     # Rows are sorted, so that the sums of the fit do not depend on the order of arrival.
     rows = sorted((tuple(r["x"]), r["y"]) for r in
-                  both.select("_text", "_label").mapInArrow(run, "x array<double>, y int").collect())
+                  mapped(both.select("_text", "_label"), run, "x array<double>, y int").collect())
     x = np.array([r[0] for r in rows]).reshape(len(rows), len(FEATURES))
     return fit(x, np.array([r[1] for r in rows], float))
 
@@ -222,7 +222,7 @@ def score(docs: DataFrame, model: Trees, key: str = "doc_id", text: str = "text"
             x = np.array(found).reshape(len(found), len(FEATURES))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(model.scores(x))], [key, "score"])
 
-    scored = docs.select(F.col(key), text_or_empty(text).alias("_text")).mapInArrow(
+    scored = mapped(docs.select(F.col(key), text_or_empty(text).alias("_text")),
         run, T.StructType([typed(docs, key), T.StructField("score", T.DoubleType())]))
     return scored.select(key, held_out(F.col(key)).alias("held_out"), "score",
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))

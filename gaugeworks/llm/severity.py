@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gaugeworks.llm.common import hash_sample, pieces, slices, text_or_empty, typed
+from gaugeworks.llm.common import hash_sample, mapped, pieces, slices, text_or_empty, typed
 
 SAMPLE = 8000
 VOCABULARY = 1024
@@ -110,7 +110,7 @@ def _contrast(sample: DataFrame) -> list[tuple[str, float]]:
     sizes = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
     if not sizes.get(1) or not sizes.get(0):
         return []
-    counted = (sample.select("text", "toxic").mapInArrow(run, "feature string, clean long, toxic long")
+    counted = (mapped(sample.select("text", "toxic"), run, "feature string, clean long, toxic long")
                .groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
                .where(F.col("clean") + F.col("toxic") >= LEAST_DOCUMENTS))
     odds = (F.log((F.col("toxic") + 0.5) / (sizes[1] + 1.0))
@@ -156,7 +156,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
                 [pa.array([r[0] for r in rows], pa.list_(pa.int64())),
                  pa.array([r[1] for r in rows], pa.int64()), batch.column(1)], ["found", "hits", "toxic"])
 
-    rows = (both.select("text", "toxic").mapInArrow(run, "found array<long>, hits long, toxic int")
+    rows = (mapped(both.select("text", "toxic"), run, "found array<long>, hits long, toxic int")
             .groupBy("found", "hits", "toxic").count().collect())
     rows = sorted((r["toxic"], r["hits"], r["found"], r["count"]) for r in rows)
     weight = np.array([r[3] for r in rows], float)
@@ -219,7 +219,7 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
                  pa.array(grade, pa.int32())], names)
 
     kinds = [T.DoubleType(), T.DoubleType(), T.IntegerType()]
-    scored = docs.select(F.col(key), text_or_empty(text).alias("text")).mapInArrow(run, T.StructType(
+    scored = mapped(docs.select(F.col(key), text_or_empty(text).alias("text")), run, T.StructType(
         [typed(docs, key), *(T.StructField(n, k) for n, k in zip(names[1:], kinds))]))
     return scored.withColumn("rejected", F.col("p_toxic") >= REJECT)
 
@@ -233,4 +233,4 @@ def keep_clean(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
             p, _, _ = _scored((t or "" for t in batch.column(place).to_pylist()), model)
             yield batch.filter(pa.array([x < REJECT for x in p], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return mapped(docs, run, docs.schema)

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gaugeworks.llm.common import slices, staged, text_or_empty, typed
+from gaugeworks.llm.common import mapped, slices, staged, text_or_empty, typed
 from gaugeworks.llm.components import components
 
 BITS = 64
@@ -73,7 +73,7 @@ def fingerprints(docs: DataFrame, width: int, key: str = "doc_id", text: str = "
             bits = np.array([fingerprint(v.as_py(), width) for v in batch.column(1)], np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bits.view(np.int64))], [key, "fp"])
 
-    return docs.select(F.col(key), text_or_empty(text).alias("text")).mapInArrow(
+    return mapped(docs.select(F.col(key), text_or_empty(text).alias("text")),
         run, T.StructType([typed(docs, key), T.StructField("fp", T.LongType())]))
 
 
@@ -176,7 +176,7 @@ def shingle_sets(docs: DataFrame, width: int, key: str, text: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(found, pa.list_(pa.int64()))], ["node", "shingles"])
 
-    return docs.select(F.col(key), text_or_empty(text).alias("text")).mapInArrow(run, T.StructType(
+    return mapped(docs.select(F.col(key), text_or_empty(text).alias("text")), run, T.StructType(
         [typed(docs, key, "node"), T.StructField("shingles", T.ArrayType(T.LongType()))]))
 
 
@@ -208,7 +208,7 @@ def frequencies(docs: DataFrame, width: int, key: str, text: str) -> np.ndarray:
 
     schema = "block int, cells binary"
     out = np.zeros((ORDER_BLOCKS, size), np.uint32)
-    for r in docs.select(text_or_empty(text).alias("text")).mapInArrow(count, schema).groupBy("block").applyInArrow(
+    for r in mapped(docs.select(text_or_empty(text).alias("text")), count, schema).groupBy("block").applyInArrow(
             add, schema).collect():
         out[r["block"]] = np.frombuffer(r["cells"], np.uint32)
     return out.ravel()
@@ -244,7 +244,7 @@ def prefixes(docs: DataFrame, width: int, similarity: float, order: np.ndarray,
                  pa.array(digest, pa.binary()), pa.array(own, pa.float32()), pa.array(prefix, pa.list_(pa.int64()))],
                 ["node", "fp", "n", "digest", "own", "prefix"])
 
-    return docs.select(F.col(key), text_or_empty(text).alias("text")).mapInArrow(run, T.StructType(
+    return mapped(docs.select(F.col(key), text_or_empty(text).alias("text")), run, T.StructType(
         [typed(docs, key, "node"), T.StructField("fp", T.LongType()), T.StructField("n", T.IntegerType()),
          T.StructField("digest", T.BinaryType()), T.StructField("own", T.FloatType()), T.StructField("prefix", T.ArrayType(T.LongType()))]))
 

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gaugeworks.llm.common import pieces, slices, text_or_empty, typed
+from gaugeworks.llm.common import mapped, pieces, slices, text_or_empty, typed
 
 PIECE_CHARS = 1 << 19
 BATCH_BYTES = 1 << 18
@@ -126,7 +126,7 @@ def token_counts(docs: DataFrame, tokenizer: str, limit: int = 1024, key: str =
 
     schema = T.StructType([typed(docs, key), T.StructField("n_bytes", T.LongType()),
                            T.StructField("n_tokens", T.LongType())])
-    counted = docs.select(
+    counted = mapped(docs.select(
         F.col(key), text_or_empty(text).alias("text"),
-        F.octet_length(text_or_empty(text)).cast("long").alias("n_bytes")).mapInArrow(count, schema)
+        F.octet_length(text_or_empty(text)).cast("long").alias("n_bytes")), count, schema)
     return counted.withColumn("over_limit", F.col("n_tokens") > limit)
