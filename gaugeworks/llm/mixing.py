@@ -11,7 +11,9 @@ the target, open ones are scaled to the rest.  Rounds go on until the largest ga
 weight / tokens of its cell, at most 1.  The draw is a hash of its key, so it repeats.
 
 Everything is DataFrame expressions.  Only cells are raked: documents are read once to count
-and once to sample, and a hot source is counted before anything is shuffled.
+and once to sample, and a hot source is counted before anything is shuffled.  Up to
+:data:`CELLS_AT_ONCE` cells are raked in one partition, more by shuffles.  A plan of windows over
+shuffles is planned anew, whole, after each of them; that took the driver most of its memory.
 
 Nulls in a margin are the value ``unknown``; a null text has no bytes and counts as one token,
 as every document at least does; rows with equal keys are kept or dropped together; an empty
@@ -32,6 +34,7 @@ from gaugeworks.session import cut_lineage
 BYTES_PER_TOKEN = 4
 TOLERANCE = 1e-9
 ROUNDS_PER_CUT = 4
+CELLS_AT_ONCE = 10_000
 # Rounds of the SQL twin, which cannot test for convergence; tables so far need 6 to 26.
 SQL_ROUNDS = 40
 MARGINS = ("source", "lang", "topic")
@@ -108,9 +111,11 @@ def margins_of(cells: DataFrame, margins: Sequence[str] = MARGINS) -> DataFrame:
 
 def rake(cells: DataFrame, margins: Sequence[str] = MARGINS, tolerance: float = TOLERANCE) -> DataFrame:
     """Cells with ``weight`` and ``probability``: the chance that meets every ``target_<margin>``."""
-    cells = cells.withColumn("weight", F.col("n_tokens").cast("double"))
+    cells = cut_lineage(cells.withColumn("weight", F.col("n_tokens").cast("double")))
+    few = cells.count() <= CELLS_AT_ONCE
     gap = None
     while True:
+        cells = cells.coalesce(1) if few else cells        # in one partition no window shuffles
         for _ in range(ROUNDS_PER_CUT):
             cells = _round(cells, margins)
         cells = cut_lineage(cells)

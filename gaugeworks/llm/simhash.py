@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -184,7 +185,8 @@ def frequencies(docs: DataFrame, width: int, key: str, text: str) -> np.ndarray:
     """How many texts hold a shingle of each of :data:`ORDER_CELLS` hash cells, over all texts.
 
     A table of fixed size: every task adds up its own in blocks of cells, blocks are added across
-    tasks, and the whole, 16 MB whatever the input, goes to the driver and to every worker.
+    tasks, and the whole, 16 MB whatever the input, goes to the driver and to every worker.  Blocks
+    are sent to the driver packed, since its JVM holds several copies of what it passes to Python.
     """
     size = ORDER_CELLS // ORDER_BLOCKS
 
@@ -203,14 +205,14 @@ def frequencies(docs: DataFrame, width: int, key: str, text: str) -> np.ndarray:
         for part in parts:
             for cells in part.column(1):
                 total += np.frombuffer(cells.as_py(), np.uint32)
-        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([total.tobytes()], pa.binary())],
+        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([zlib.compress(total.tobytes(), 1)], pa.binary())],
                                          ["block", "cells"])
 
     schema = "block int, cells binary"
     out = np.zeros((ORDER_BLOCKS, size), np.uint32)
     for r in mapped(docs.select(text_or_empty(text).alias("text")), count, schema).groupBy("block").applyInArrow(
             add, schema).collect():
-        out[r["block"]] = np.frombuffer(r["cells"], np.uint32)
+        out[r["block"]] = np.frombuffer(zlib.decompress(r["cells"]), np.uint32)
     return out.ravel()
 
 
@@ -338,9 +340,10 @@ def drop_similar(docs: DataFrame, width: int = 5, similarity: float = 0.8, key:
     indexed = promising(compared_with("first").unionByName(compared_with("typical")).distinct())
     met = staged(signed.unionByName(indexed).distinct(), "similar-met")
     direct = linked(met, "similar-met")
-    more = _across(shared, components(direct, "node", "other")).join(met, ["node", "other"], "left_anti")
-    more = staged(promising(more), "similar-across")
-    roots = components(direct.union(linked(more, "similar-across")), "node", "other")
+    joined = components(direct, "node", "other")
+    more = staged(promising(_across(shared, joined).join(met, ["node", "other"], "left_anti")), "similar-across")
+    # The components found so far stand for all links that made them.
+    roots = components(joined.union(linked(more, "similar-across")), "node", "root")
     kept = nodes.select("node").join(roots.where("node <> root"), "node", "left_anti")
     gone = staged(marked.select(F.col("node").alias(key)).distinct()
                   .join(kept.withColumnRenamed("node", key), key, "left_anti"), "similar-gone")
